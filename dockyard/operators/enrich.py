@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.functions import broken_docks, calendar_columns, is_true
-from dockyard.operators.decode import valid_only
+from dockyard.operators.decode import decode_valid, valid_only
 from dockyard.schema import HISTORY
 
 
@@ -36,5 +36,10 @@ def enrich(msgs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def history_rows(msgs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Batch path: keep valid messages, then enrich (filter first so it reaches the scan)."""
+    """Batch path on decoded messages: keep valid ones, then enrich."""
     return enrich(valid_only(msgs), keep)
+
+
+def history_from_wire(wire: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Batch path on raw topic rows (`value` + `keep`): decode once, keep valid, enrich."""
+    return enrich(decode_valid(wire, keep), keep)

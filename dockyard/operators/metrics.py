@@ -47,7 +47,7 @@ def latest_per_key(df: DataFrame, key="id", ts: str = "extraction_datetime",
     )
 
 
-def _totals(ts: str) -> list[Column]:
+def _totals(ts: str, with_points: bool = False) -> list[Column]:
     sentinel = F.to_timestamp(F.lit(SENTINEL_INSTANT))
     docks = F.sum("NbDocks")
     out = [
@@ -57,12 +57,14 @@ def _totals(ts: str) -> list[Column]:
     for src, name in REPORTED:
         total = F.sum(src)
         out += [total.alias(f"nb_{name}"), percent_of(total, docks).alias(f"percentage_{name}")]
+    if with_points:
+        out.append(F.count(F.lit(1)).alias("nb_points"))
     return out
 
 
 def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_datetime",
                   tiebreak: str | None = None, drop_invalid: bool = False,
-                  group: str | None = None) -> DataFrame:
+                  group: str | None = None, with_points: bool = False) -> DataFrame:
     """One row: min/max of the per-point newest instants, and four counts with their rates.
 
     * available bikes / e-bikes: sums of the newest NbBikes / NbEBikes;
@@ -73,7 +75,8 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
     Unreadable messages form one null-id group unless `drop_invalid` is set.
 
     With `group` (e.g. a poll or file column) the same row is computed for every
-    group value independently, as one two-level aggregation.
+    group value independently, as one two-level aggregation. `with_points` adds
+    `nb_points`, the number of docking points seen (0 for an empty input).
     """
     df = msgs
     if "NbBrokenDocks" not in df.columns:
@@ -84,5 +87,5 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
     cols = [*outer, key, *COUNT_COLUMNS, ts] + ([tiebreak] if tiebreak else [])
     latest = latest_per_key(df.select(*cols), [*outer, key], ts, COUNT_COLUMNS, tiebreak)
     if group:
-        return latest.groupBy(group).agg(*_totals(ts))
-    return latest.agg(*_totals(ts))
+        return latest.groupBy(group).agg(*_totals(ts, with_points))
+    return latest.agg(*_totals(ts, with_points))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockyard.config import STREAM_TRIGGER, Config
-from dockyard.operators.decode import decode_messages
-from dockyard.operators.enrich import history_rows
+from dockyard.operators.enrich import history_from_wire
 from dockyard.operators.staging import encode_messages, flatten_snapshot
 from dockyard.sinks.jdbc import write_jdbc
 from dockyard.sinks.messages import kafka_writer_options, write_messages
@@ -40,7 +39,7 @@ def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True) -> None:
     """
     fmt, opts = cfg.message_source()
     msgs = read_messages(spark, fmt, opts)
-    rows = history_rows(decode_messages(msgs, keep=("offset",)), keep=("offset",))
+    rows = history_from_wire(msgs, keep=("offset",))
     write_staging(rows, cfg.staging_path)
     staging = spark.read.parquet(cfg.staging_path)
     if cfg.jdbc_url:

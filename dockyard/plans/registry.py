@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from dockyard.config import scratch_dir
 from dockyard.operators import charts, views
-from dockyard.operators.decode import decode_messages, valid_only
-from dockyard.operators.enrich import history_rows
+from dockyard.operators.decode import decode_messages, decode_valid
+from dockyard.operators.enrich import history_from_wire
 from dockyard.operators.history import first_per_key, new_rows
 from dockyard.operators.metrics import latest_per_key, fleet_metrics
 from dockyard.operators.retention import current_metrics, topic_retention, within_retention
@@ -69,11 +69,12 @@ def _rows(spark: SparkSession, sf: str, unit: str = "second") -> DataFrame:
 
 def _decoded(spark: SparkSession, sf: str, unit: str = "second") -> DataFrame:
     """Derived rows -> JSON messages -> decoded messages (+ offset, arrival timestamp)."""
-    return decode_messages(wire_messages(_rows(spark, sf, unit)), keep=("offset", "timestamp"))
+    return decode_messages(wire_messages(_rows(spark, sf, unit)), keep=("offset", "timestamp"), single_parse=True)
 
 
-def _history(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return history_rows(_decoded(spark, sf), keep=keep)
+def _history(spark: SparkSession, sf: str, keep: tuple[str, ...] = (), unit: str = "second") -> DataFrame:
+    """History rows the batch path builds from the derived topic (decode once, valid only, enrich)."""
+    return history_from_wire(wire_messages(_rows(spark, sf, unit)), keep=keep)
 
 
 def _metrics_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +120,7 @@ def q_valid_rows(spark, sf):
     )
     no_id = encode_messages(rows.where(F.col("Locked") == "true").select(*MESSAGE_COLUMNS).drop("id"))
     msgs = good.unionByName(bad_ts).unionByName(no_id)
-    return oracle_types(valid_only(decode_messages(msgs)))
+    return oracle_types(decode_valid(msgs))
 
 
 def q_broken_docks(spark, sf):
@@ -146,7 +147,7 @@ def q_history_rows(spark, sf):
 
 
 def q_insert_ignore(spark, sf):
-    rows = history_rows(_decoded(spark, sf, "hour"), keep=("offset", "timestamp"))
+    rows = _history(spark, sf, keep=("offset", "timestamp"), unit="hour")
     stored = first_per_key(
         rows.where(F.col("timestamp") < F.to_timestamp(F.lit(HISTORY_BEFORE))), order_by=("offset",)
     ).withColumn("origin", F.lit("old"))

@@ -43,8 +43,10 @@ def empty_like(df: DataFrame) -> DataFrame:
 
 
 def write_staging(df: DataFrame, path: str) -> None:
-    """Replace the staging table with `df` (history columns)."""
-    df.select(*HISTORY.fieldNames()).write.mode("overwrite").parquet(path)
+    """Replace the staging table with `df`: history columns first, then any extra
+    ones (e.g. the message offset that orders repeated keys)."""
+    extra = [c for c in df.columns if c not in HISTORY.fieldNames()]
+    df.select(*HISTORY.fieldNames(), *extra).write.mode("overwrite").parquet(path)
 
 
 def append_history(df: DataFrame, path: str) -> None:

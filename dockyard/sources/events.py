@@ -33,10 +33,17 @@ def docking_rows(events: DataFrame, ts_unit: str = "second") -> DataFrame:
     messages per key, which insert-ignore tests need).
     """
     user = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    docks = (F.lit(15) + user % 25).cast("int")
-    bikes = F.when(k % 7 == 0, F.lit(0)).otherwise(k % docks).cast("int")
-    return events.select(
+    # Step 1: the per-event numbers (props is parsed once; later steps reuse k).
+    base = events.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "ts",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        (F.lit(15) + user % 25).cast("int").alias("docks"),
+    ).withColumn("bikes", F.when(F.col("k") % 7 == 0, F.lit(0)).otherwise(F.col("k") % F.col("docks")).cast("int"))
+    bikes, docks = F.col("bikes"), F.col("docks")
+    return base.select(
         F.col("event_id"),
         F.concat(F.lit("BikePoints_"), user.cast("string")).alias("id"),
         F.concat(F.lit("Dock "), (user % 40).cast("string")).alias("common_name"),

@@ -11,6 +11,7 @@ a replayed batch overwrites its own output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockyard.config import STREAM_TRIGGER
@@ -23,17 +24,16 @@ def metrics_batch_writer(sink_path: str, fmt: str = "parquet", options: dict | N
                          decoded: bool = False, drop_invalid: bool = False):
     """The `foreachBatch` callback: decode (unless already decoded), reduce, write.
 
-    An empty micro-batch writes nothing.
+    One distributed job per micro-batch: the reduction runs inside the write.
+    An empty micro-batch (no docking point seen) writes no row.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         keep = ("offset",) if "offset" in batch.columns else ()
         msgs = batch if decoded else decode_messages(batch, keep=keep)
         tiebreak = "offset" if "offset" in msgs.columns else None
-        metrics = fleet_metrics(msgs, tiebreak=tiebreak, drop_invalid=drop_invalid)
-        write_metrics(metrics, sink_path, batch_id, fmt, options)
+        metrics = fleet_metrics(msgs, tiebreak=tiebreak, drop_invalid=drop_invalid, with_points=True)
+        write_metrics(metrics.where(F.col("nb_points") > 0), sink_path, batch_id, fmt, options)
 
     return process
 
