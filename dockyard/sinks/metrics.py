@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockyard.config import METRICS_TTL_SECONDS
 from dockyard.operators.retention import current_metrics
-from dockyard.schema import METRICS
+from dockyard.schema import METRICS, METRICS_STORED
 
 
 def cassandra_options(keyspace: str = "transportation", table: str = "metrics",
@@ -16,6 +16,17 @@ def cassandra_options(keyspace: str = "transportation", table: str = "metrics",
     return {"keyspace": keyspace, "table": table, "ttl": str(ttl_seconds)}
 
 
+def metrics_ddl(name: str = "metrics", location: str | None = None) -> str:
+    """CREATE TABLE IF NOT EXISTS for the metrics store (one directory per micro-batch)."""
+    cols = ",\n  ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in METRICS_STORED.fields)
+    loc = f"\nLOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet\nPARTITIONED BY (batch_id){loc}"
+
+
+def create_metrics_table(spark, name: str = "metrics", location: str | None = None) -> None:
+    spark.sql(metrics_ddl(name, location))
+
+
 def write_metrics(metrics: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
                   options: dict | None = None) -> None:
     """Store one batch's metrics rows, stamped with the write instant.

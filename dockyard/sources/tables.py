@@ -26,6 +26,14 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, HISTORY)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored metrics row (one directory per micro-batch); empty if absent."""
-    return _scan(spark, path, METRICS_STORED)
+def read_metrics(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
+                 options: dict | None = None) -> DataFrame:
+    """Every stored metrics row; empty if absent.
+
+    Parquet store: one directory per micro-batch under `path`. A connector
+    store (e.g. format "org.apache.spark.sql.cassandra" with keyspace/table
+    options) already applies its own row lifetime and key upserts.
+    """
+    if fmt == "parquet":
+        return _scan(spark, path, METRICS_STORED)
+    return spark.read.format(fmt).options(**(options or {})).load()

@@ -5,7 +5,7 @@ import pytest
 from dockyard.config import Config, session_for
 from dockyard.sinks.jdbc import jdbc_options
 from dockyard.sinks.messages import kafka_writer_options
-from dockyard.sinks.metrics import cassandra_options
+from dockyard.sinks.metrics import cassandra_options, metrics_ddl
 from dockyard.sinks.tables import history_ddl
 from dockyard.sources.messages import message_reader_options
 
@@ -51,3 +51,11 @@ def test_history_ddl(spark, tmp_dir):
     spark.sql(ddl)
     spark.sql(ddl)  # IF NOT EXISTS
     assert spark.table("bike_points_t").columns[0] == "bike_point_id"
+
+
+def test_metrics_ddl(spark, tmp_dir):
+    ddl = metrics_ddl("metrics_t", f"{tmp_dir}/m")
+    assert "PARTITIONED BY (batch_id)" in ddl and "written_at TIMESTAMP" in ddl
+    spark.sql(ddl)
+    spark.sql(ddl)
+    assert "percentage_broken_docks" in spark.table("metrics_t").columns

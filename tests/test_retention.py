@@ -5,6 +5,8 @@ import datetime as dt
 from dockyard.operators.charts import current_state
 from dockyard.operators.retention import current_metrics, topic_retention
 from dockyard.schema import METRICS_STORED
+from dockyard.sinks.metrics import compact_metrics
+from dockyard.sources.tables import read_metrics
 
 NOW = dt.datetime(2024, 3, 1, 12, 0, 0)
 
@@ -42,3 +44,15 @@ def test_topic_retention(spark):
         "value binary, offset long, timestamp timestamp",
     )
     assert [r["offset"] for r in topic_retention(df, NOW).collect()] == [1]
+
+
+def test_compaction_keeps_live_newest_rows(spark, tmp_dir):
+    k = (dt.datetime(2024, 3, 1, 11), dt.datetime(2024, 3, 1, 11, 30))
+    log = spark.createDataFrame([
+        row(*k, 10, NOW - dt.timedelta(hours=2), 1),
+        row(*k, 12, NOW - dt.timedelta(hours=1), 2),
+        row(*k, 5, NOW - dt.timedelta(hours=30), 0),
+    ], METRICS_STORED)
+    compact_metrics(log, f"{tmp_dir}/compacted", NOW)
+    out = read_metrics(spark, f"{tmp_dir}/compacted").collect()
+    assert [(r["nb_available_bikes"], r["batch_id"]) for r in out] == [(12, 2)]
