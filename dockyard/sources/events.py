@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockyard.schema import INT_ATTRIBUTES
+from dockyard.sources.spread import spread
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The events table, spread over the cores when it comes in fewer splits than cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def _digits(x: Column, mult: int) -> Column:

@@ -1,0 +1,20 @@
+"""Spread a coarse input over the cluster's cores.
+
+A scan yields one task per file split; a single small file (or a one-partition
+topic) would run every narrow step that follows on one core. When a scan has
+fewer partitions than the session's default parallelism, it is round-robin
+repartitioned to that parallelism (deterministic under task retries, since
+Spark sorts before a round-robin repartition). A large input already has more
+splits than cores and is left untouched, so no shuffle is added at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
