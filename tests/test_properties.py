@@ -1,0 +1,150 @@
+"""Property tests: operators against brute-force Python models on random small inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from conftest import point
+
+from dockyard.operators import views
+from dockyard.operators.enrich import enrich
+from dockyard.operators.history import first_per_key, new_rows
+from dockyard.operators.metrics import fleet_metrics
+from dockyard.schema import MESSAGE
+
+# Every example runs Spark jobs, so shrinking is switched off (it would take minutes).
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck),
+                    phases=[Phase.explicit, Phase.reuse, Phase.generate])
+
+
+def _key(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+BASE = dt.datetime(2024, 1, 1)
+
+# (point index, hour offset, bikes, empty docks, offset); instants collide on purpose.
+row_st = st.tuples(st.integers(0, 3), st.integers(0, 60), st.integers(0, 6), st.one_of(st.none(), st.integers(0, 9)),
+                   st.integers(0, 10_000))
+
+
+def to_points(rows):
+    out = []
+    for i, (p, h, bikes, empty, off) in enumerate(rows):
+        when = (BASE + dt.timedelta(hours=h)).strftime("%Y-%m-%d %H:%M:%S")
+        out.append((point(f"p{p}", when, bikes=bikes, ebikes=bikes % 2, empty=empty, docks=12), off * 100 + i))
+    return out
+
+
+def frame(spark, rows):
+    """Decoded-message rows with an `offset` column, plus the plain-Python points."""
+    pts = to_points(rows)
+    schema = T.StructType(MESSAGE.fields + [T.StructField("offset", T.LongType())])
+    data = []
+    for p, off in pts:
+        r = dict(p, extraction_datetime=dt.datetime.fromisoformat(p["extraction_datetime"]))
+        data.append(tuple(r.get(n) for n in MESSAGE.fieldNames()) + (off,))
+    return spark.createDataFrame(data, schema), pts
+
+
+@SETTINGS
+@given(st.lists(row_st, max_size=14), st.lists(row_st, max_size=14))
+def test_insert_ignore_matches_model(spark, stored_rows, staging_rows):
+    stored_df, stored_pts = frame(spark, stored_rows)
+    staging_df, staging_pts = frame(spark, staging_rows)
+    stored = first_per_key(enrich(stored_df, keep=("offset",)), order_by=("offset",))
+    added = new_rows(enrich(staging_df, keep=("offset",)), stored, order_by=("offset",))
+    got = sorted((r["bike_point_id"], r["extraction_datetime"], r["offset"]) for r in added.collect())
+
+    def first(pts):
+        best = {}
+        for p, off in pts:
+            k = (p["id"], dt.datetime.fromisoformat(p["extraction_datetime"]))
+            if k not in best or off < best[k]:
+                best[k] = off
+        return best
+
+    kept = first(stored_pts)
+    want = sorted((k[0], k[1], off) for k, off in first(staging_pts).items() if k not in kept)
+    assert got == want
+
+
+def _half_up(fr: Fraction) -> Decimal:
+    return (Decimal(fr.numerator) / Decimal(fr.denominator)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
+@SETTINGS
+@given(st.lists(row_st, min_size=1, max_size=30))
+def test_peak_hours_matches_model(spark, rows):
+    df, pts = frame(spark, rows)
+    got = sorted(((r["day_of_week"], r["hour_interval"], r["avg_nb_empty_docks"])
+                  for r in views.peak_hours_by_day(enrich(df)).collect()), key=_key)
+    groups: dict[tuple, list] = {}
+    for p, _ in pts:
+        t = dt.datetime.fromisoformat(p["extraction_datetime"])
+        key = (t.strftime("%A"), t.hour)
+        groups.setdefault(key, []).append(p["NbEmptyDocks"])
+    avgs = {}
+    for (day, hour), vals in groups.items():
+        vals = [v for v in vals if v is not None]
+        avgs[(day, hour)] = _half_up(Fraction(sum(vals), len(vals))) if vals else None
+    want = []
+    for day in {d for d, _ in avgs}:
+        # dense rank, descending, nulls first
+        distinct = sorted({a for (d, _), a in avgs.items() if d == day},
+                          key=lambda a: (a is not None, -(a or 0)))
+        top = set(distinct[:3])
+        for (d, hour), a in avgs.items():
+            if d == day and a in top:
+                start = hour // 2 * 2
+                want.append((day, f"[{start}, {(start + 2) % 24}[", a))
+    assert got == sorted(want, key=_key)
+
+
+@SETTINGS
+@given(st.lists(row_st, max_size=20))
+def test_fleet_metrics_matches_model(spark, rows):
+    df, pts = frame(spark, rows)
+    got = fleet_metrics(df, tiebreak="offset").first()
+    latest = {}
+    for p, off in pts:
+        t = dt.datetime.fromisoformat(p["extraction_datetime"])
+        k = p["id"]
+        if k not in latest or (t, off) > latest[k][0]:
+            latest[k] = ((t, off), p)
+    if not latest:
+        assert got["min_extraction_datetime"] == dt.datetime(2000, 1, 1) and got["nb_available_bikes"] is None
+        return
+    chosen = [p for _, p in latest.values()]
+    inst = [t for (t, _), _ in latest.values()]
+    bikes = sum(p["NbBikes"] for p in chosen)
+    empties = [p["NbEmptyDocks"] for p in chosen if p["NbEmptyDocks"] is not None]
+    docks = sum(p["NbDocks"] for p in chosen)
+    assert got["min_extraction_datetime"] == min(inst) and got["max_extraction_datetime"] == max(inst)
+    assert got["nb_available_bikes"] == bikes
+    assert got["nb_in_use_bikes"] == (sum(empties) if empties else None)
+    assert got["percentage_available_bikes"] == float(_half_up(Fraction(100 * bikes, docks)))
+
+
+@SETTINGS
+@given(st.lists(row_st, min_size=1, max_size=30))
+def test_non_availability_matches_model(spark, rows):
+    rows = [(p, h, b % 2, e, o) for p, h, b, e, o in rows]  # many rows without bikes
+    df, pts = frame(spark, rows)
+    got = sorted((r["num_day_of_week"], r["extraction_date"], r["bike_point_id"])
+                 for r in views.non_availability_by_day(enrich(df), n=2).collect())
+    counts: dict[str, int] = {}
+    for p, _ in pts:
+        if p["NbBikes"] == 0:
+            counts[p["id"]] = counts.get(p["id"], 0) + 1
+    top = [k for k, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:2]]
+    want = set()
+    for p, _ in pts:
+        if p["id"] in top:
+            t = dt.datetime.fromisoformat(p["extraction_datetime"])
+            want.add((f"{t.isoweekday() % 7 + 1}: {t.strftime('%A')}", t.date(), p["id"]))
+    assert got == sorted(want)
