@@ -23,9 +23,9 @@ def _label() -> F.Column:
     return day_label("day_of_week_number", "day_of_week")
 
 
-def in_use_by_day(hist: DataFrame) -> DataFrame:
+def in_use_by_day(hist: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per history row: weekday label, weekday, empty docks (= bikes in use)."""
-    return hist.select(_label().alias("num_day_of_week"), "day_of_week", "nb_empty_docks")
+    return hist.select(_label().alias("num_day_of_week"), "day_of_week", "nb_empty_docks", *keep)
 
 
 def most_unavailable(hist: DataFrame, n: int = 10) -> DataFrame:
@@ -107,4 +107,4 @@ VIEW_QUERIES = {
     "mvw_broken_docks_history": lambda h: broken_docks_history(h, ordered=False),
     "mvw_peak_hours_by_day": peak_hours_by_day,
     "mvw_non_availability_by_day": non_availability_by_day,
-}
+}  # each view as a query over the whole history (the stored form is kept by sinks.tables.refresh_views)

@@ -36,6 +36,8 @@ def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True) -> None:
 
     Runs the chain in order and lets any failure stop it. Staging is written
     before the load, so the load reads a stored table, not the topic again.
+    The views are refreshed for the dates the load touched only (the first run
+    builds them in full).
     """
     fmt, opts = cfg.message_source()
     msgs = read_messages(spark, fmt, opts)
@@ -44,9 +46,9 @@ def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True) -> None:
     staging = spark.read.parquet(cfg.staging_path)
     if cfg.jdbc_url:
         write_jdbc(staging.drop("offset"), cfg.jdbc_url, "stg_bike_points", cfg.jdbc_properties(), "overwrite")
-    insert_ignore(spark, staging, cfg.history_path, order_by=("offset",))
+    dates = insert_ignore(spark, staging, cfg.history_path, order_by=("offset",))
     if refresh:
-        refresh_views(spark, cfg.history_path, cfg.views_path)
+        refresh_views(spark, cfg.history_path, cfg.views_path, dates)
 
 
 def speed_job(spark: SparkSession, cfg: Config, trigger: str | dict = STREAM_TRIGGER,

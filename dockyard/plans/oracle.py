@@ -204,6 +204,9 @@ peak AS (
 
 ORACLE_SQL["view_peak_hours"] = _PEAK + "\nSELECT day_of_week, num_day_of_week, hour_interval, avg_nb_empty_docks FROM peak"
 
+ORACLE_SQL["view_peak_hours_from_summaries"] = ORACLE_SQL["view_peak_hours"]
+ORACLE_SQL["view_non_availability_from_summaries"] = ORACLE_SQL["view_non_availability"]
+
 ORACLE_SQL["view_broken_docks"] = _w(_history()) + """
 SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, day_of_week, nb_broken_docks FROM h
 ORDER BY extraction_date DESC"""

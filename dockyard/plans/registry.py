@@ -26,6 +26,12 @@ from dockyard.operators.history import first_per_key, new_rows
 from dockyard.operators.metrics import latest_per_key, fleet_metrics
 from dockyard.operators.retention import current_metrics, topic_retention, within_retention
 from dockyard.operators.staging import encode_messages, flatten_snapshot
+from dockyard.operators.summaries import (
+    daily_points_summary,
+    hourly_summary,
+    non_availability_from_summary,
+    peak_hours_from_summary,
+)
 from dockyard.sources.events import (
     MESSAGE_COLUMNS,
     docking_rows,
@@ -206,6 +212,29 @@ def q_view_broken_docks(spark, sf):
     return oracle_types(views.broken_docks_history(_history(spark, sf)))
 
 
+def _summaries_in_two_loads(spark, sf):
+    """Date-keyed summaries built as two loads would: dates before the split, then the rest."""
+    h = _history(spark, sf)
+    split = F.to_date(F.lit(STAGING_FROM))
+    early, late = h.where(F.col("extraction_date") < split), h.where(F.col("extraction_date") >= split)
+    late_dates = h.select("extraction_date").where(F.col("extraction_date") >= split).distinct()
+    # replace_dates with the late dates given as a relation: keep early rows of other dates, add late rows
+    hourly = hourly_summary(early).join(late_dates, "extraction_date", "left_anti").unionByName(hourly_summary(late))
+    daily = daily_points_summary(early).join(late_dates, "extraction_date", "left_anti").unionByName(
+        daily_points_summary(late))
+    return hourly, daily
+
+
+def q_view_peak_hours_from_summaries(spark, sf):
+    hourly, _ = _summaries_in_two_loads(spark, sf)
+    return oracle_types(peak_hours_from_summary(hourly))
+
+
+def q_view_non_availability_from_summaries(spark, sf):
+    _, daily = _summaries_in_two_loads(spark, sf)
+    return oracle_types(non_availability_from_summary(daily))
+
+
 def q_chart_current_state(spark, sf):
     return charts.current_state(_metrics_log(spark, sf), CURRENT_AS_OF)
 
@@ -279,6 +308,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_non_availability_only_empty": q_view_non_availability_only_empty,
     "view_peak_hours": q_view_peak_hours,
     "view_broken_docks": q_view_broken_docks,
+    "view_peak_hours_from_summaries": q_view_peak_hours_from_summaries,
+    "view_non_availability_from_summaries": q_view_non_availability_from_summaries,
     "chart_current_state": q_chart_current_state,
     "chart_in_use": q_chart_in_use,
     "chart_non_availability": q_chart_non_availability,

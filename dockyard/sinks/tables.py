@@ -17,7 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockyard.operators.history import new_rows, staging_dates
-from dockyard.operators.views import VIEW_NAMES, VIEW_QUERIES
+from dockyard.operators.summaries import (
+    daily_points_summary,
+    hourly_summary,
+    non_availability_from_summary,
+    peak_hours_from_summary,
+)
+from dockyard.operators.views import broken_docks_history, in_use_by_day
 from dockyard.schema import HISTORY, HISTORY_KEY
 from dockyard.sources.tables import read_history
 
@@ -62,18 +68,21 @@ def append_history(df: DataFrame, path: str) -> None:
 
 
 def insert_ignore(spark: SparkSession, staging: DataFrame, history_path: str,
-                  order_by: tuple[str, ...] = ()) -> None:
+                  order_by: tuple[str, ...] = ()) -> list | None:
     """Load staging into history; stored keys win, repeated staging keys collapse to one.
 
     Only the history partitions of the staging dates are scanned for conflicts.
     Safe to rerun after a failure: keys already written are skipped. One writer
-    at a time (there is no lock on plain files).
+    at a time (there is no lock on plain files). Returns the staging dates (the
+    partitions a view refresh must revisit), or None when there are more than
+    the bounded list holds (then everything is refreshed).
     """
     dates = staging_dates(staging)
     history = read_history(spark, history_path)
     add = new_rows(staging, history, HISTORY_KEY, order_by,
                    prune_on="extraction_date" if dates is not None else None, prune_values=dates)
     append_history(add, history_path)
+    return dates
 
 
 def _pointer(views_path: str, name: str) -> str:
@@ -81,7 +90,7 @@ def _pointer(views_path: str, name: str) -> str:
 
 
 def materialize(df: DataFrame, views_path: str, name: str) -> str:
-    """Write `df` as a new version of view `name` and make it the current one."""
+    """Write `df` as a new version of `name` and make it the current one (small tables)."""
     spark = df.sparkSession
     version = f"{views_path}/{name}/v={int(time.time() * 1000)}"
     df.write.mode("errorifexists").parquet(version)
@@ -91,24 +100,76 @@ def materialize(df: DataFrame, views_path: str, name: str) -> str:
     return version
 
 
+# Tables that hold rows per history date are stored like history: partitioned
+# by date, and a refresh rewrites only the dates it revisits. The two per-row
+# views and the two summaries; values are the columns a reader sees.
+PARTITIONED_VIEWS = {
+    "mvw_in_use_bikes_by_day": ("num_day_of_week", "day_of_week", "nb_empty_docks"),
+    "mvw_broken_docks_history": ("extraction_date", "day_of_week", "nb_broken_docks"),
+    "summary_hourly": ("extraction_date", "day_of_week", "day_of_week_number", "hour_interval", "hour",
+                       "sum_empty_docks", "nb_empty_docks_rows"),
+    "summary_daily_points": ("bike_point_id", "extraction_date", "day_of_week_number", "day_of_week",
+                             "nb_rows", "nb_rows_without_bikes"),
+}
+
+
 def read_view(spark: SparkSession, views_path: str, name: str) -> DataFrame:
-    """Current version of a materialised view."""
+    """Current content of a stored view or summary."""
     try:
+        if name in PARTITIONED_VIEWS:
+            return spark.read.parquet(f"{views_path}/{name}").select(*PARTITIONED_VIEWS[name])
         path = spark.read.parquet(_pointer(views_path, name)).first()["path"]
     except AnalysisException as e:
         raise LookupError(f"view {name} has not been materialised under {views_path}") from e
     return spark.read.parquet(path)
 
 
-def refresh_views(spark: SparkSession, history_path: str, views_path: str,
-                  names: tuple[str, ...] | None = None) -> dict[str, str]:
-    """Recompute the stored views from the history table (all four by default).
+def _write_by_date(df: DataFrame, path: str, only_present_dates: bool) -> None:
+    """Overwrite a date-partitioned table: all of it, or only the dates present in `df`."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_present_dates else "static")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy("extraction_date")
+        .parquet(path)
+    )
+
 
-    Each view scans only its own columns of history; no cache is kept, since
-    the history table can be far larger than cluster memory.
+def refresh_views(spark: SparkSession, history_path: str, views_path: str,
+                  dates: list | None = None) -> dict[str, str]:
+    """Refresh the four stored views (and their two summaries) from history.
+
+    `dates=None` rebuilds everything from the whole table. With the dates a load
+    touched, only those history partitions are read, and the date-partitioned
+    tables (per-row views, summaries) replace just those dates; the two ranked
+    views are then recomputed from the summaries, which are far smaller than
+    history. Same result as a full rebuild; safe to repeat after a failure.
     """
     hist = read_history(spark, history_path)
+    incremental = dates is not None and all(_has(spark, views_path, n) for n in PARTITIONED_VIEWS)
+    scope = hist.where(F.col("extraction_date").isin(dates)) if incremental else hist
+    per_date = {
+        "summary_hourly": hourly_summary(scope),
+        "summary_daily_points": daily_points_summary(scope),
+        "mvw_in_use_bikes_by_day": in_use_by_day(scope, keep=("extraction_date",)),
+        "mvw_broken_docks_history": broken_docks_history(scope, ordered=False),
+    }
     out = {}
-    for name in names or VIEW_NAMES:
-        out[name] = materialize(VIEW_QUERIES[name](hist), views_path, name)
+    for name, df in per_date.items():
+        out[name] = f"{views_path}/{name}"
+        _write_by_date(df, out[name], incremental)
+    hourly = read_view(spark, views_path, "summary_hourly")
+    daily = read_view(spark, views_path, "summary_daily_points")
+    out["mvw_peak_hours_by_day"] = materialize(peak_hours_from_summary(hourly), views_path, "mvw_peak_hours_by_day")
+    out["mvw_non_availability_by_day"] = materialize(
+        non_availability_from_summary(daily), views_path, "mvw_non_availability_by_day"
+    )
     return out
+
+
+def _has(spark: SparkSession, views_path: str, name: str) -> bool:
+    try:
+        read_view(spark, views_path, name)
+        return True
+    except LookupError:
+        return False
