@@ -7,13 +7,16 @@ summary tables keyed by `extraction_date`, the partition column of history:
 
 * `hourly`: per (date, weekday, weekday number, two-hour slot, hour), the sum
   and non-null count of empty docks (at most 24 rows per date);
-* `daily_points`: per (point, date, weekday number, weekday), rows and rows
-  without a bike (points × dates rows, far below the history's size).
+* `daily_points`: per (point, date, weekday number, weekday), rows, rows
+  without a bike and the most broken docks (points × dates rows, far below
+  the history's size).
 
 A load recomputes the summary rows of the dates it touched, from those history
-partitions only, and keeps the other dates' rows (`replace_dates`). This is
-exact and idempotent: a rerun after a failure recomputes the same dates from
-what history holds. Views from summaries equal views from the full history
+partitions only, and keeps the other dates' rows (stored partitioned by date
+and replaced with a dynamic partition overwrite; `replace_dates` states the
+same rule on DataFrames). This is exact and idempotent: a rerun after a
+failure recomputes the same dates from what history holds. Views and the two
+history-sized charts computed from summaries equal those from the full history
 (`tests/test_summaries.py`, registry queries `*_from_summaries`).
 """
 
@@ -37,10 +40,11 @@ def hourly_summary(hist: DataFrame) -> DataFrame:
 
 
 def daily_points_summary(hist: DataFrame) -> DataFrame:
-    """Rows and rows without a bike per point and date."""
+    """Rows, rows without a bike, and the most broken docks per point and date."""
     return hist.groupBy(*DAILY_KEYS).agg(
         F.count(F.lit(1)).alias("nb_rows"),
         F.count(F.when(F.col("nb_bikes") == 0, F.lit(1))).alias("nb_rows_without_bikes"),
+        F.max("nb_broken_docks").alias("max_broken_docks"),
     )
 
 
@@ -97,3 +101,20 @@ def non_availability_from_summary(daily: DataFrame, n: int = 10, only_empty: boo
                 "extraction_date", "bike_point_id")
         .distinct()
     )
+
+
+def avg_in_use_from_summary(hourly: DataFrame) -> DataFrame:
+    """Bar chart (average bikes in use per weekday) from the hourly summary.
+
+    Equal to the average over every history row: the integer sum and the
+    non-null count add up exactly, and the one division happens at the end.
+    """
+    return hourly.groupBy("day_of_week_number", "day_of_week").agg(
+        F.try_divide(F.sum("sum_empty_docks").cast("double"), F.sum("nb_empty_docks_rows")).alias("avg_in_use_bikes")
+    ).select(day_label("day_of_week_number", "day_of_week").alias("num_day_of_week"), "day_of_week",
+             "avg_in_use_bikes")
+
+
+def broken_docks_by_date_from_summary(daily: DataFrame) -> DataFrame:
+    """Line chart (most broken docks per date) from the per-point-and-date summary."""
+    return daily.groupBy("extraction_date").agg(F.max("max_broken_docks").alias("max_nb_broken_docks"))

@@ -229,6 +229,9 @@ ORACLE_SQL["chart_broken_docks"] = _w(_history()) + """
 SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, max(nb_broken_docks) AS max_nb_broken_docks
 FROM h GROUP BY 1"""
 
+ORACLE_SQL["chart_in_use_from_summaries"] = ORACLE_SQL["chart_in_use"]
+ORACLE_SQL["chart_broken_docks_from_summaries"] = ORACLE_SQL["chart_broken_docks"]
+
 _LATEST_WRITE = """
 cur AS (
   SELECT * FROM log

@@ -27,6 +27,8 @@ from dockyard.operators.metrics import latest_per_key, fleet_metrics
 from dockyard.operators.retention import current_metrics, topic_retention, within_retention
 from dockyard.operators.staging import encode_messages, flatten_snapshot
 from dockyard.operators.summaries import (
+    avg_in_use_from_summary,
+    broken_docks_by_date_from_summary,
     daily_points_summary,
     hourly_summary,
     non_availability_from_summary,
@@ -235,6 +237,16 @@ def q_view_non_availability_from_summaries(spark, sf):
     return oracle_types(non_availability_from_summary(daily))
 
 
+def q_chart_in_use_from_summaries(spark, sf):
+    hourly, _ = _summaries_in_two_loads(spark, sf)
+    return avg_in_use_from_summary(hourly)
+
+
+def q_chart_broken_docks_from_summaries(spark, sf):
+    _, daily = _summaries_in_two_loads(spark, sf)
+    return oracle_types(broken_docks_by_date_from_summary(daily))
+
+
 def q_chart_current_state(spark, sf):
     return charts.current_state(_metrics_log(spark, sf), CURRENT_AS_OF)
 
@@ -315,6 +327,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chart_non_availability": q_chart_non_availability,
     "chart_peak_hours": q_chart_peak_hours,
     "chart_broken_docks": q_chart_broken_docks,
+    "chart_in_use_from_summaries": q_chart_in_use_from_summaries,
+    "chart_broken_docks_from_summaries": q_chart_broken_docks_from_summaries,
     "metrics_upsert": q_metrics_upsert,
     "metrics_ttl": q_metrics_ttl,
     "topic_retention": q_topic_retention,

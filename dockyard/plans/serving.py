@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dockyard.config import Config
 from dockyard.operators.retention import current_metrics
+from dockyard.operators.summaries import avg_in_use_from_summary, broken_docks_by_date_from_summary
 from dockyard.operators.views import VIEW_NAMES
 from dockyard.sinks.tables import read_view
 from dockyard.sources.tables import read_history, read_metrics
@@ -28,7 +29,15 @@ def register_tables(spark: SparkSession, cfg: Config, as_of=None) -> list[str]:
             names.append(v)
         except LookupError:
             continue
-    return names
+    # Chart inputs that history-sized views would otherwise feed, read from the small summaries.
+    try:
+        hourly = read_view(spark, cfg.views_path, "summary_hourly")
+        daily = read_view(spark, cfg.views_path, "summary_daily_points")
+    except LookupError:
+        return names
+    avg_in_use_from_summary(hourly).createOrReplaceTempView("chart_in_use_by_day")
+    broken_docks_by_date_from_summary(daily).createOrReplaceTempView("chart_broken_docks_by_date")
+    return names + ["chart_in_use_by_day", "chart_broken_docks_by_date"]
 
 
 def sql(spark: SparkSession, text: str) -> DataFrame:

@@ -109,7 +109,7 @@ PARTITIONED_VIEWS = {
     "summary_hourly": ("extraction_date", "day_of_week", "day_of_week_number", "hour_interval", "hour",
                        "sum_empty_docks", "nb_empty_docks_rows"),
     "summary_daily_points": ("bike_point_id", "extraction_date", "day_of_week_number", "day_of_week",
-                             "nb_rows", "nb_rows_without_bikes"),
+                             "nb_rows", "nb_rows_without_bikes", "max_broken_docks"),
 }
 
 

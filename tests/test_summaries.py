@@ -8,7 +8,10 @@ from conftest import SF_SMALL
 
 from dockyard.config import Config
 from dockyard.operators import views
+from dockyard.operators import charts
 from dockyard.operators.summaries import (
+    avg_in_use_from_summary,
+    broken_docks_by_date_from_summary,
     daily_points_summary,
     hourly_summary,
     non_availability_from_summary,
@@ -38,6 +41,8 @@ def test_summaries_merge_to_full_views(spark):
     assert same(views.peak_hours_by_day(h), peak_hours_from_summary(hourly))
     assert same(views.non_availability_by_day(h), non_availability_from_summary(daily))
     assert same(views.non_availability_by_day(h, only_empty=True), non_availability_from_summary(daily, only_empty=True))
+    assert same(charts.avg_in_use_by_day(views.in_use_by_day(h)), avg_in_use_from_summary(hourly))
+    assert same(charts.broken_docks_by_date(views.broken_docks_history(h)), broken_docks_by_date_from_summary(daily))
 
 
 def test_incremental_refresh_equals_full(spark, tmp_dir):
