@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dockyard.schema import WIRE
-from dockyard.sources.spread import spread
+from dockyard.sources.spread import default_parallelism, spread
 
 
 def message_reader_options(fmt: str, options: dict, streaming: bool, min_partitions: int | None = None) -> dict:
@@ -28,7 +28,7 @@ def message_reader_options(fmt: str, options: dict, streaming: bool, min_partiti
 def read_messages(spark: SparkSession, fmt: str = "parquet", options: dict | None = None,
                   streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Scan the topic; the result has at least `value` (binary JSON), `offset`, `timestamp`."""
-    parallelism = spark.sparkContext.defaultParallelism
+    parallelism = default_parallelism(spark)
     opts = message_reader_options(fmt, options or {}, streaming, parallelism)
     path = opts.pop("path", None)
     if streaming:

@@ -13,8 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def default_parallelism(spark) -> int | None:
+    """The cluster's default parallelism, or None where the session has no SparkContext (Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Connect sessions raise a not-implemented error here
+        return None
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    """`df`, round-robin repartitioned to `min_partitions` (default: the default parallelism)
+    only when its scan has fewer partitions than that; unchanged where partitions cannot be
+    counted (Spark Connect)."""
+    target = min_partitions or default_parallelism(df.sparkSession)
+    if not target:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view under Spark Connect
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
