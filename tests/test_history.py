@@ -6,7 +6,7 @@ from conftest import messages, point
 
 from dockyard.operators.enrich import enrich
 from dockyard.operators.history import first_per_key, new_rows
-from dockyard.sinks.tables import insert_ignore
+from dockyard.sinks.tables import empty_like, insert_ignore
 from dockyard.sources.tables import read_history
 
 
@@ -60,7 +60,7 @@ def test_parquet_insert_ignore_idempotent(spark, tmp_dir):
         [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2), ("c", "2024-01-03 10:00:00", 4)],
     )
     assert h.groupBy("bike_point_id", "extraction_datetime").count().where("count > 1").count() == 0
-    insert_ignore(spark, day1.where(F.lit(False)), path)  # empty staging: no change
+    insert_ignore(spark, empty_like(day1), path)  # empty staging: no change
     assert read_history(spark, path).count() == 3
 
 
@@ -73,3 +73,10 @@ def test_history_scan_is_pruned_to_staging_dates(spark, tmp_dir):
     plan = add._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(extraction_date" in plan and "2024-01-03" in plan.split("PartitionFilters")[1]
     assert add.count() == 0
+
+
+def test_empty_like_keeps_schema_and_prunes_scan(spark):
+    df = hist(spark, [point("a", "2024-01-01 10:00:00")])
+    e = empty_like(df)
+    assert e.schema == df.schema and e.count() == 0
+    assert "LocalTableScan" in e._jdf.queryExecution().executedPlan().toString()
