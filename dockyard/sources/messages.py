@@ -26,14 +26,23 @@ def message_reader_options(fmt: str, options: dict, streaming: bool, min_partiti
 
 
 def read_messages(spark: SparkSession, fmt: str = "parquet", options: dict | None = None,
-                  streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Scan the topic; the result has at least `value` (binary JSON), `offset`, `timestamp`."""
+                  streaming: bool = False, max_files_per_trigger: int | None = None,
+                  max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Scan the topic; the result has at least `value` (binary JSON), `offset`, `timestamp`.
+
+    Streaming reads can bound each micro-batch (`maxOffsetsPerTrigger` for Kafka,
+    `maxFilesPerTrigger` for files), so a restart after downtime does not turn
+    the backlog into one huge batch.
+    """
     parallelism = default_parallelism(spark)
     opts = message_reader_options(fmt, options or {}, streaming, parallelism)
     path = opts.pop("path", None)
     if streaming:
         r = spark.readStream.format(fmt).options(**opts)
-        if fmt != "kafka":
+        if fmt == "kafka":
+            if max_offsets_per_trigger:
+                r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        else:
             r = r.schema(WIRE)
             if max_files_per_trigger:
                 r = r.option("maxFilesPerTrigger", max_files_per_trigger)

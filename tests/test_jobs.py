@@ -76,3 +76,20 @@ def test_batch_job_reads_wire_rows(spark, tmp_dir):
     wire_messages(_rows(spark, SF_SMALL)).write.parquet(cfg.topic_dir)
     batch_job(spark, cfg, refresh=False)
     assert read_history(spark, cfg.history_path).count() == 1000
+
+
+def test_incremental_batch_reads_each_message_once(spark, tmp_dir):
+    cfg = Config(warehouse=f"{tmp_dir}/wh", topic_dir=f"{tmp_dir}/topic")
+    wire = wire_messages(_rows(spark, SF_SMALL))
+    cut = F.lit("2024-01-20").cast("timestamp")
+    wire.where(F.col("timestamp") < cut).write.parquet(cfg.topic_dir)
+    batch_job(spark, cfg, incremental=True)
+    first = read_history(spark, cfg.history_path).count()
+    wire.where(F.col("timestamp") >= cut).write.mode("append").parquet(cfg.topic_dir)
+    batch_job(spark, cfg, incremental=True)
+    # the second run staged only the new files' messages
+    assert spark.read.parquet(cfg.staging_path).count() == wire.where(F.col("timestamp") >= cut).count()
+    assert read_history(spark, cfg.history_path).count() == 1000 > first
+    batch_job(spark, cfg, incremental=True)  # nothing new: history unchanged
+    assert read_history(spark, cfg.history_path).count() == 1000
+    assert read_view(spark, cfg.views_path, "mvw_in_use_bikes_by_day").count() == 1000
