@@ -97,9 +97,14 @@ def peak_hours_by_day(hist: DataFrame, n: int = 3) -> DataFrame:
 
 
 def broken_docks_history(hist: DataFrame, ordered: bool = True) -> DataFrame:
-    """(date, weekday, broken docks) of every history row, newest date first."""
+    """(date, weekday, broken docks) of every history row, newest date first.
+
+    Rows of one date come in any order, as in the stored view; sorting them by
+    broken docks as well lets the range partitioner split a date that holds a
+    large share of all rows over several tasks instead of one.
+    """
     out = hist.select("extraction_date", "day_of_week", "nb_broken_docks")
-    return out.orderBy(F.desc("extraction_date")) if ordered else out
+    return out.orderBy(F.desc("extraction_date"), F.asc("nb_broken_docks")) if ordered else out
 
 
 VIEW_QUERIES = {
