@@ -70,3 +70,10 @@ def test_decode_valid_drops_invalid_and_parses_once(spark):
     assert [r["id"] for r in out.collect()] == ["a"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1, plan
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_null_value_gives_row_of_nulls(spark, single):
+    df = spark.createDataFrame([(None,), ('{"id":"a"}',)], "value string")
+    rows = decode_messages(df, single_parse=single).collect()
+    assert len(rows) == 2 and sorted(str(r["id"]) for r in rows) == ["None", "a"]
