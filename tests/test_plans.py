@@ -1,0 +1,38 @@
+"""Plan shape checks of the hot paths (what PLANS.md shows)."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+
+from dockyard.operators.decode import decode_messages
+from dockyard.operators.metrics import fleet_metrics
+from dockyard.plans.registry import _history, _rows
+from dockyard.sinks.tables import insert_ignore
+from dockyard.sources.events import wire_messages
+from dockyard.sources.tables import read_history
+
+
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_speed_path_parses_once_and_shuffles_twice(spark):
+    wire = wire_messages(_rows(spark, SF_SMALL))
+    plan = executed(fleet_metrics(decode_messages(wire, keep=("offset",)), tiebreak="offset"))
+    assert plan.count("from_json(") == 1
+    assert plan.count("Exchange hashpartitioning(id") == 1
+    assert plan.count("Exchange SinglePartition") == 1
+    assert "partial_max_by" in plan and "partial_sum" in plan
+
+
+def test_batch_path_parses_once(spark):
+    assert executed(_history(spark, SF_SMALL)).count("from_json(") == 1
+
+
+def test_refresh_scope_reads_one_partition_and_few_columns(spark, tmp_dir):
+    insert_ignore(spark, _history(spark, SF_SMALL), f"{tmp_dir}/h")
+    scope = read_history(spark, f"{tmp_dir}/h").where(F.col("extraction_date").isin(["2024-01-20"]))
+    plan = executed(scope.groupBy("hour").agg(F.sum("nb_empty_docks")))
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(extraction_date" in scan and "2024-01-20" in scan
+    assert "ReadSchema: struct<nb_empty_docks:int,hour:string>" in scan
