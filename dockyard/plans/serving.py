@@ -13,15 +13,16 @@ from dockyard.sources.tables import read_history, read_metrics
 
 
 def register_tables(spark: SparkSession, cfg: Config, as_of=None) -> list[str]:
-    """Temp views `bike_points`, `metrics` (live, newest per key), `metrics_log` and the stored views.
+    """Temp views `bike_points`, `metrics` (live, newest per key), `metrics_log` (all) and the stored views.
 
     Users then call `spark.sql(...)` across all of them.
     """
     names = []
     read_history(spark, cfg.history_path).createOrReplaceTempView("bike_points")
-    log = read_metrics(spark, cfg.metrics_path)
-    log.createOrReplaceTempView("metrics_log")
-    current_metrics(log, as_of).createOrReplaceTempView("metrics")
+    read_metrics(spark, cfg.metrics_path).createOrReplaceTempView("metrics_log")
+    # Live rows are at most a day old: list only the last three write dates.
+    recent = read_metrics(spark, cfg.metrics_path, recent_days=3, as_of=as_of)
+    current_metrics(recent, as_of).createOrReplaceTempView("metrics")
     names += ["bike_points", "metrics_log", "metrics"]
     for v in VIEW_NAMES:
         try:

@@ -1,7 +1,16 @@
-"""Metrics store on Parquet: one directory per micro-batch, written idempotently."""
+"""Metrics store on Parquet: one directory per micro-batch, grouped by write date.
+
+Layout `path/written_date=<yyyy-mm-dd>/batch_id=<n>/`. Rows live 24 h, so a
+reader of live metrics lists only the last few date directories
+(`sources.tables.read_metrics(recent_days=...)`): with a 3 s trigger the store
+gains tens of thousands of batch directories a day, and listing all of them
+on every read would grow without bound.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +26,12 @@ def cassandra_options(keyspace: str = "transportation", table: str = "metrics",
 
 
 def metrics_ddl(name: str = "metrics", location: str | None = None) -> str:
-    """CREATE TABLE IF NOT EXISTS for the metrics store (one directory per micro-batch)."""
-    cols = ",\n  ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in METRICS_STORED.fields)
+    """CREATE TABLE IF NOT EXISTS for the metrics store (partitioned by write date, then micro-batch)."""
+    fields = [f for f in METRICS_STORED.fields if f.name != "batch_id"]
+    cols = ",\n  ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in fields)
     loc = f"\nLOCATION '{location}'" if location else ""
-    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet\nPARTITIONED BY (batch_id){loc}"
+    return (f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols},\n  written_date DATE,\n  batch_id BIGINT\n)"
+            f" USING parquet\nPARTITIONED BY (written_date, batch_id){loc}")
 
 
 def create_metrics_table(spark, name: str = "metrics", location: str | None = None) -> None:
@@ -28,21 +39,24 @@ def create_metrics_table(spark, name: str = "metrics", location: str | None = No
 
 
 def write_metrics(metrics: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
-                  options: dict | None = None) -> None:
+                  options: dict | None = None, written_date: str | None = None) -> None:
     """Store one batch's metrics rows, stamped with the write instant.
 
-    Parquet: `path/batch_id=<n>/` is overwritten, so a replayed micro-batch
-    replaces its own output instead of adding a second row. Connector formats
-    (e.g. Cassandra) append; their key makes a replay an upsert.
+    Parquet: `path/written_date=<today>/batch_id=<n>/` is overwritten, so a
+    replayed micro-batch replaces its own output instead of adding a second row
+    (a replay on the next day leaves a copy under the old date, which the
+    read-side last-write-wins folds into one row). Connector formats (e.g.
+    Cassandra) append; their key makes a replay an upsert.
     """
     rows = metrics.select(*METRICS.fieldNames()).withColumn("written_at", F.current_timestamp())
     if fmt == "parquet":
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        day = written_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/written_date={day}/batch_id={batch_id}")
     else:
         rows.write.format(fmt).options(**(options or {})).mode("append").save()
 
 
 def compact_metrics(log: DataFrame, out_path: str, as_of=None) -> None:
-    """Rewrite only the live, newest-per-key metrics rows to `out_path` (a new location)."""
-    live = current_metrics(log, as_of)
-    live.write.mode("errorifexists").partitionBy("batch_id").parquet(out_path)
+    """Rewrite only the live, newest-per-key metrics rows to `out_path` (a new location, same layout)."""
+    live = current_metrics(log, as_of).withColumn("written_date", F.to_date("written_at"))
+    live.write.mode("errorifexists").partitionBy("written_date", "batch_id").parquet(out_path)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from dockyard.schema import HISTORY, METRICS_STORED
 
@@ -26,14 +29,45 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, HISTORY)
 
 
+# Stored metrics as laid out on disk: the row, then the two partition columns.
+_METRICS_ON_DISK = T.StructType(
+    [f for f in METRICS_STORED.fields if f.name != "batch_id"]
+    + [T.StructField("written_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+)
+
+
 def read_metrics(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                 options: dict | None = None) -> DataFrame:
-    """Every stored metrics row; empty if absent.
+                 options: dict | None = None, recent_days: int | None = None, as_of=None) -> DataFrame:
+    """Stored metrics rows; empty if absent.
 
-    Parquet store: one directory per micro-batch under `path`. A connector
-    store (e.g. format "org.apache.spark.sql.cassandra" with keyspace/table
-    options) already applies its own row lifetime and key upserts.
+    Parquet store (`written_date=<d>/batch_id=<n>/` under `path`): everything,
+    or with `recent_days` only the directories of the last that many write
+    dates up to `as_of` (default today, UTC), so the listing stays small
+    however old the store is. Rows live 24 h: `recent_days=3` covers a day's
+    lifetime with a day of slack on each side. A connector store (e.g. format
+    "org.apache.spark.sql.cassandra" with keyspace/table options) applies its
+    own row lifetime and key upserts.
     """
-    if fmt == "parquet":
-        return _scan(spark, path, METRICS_STORED)
-    return spark.read.format(fmt).options(**(options or {})).load()
+    if fmt != "parquet":
+        return spark.read.format(fmt).options(**(options or {})).load()
+    if not recent_days:
+        return _scan(spark, path, _METRICS_ON_DISK).select(*METRICS_STORED.fieldNames())
+    end = _as_date(as_of)
+    days = ",".join((end - dt.timedelta(days=i)).isoformat() for i in range(recent_days))
+    try:
+        df = spark.read.schema(_METRICS_ON_DISK).option("basePath", path).parquet(f"{path}/written_date={{{days}}}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], METRICS_STORED)
+    return df.select(*METRICS_STORED.fieldNames())
+
+
+def _as_date(as_of) -> dt.date:
+    if as_of is None:
+        return dt.datetime.now(dt.timezone.utc).date()
+    if isinstance(as_of, dt.datetime):
+        return as_of.date()
+    if isinstance(as_of, dt.date):
+        return as_of
+    return dt.date.fromisoformat(str(as_of)[:10])

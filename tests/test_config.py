@@ -55,7 +55,7 @@ def test_history_ddl(spark, tmp_dir):
 
 def test_metrics_ddl(spark, tmp_dir):
     ddl = metrics_ddl("metrics_t", f"{tmp_dir}/m")
-    assert "PARTITIONED BY (batch_id)" in ddl and "written_at TIMESTAMP" in ddl
+    assert "PARTITIONED BY (written_date, batch_id)" in ddl and "written_at TIMESTAMP" in ddl
     spark.sql(ddl)
     spark.sql(ddl)
     assert "percentage_broken_docks" in spark.table("metrics_t").columns

@@ -56,3 +56,20 @@ def test_compaction_keeps_live_newest_rows(spark, tmp_dir):
     compact_metrics(log, f"{tmp_dir}/compacted", NOW)
     out = read_metrics(spark, f"{tmp_dir}/compacted").collect()
     assert [(r["nb_available_bikes"], r["batch_id"]) for r in out] == [(12, 2)]
+
+
+def test_recent_read_lists_only_recent_write_dates(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from dockyard.sinks.metrics import write_metrics
+
+    k = (dt.datetime(2024, 3, 1, 1), dt.datetime(2024, 3, 1, 2))
+    m = spark.createDataFrame([row(*k, 1, NOW, 0)], METRICS_STORED).drop("written_at", "batch_id")
+    for n, day in enumerate(["2024-02-01", "2024-02-28", "2024-02-29", "2024-03-01"]):
+        write_metrics(m.withColumn("nb_available_bikes", F.lit(n).cast("bigint")), f"{tmp_dir}/m", n, written_date=day)
+    assert read_metrics(spark, f"{tmp_dir}/m").count() == 4
+    recent = read_metrics(spark, f"{tmp_dir}/m", recent_days=3, as_of=NOW)
+    assert sorted(r["batch_id"] for r in recent.collect()) == [1, 2, 3]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "2024-02-01" not in plan
+    assert read_metrics(spark, f"{tmp_dir}/nothing", recent_days=3, as_of=NOW).count() == 0

@@ -40,9 +40,9 @@ def test_stream_equals_batch_per_file_and_restart(spark, tmp_dir):
     cols = expected.columns
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, expected.collect()))
     assert got.where(F.col("written_at").isNull()).count() == 0
-    batches = sorted(glob.glob(f"{tmp_dir}/sink/batch_id=*"))
+    batches = sorted(glob.glob(f"{tmp_dir}/sink/written_date=*/batch_id=*"))
     again = run(spark, tmp_dir)  # same checkpoint: nothing new
-    assert sorted(glob.glob(f"{tmp_dir}/sink/batch_id=*")) == batches and again.count() == len(DAYS)
+    assert sorted(glob.glob(f"{tmp_dir}/sink/written_date=*/batch_id=*")) == batches and again.count() == len(DAYS)
 
 
 def test_late_after_drops_repeated_messages(spark, tmp_dir):
