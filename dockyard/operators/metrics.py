@@ -64,7 +64,7 @@ def _totals(ts: str, with_points: bool = False) -> list[Column]:
 
 def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_datetime",
                   tiebreak: str | None = None, drop_invalid: bool = False,
-                  group: str | None = None, with_points: bool = False) -> DataFrame:
+                  group=None, with_points: bool = False) -> DataFrame:
     """One row: min/max of the per-point newest instants, and four counts with their rates.
 
     * available bikes / e-bikes: sums of the newest NbBikes / NbEBikes;
@@ -74,8 +74,9 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
     null when that sum is 0. With no row at all, min/max read 2000-01-01.
     Unreadable messages form one null-id group unless `drop_invalid` is set.
 
-    With `group` (e.g. a poll or file column) the same row is computed for every
-    group value independently, as one two-level aggregation. `with_points` adds
+    With `group` (a column or list of columns, e.g. a poll or file column) the
+    same row is computed for every group value independently, as one two-level
+    aggregation. `with_points` adds
     `nb_points`, the number of docking points seen (0 for an empty input).
     """
     df = msgs
@@ -83,9 +84,9 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
         df = df.withColumn("NbBrokenDocks", broken_docks())
     if drop_invalid:
         df = df.where(F.col(key).isNotNull())
-    outer = [group] if group else []
+    outer = _keys(group) if group else []
     cols = [*outer, key, *COUNT_COLUMNS, ts] + ([tiebreak] if tiebreak else [])
     latest = latest_per_key(df.select(*cols), [*outer, key], ts, COUNT_COLUMNS, tiebreak)
-    if group:
-        return latest.groupBy(group).agg(*_totals(ts, with_points))
+    if outer:
+        return latest.groupBy(*outer).agg(*_totals(ts, with_points))
     return latest.agg(*_totals(ts, with_points))

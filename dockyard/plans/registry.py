@@ -88,16 +88,19 @@ def _history(spark: SparkSession, sf: str, keep: tuple[str, ...] = (), unit: str
 def _metrics_log(spark: SparkSession, sf: str) -> DataFrame:
     """A metrics store as the stream would fill it, one poll = one day of messages.
 
-    Each day is written once (written_at = newest instant + 1 min) and, for
-    points' non-error messages only, a second time one minute later; where
-    both writes share (min, max) the second one must win.
+    Each day is written once (round 0: all messages, written_at = newest
+    instant + 1 min) and again from its non-error messages only (round 1, one
+    minute later); where both writes share (min, max) the second one must win.
+    One scan serves both rounds: each message is tagged with the rounds it
+    belongs to, and the rounds are aggregated side by side.
     """
-    dec = _decoded(spark, sf).withColumn("day", F.to_date("extraction_datetime"))
-    first = fleet_metrics(dec, tiebreak="offset", group="day").withColumn("round", F.lit(0))
-    second = fleet_metrics(dec.where(F.col("Installed") == "true"), tiebreak="offset", group="day").withColumn(
-        "round", F.lit(1)
+    rounds = F.when(F.col("Installed") == "true", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    dec = (
+        _decoded(spark, sf)
+        .withColumn("day", F.to_date("extraction_datetime"))
+        .withColumn("round", F.explode(rounds))
     )
-    both = first.unionByName(second)
+    both = fleet_metrics(dec, tiebreak="offset", group=["day", "round"])
     return both.select(
         *[c for c in both.columns if c not in ("day", "round")],
         (F.col("max_extraction_datetime") + F.make_dt_interval(mins=F.col("round") + 1)).alias("written_at"),
