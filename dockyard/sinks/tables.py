@@ -56,9 +56,16 @@ def write_staging(df: DataFrame, path: str) -> None:
 
 
 def append_history(df: DataFrame, path: str) -> None:
-    """Append history rows, partitioned by date, point-sorted inside each file."""
+    """Append history rows, partitioned by date, point-sorted inside each file.
+
+    Rows are rebalanced on the date first: without it every task writes a file
+    into every date it holds (tasks × dates small files per load). With the
+    rebalance, AQE packs each date into files of the advisory size and splits a
+    date that holds a large share of the rows over several tasks.
+    """
     (
         df.select(*HISTORY.fieldNames())
+        .hint("rebalance", "extraction_date")
         .sortWithinPartitions("extraction_date", "bike_point_id", "extraction_datetime")
         .write.mode("append")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -127,7 +134,8 @@ def read_view(spark: SparkSession, views_path: str, name: str) -> DataFrame:
 def _write_by_date(df: DataFrame, path: str, only_present_dates: bool) -> None:
     """Overwrite a date-partitioned table: all of it, or only the dates present in `df`."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "extraction_date")  # few, full files per date (see append_history)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if only_present_dates else "static")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("extraction_date")
