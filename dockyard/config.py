@@ -119,6 +119,10 @@ def session_for(profile: str, tz: str = "UTC", config: Config | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Coalesce to the advisory size rather than to the most tasks: rebalanced writes then
+        # produce files of about that size, and tiny post-aggregation partitions are merged.
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     if config is not None and config.shuffle_partitions:
