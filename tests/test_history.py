@@ -80,3 +80,15 @@ def test_empty_like_keeps_schema_and_prunes_scan(spark):
     e = empty_like(df)
     assert e.schema == df.schema and e.count() == 0
     assert "LocalTableScan" in e._jdf.queryExecution().executedPlan().toString()
+
+
+def test_too_many_staging_dates_falls_back_to_whole_table(spark, tmp_dir, monkeypatch):
+    import dockyard.operators.history as H
+
+    path = f"{tmp_dir}/history"
+    rows = [point("a", f"2024-01-0{d} 10:00:00", bikes=d) for d in range(1, 6)]
+    insert_ignore(spark, hist(spark, rows[:3]), path)
+    monkeypatch.setattr(H, "MAX_PRUNE_DATES", 2)
+    assert H.staging_dates(hist(spark, rows)) is None
+    insert_ignore(spark, hist(spark, rows), path)  # 5 dates > 2: no date list, same result
+    assert keyset(read_history(spark, path)) == [("a", f"2024-01-0{d} 10:00:00", d) for d in range(1, 6)]

@@ -93,3 +93,18 @@ def test_incremental_batch_reads_each_message_once(spark, tmp_dir):
     batch_job(spark, cfg, incremental=True)  # nothing new: history unchanged
     assert read_history(spark, cfg.history_path).count() == 1000
     assert read_view(spark, cfg.views_path, "mvw_in_use_bikes_by_day").count() == 1000
+
+
+def test_served_charts_equal_charts_over_history(spark, tmp_dir):
+    from dockyard.operators import charts, views
+
+    cfg = Config(warehouse=f"{tmp_dir}/wh", topic_dir=f"{tmp_dir}/topic")
+    wire_messages(_rows(spark, SF_SMALL)).write.parquet(cfg.topic_dir)
+    batch_job(spark, cfg)
+    register_tables(spark, cfg)
+    h = read_history(spark, cfg.history_path)
+    want_in_use = sorted(map(tuple, charts.avg_in_use_by_day(views.in_use_by_day(h)).collect()))
+    got_in_use = sorted(map(tuple, spark.table("chart_in_use_by_day").collect()))
+    assert got_in_use == want_in_use
+    want_broken = sorted(map(tuple, charts.broken_docks_by_date(views.broken_docks_history(h)).collect()))
+    assert sorted(map(tuple, spark.table("chart_broken_docks_by_date").collect())) == want_broken
