@@ -1,7 +1,8 @@
-"""The four stored summaries of the history table.
+"""The four stored summaries of the history table, as queries over history rows.
 
-Each is a plain DataFrame query over history rows; `dockyard.sinks.tables`
-materialises them and `refresh_views` recomputes all four after a load.
+`dockyard.sinks.tables.refresh_views` stores them after each load: the two
+per-row views per touched date, the two ranked views from the date-keyed
+summaries of `dockyard.operators.summaries` (same results as these queries).
 """
 
 from __future__ import annotations

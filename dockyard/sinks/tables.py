@@ -1,11 +1,15 @@
 """History table, staging table and materialised views on Parquet.
 
-* History: partitioned by `extraction_date`; rows sorted by point inside each
-  file so row-group statistics skip on point and weekday filters.
+* History: partitioned by `extraction_date`, rebalanced on the date before each
+  append; rows sorted by point inside each file so row-group statistics skip
+  on point and weekday filters.
 * Staging: replaced on each batch run (written once, read by the load; this
   also cuts the lineage back to the topic).
-* Views: each refresh writes a new version directory, then repoints; a view
-  is never overwritten in the plan that reads it.
+* Per-row views and summaries: partitioned by date like history; a refresh
+  replaces only the dates a load touched (dynamic partition overwrite).
+* Ranked views (peak hours, non-availability): small; each refresh writes a
+  new version directory, then repoints. No table is overwritten by a plan
+  that reads it.
 """
 
 from __future__ import annotations
