@@ -17,18 +17,36 @@ from dockyard.sources.snapshots import read_snapshots
 from dockyard.streaming.metrics_stream import run_metrics_stream
 
 
-def stage_job(spark: SparkSession, cfg: Config, snapshots_path: str | None = None) -> None:
-    """Landed snapshot files -> flat JSON messages on the topic (one lazy plan, one write)."""
-    raw = read_snapshots(spark, snapshots_path or cfg.landing_dir)
+def stage_job(spark: SparkSession, cfg: Config, snapshots_path: str | None = None,
+              incremental: bool = False) -> None:
+    """Landed snapshot files -> flat JSON messages on the topic.
+
+    Default: one batch over every landed file (one lazy plan, one write).
+    `incremental=True`: a file stream over the landing directory with a
+    checkpoint and an `availableNow` trigger, so each snapshot file is staged
+    exactly once across runs, as each poll is published once. A file topic
+    then belongs to this stream (its sink log lists the committed files).
+    """
+    raw = read_snapshots(spark, snapshots_path or cfg.landing_dir, streaming=incremental)
     flat = flatten_snapshot(raw, cfg.tz)
     if cfg.kafka_servers:
-        write_messages(encode_messages(flat), "kafka", kafka_writer_options(cfg.kafka_servers, cfg.topic))
-        return
-    framed = flat.withColumn("offset", F.monotonically_increasing_id()).withColumn(
-        "timestamp", F.current_timestamp()
-    )
-    wire = encode_messages(framed, keep=("offset", "timestamp"))
-    write_messages(wire, "parquet", {"path": cfg.topic_dir})
+        msgs = encode_messages(flat)
+        if not incremental:
+            write_messages(msgs, "kafka", kafka_writer_options(cfg.kafka_servers, cfg.topic))
+            return
+        w = msgs.writeStream.format("kafka").options(**kafka_writer_options(cfg.kafka_servers, cfg.topic))
+    else:
+        # File topic: the arrival instant stands in for the broker timestamp; a batch run also numbers
+        # its messages (the offset that settles equal instants), a stream leaves the offset empty.
+        offset = F.lit(None).cast("long") if incremental else F.monotonically_increasing_id()
+        framed = flat.withColumn("offset", offset).withColumn("timestamp", F.current_timestamp())
+        wire = encode_messages(framed, keep=("offset", "timestamp"))
+        if not incremental:
+            write_messages(wire, "parquet", {"path": cfg.topic_dir})
+            return
+        w = wire.writeStream.format("parquet").option("path", cfg.topic_dir)
+    q = w.option("checkpointLocation", cfg.checkpoint("stage")).trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bool = True) -> None:

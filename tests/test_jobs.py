@@ -108,3 +108,21 @@ def test_served_charts_equal_charts_over_history(spark, tmp_dir):
     assert got_in_use == want_in_use
     want_broken = sorted(map(tuple, charts.broken_docks_by_date(views.broken_docks_history(h)).collect()))
     assert sorted(map(tuple, spark.table("chart_broken_docks_by_date").collect())) == want_broken
+
+
+def test_incremental_stage_publishes_each_snapshot_once(spark, tmp_dir):
+    cfg = Config(warehouse=f"{tmp_dir}/wh", landing_dir=f"{tmp_dir}/landing", topic_dir=f"{tmp_dir}/topic")
+    n = land_snapshots(spark, cfg.landing_dir)
+    stage_job(spark, cfg, incremental=True)
+    assert spark.read.parquet(cfg.topic_dir).count() == n
+    stage_job(spark, cfg, incremental=True)  # nothing new landed: nothing published
+    assert spark.read.parquet(cfg.topic_dir).count() == n
+    extra = [{"id": "BikePoints_x", "commonName": "x", "lat": 51.5, "lon": -0.1,
+              "additionalProperties": [{"category": "Description", "key": "NbBikes", "sourceSystemKey": "s",
+                                        "value": "3", "modified": "2024-01-06T10:00:00.000Z"}]}]
+    with open(f"{cfg.landing_dir}/snapshot-extra.json", "w") as f:
+        json.dump(extra, f)
+    stage_job(spark, cfg, incremental=True)
+    assert spark.read.parquet(cfg.topic_dir).count() == n + 1
+    batch_job(spark, cfg, refresh=False)
+    assert read_history(spark, cfg.history_path).where("bike_point_id = 'BikePoints_x'").count() == 1
