@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockyard.schema import INT_ATTRIBUTES
+from dockyard.operators.staging import encode_messages
+from dockyard.schema import MESSAGE
 from dockyard.sources.spread import spread
 
 
@@ -62,12 +63,7 @@ def docking_rows(events: DataFrame, ts_unit: str = "second") -> DataFrame:
     )
 
 
-# Message column order of the integer attributes.
-INT_ATTRIBUTES_ORDER = ("NbBikes", "NbEBikes", "NbEmptyDocks", "NbDocks")
-assert set(INT_ATTRIBUTES_ORDER) == set(INT_ATTRIBUTES)
-
-MESSAGE_COLUMNS = ("id", "common_name", "lat", "lon", "Installed", "Locked",
-                   *INT_ATTRIBUTES_ORDER, "extraction_datetime")
+MESSAGE_COLUMNS = tuple(MESSAGE.fieldNames())
 
 
 def message_fields(rows: DataFrame) -> DataFrame:
@@ -77,8 +73,6 @@ def message_fields(rows: DataFrame) -> DataFrame:
 
 def wire_messages(rows: DataFrame) -> DataFrame:
     """Derived rows as they travel on the topic: JSON `value`, `offset`, arrival `timestamp`."""
-    from dockyard.operators.staging import encode_messages
-
     framed = rows.select(*MESSAGE_COLUMNS, F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
     return encode_messages(framed, keep=("offset", "timestamp"))
 
