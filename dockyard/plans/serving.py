@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dockyard.config import Config
+from dockyard.operators.charts import current_state, non_availability_heatmap, peak_hours_heatmap
 from dockyard.operators.retention import current_metrics
 from dockyard.operators.summaries import avg_in_use_from_summary, broken_docks_by_date_from_summary
 from dockyard.operators.views import VIEW_NAMES
@@ -13,32 +14,41 @@ from dockyard.sources.tables import read_history, read_metrics
 
 
 def register_tables(spark: SparkSession, cfg: Config, as_of=None) -> list[str]:
-    """Temp views `bike_points`, `metrics` (live, newest per key), `metrics_log` (all) and the stored views.
-
-    Users then call `spark.sql(...)` across all of them.
+    """Temp views over history, metrics, the stored views and the five charts.
+
+    `bike_points` (history), `metrics_log` (every stored metrics row),
+    `metrics` (live rows, newest per key), the four `mvw_*` views, and the
+    charts: `chart_current_state`, `chart_in_use_by_day`,
+    `chart_non_availability`, `chart_peak_hours`, `chart_broken_docks_by_date`.
+    The two charts that would otherwise scan history-sized views are read from
+    the small date-keyed summaries. Users then call `spark.sql(...)` across all
+    of them. Returns the names registered (views not yet built are skipped).
     """
-    names = []
-    read_history(spark, cfg.history_path).createOrReplaceTempView("bike_points")
-    read_metrics(spark, cfg.metrics_path).createOrReplaceTempView("metrics_log")
+    views: dict[str, DataFrame] = {"bike_points": read_history(spark, cfg.history_path),
+                                   "metrics_log": read_metrics(spark, cfg.metrics_path)}
     # Live rows are at most a day old: list only the last three write dates.
     recent = read_metrics(spark, cfg.metrics_path, recent_days=3, as_of=as_of)
-    current_metrics(recent, as_of).createOrReplaceTempView("metrics")
-    names += ["bike_points", "metrics_log", "metrics"]
-    for v in VIEW_NAMES:
+    views["metrics"] = current_metrics(recent, as_of)
+    views["chart_current_state"] = current_state(recent, as_of)
+    stored = {}
+    for v in (*VIEW_NAMES, "summary_hourly", "summary_daily_points"):
         try:
-            read_view(spark, cfg.views_path, v).createOrReplaceTempView(v)
-            names.append(v)
+            stored[v] = read_view(spark, cfg.views_path, v)
         except LookupError:
             continue
-    # Chart inputs that history-sized views would otherwise feed, read from the small summaries.
-    try:
-        hourly = read_view(spark, cfg.views_path, "summary_hourly")
-        daily = read_view(spark, cfg.views_path, "summary_daily_points")
-    except LookupError:
-        return names
-    avg_in_use_from_summary(hourly).createOrReplaceTempView("chart_in_use_by_day")
-    broken_docks_by_date_from_summary(daily).createOrReplaceTempView("chart_broken_docks_by_date")
-    return names + ["chart_in_use_by_day", "chart_broken_docks_by_date"]
+    views.update({v: df for v, df in stored.items() if v in VIEW_NAMES})
+    charts = {
+        "chart_in_use_by_day": ("summary_hourly", avg_in_use_from_summary),
+        "chart_non_availability": ("mvw_non_availability_by_day", non_availability_heatmap),
+        "chart_peak_hours": ("mvw_peak_hours_by_day", peak_hours_heatmap),
+        "chart_broken_docks_by_date": ("summary_daily_points", broken_docks_by_date_from_summary),
+    }
+    for name, (source, chart) in charts.items():
+        if source in stored:
+            views[name] = chart(stored[source])
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
 
 
 def sql(spark: SparkSession, text: str) -> DataFrame:

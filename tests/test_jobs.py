@@ -61,8 +61,12 @@ def test_stage_batch_speed_and_sql(spark, tmp_dir):
     metrics = read_metrics(spark, cfg.metrics_path)
     assert metrics.count() >= 1
 
-    names = register_tables(spark, cfg, as_of="2100-01-01 00:00:00")
-    assert {"bike_points", "metrics", "metrics_log", "mvw_peak_hours_by_day"} <= set(names)
+    names = register_tables(spark, cfg)
+    assert {"bike_points", "metrics", "metrics_log", "mvw_peak_hours_by_day", "chart_current_state",
+            "chart_in_use_by_day", "chart_non_availability", "chart_peak_hours",
+            "chart_broken_docks_by_date"} <= set(names)
+    assert spark.table("chart_current_state").count() == 1  # written moments ago: live
+    assert spark.table("chart_peak_hours").count() > 0 and spark.table("chart_non_availability").count() > 0
     out = spark.sql("""
         SELECT v.num_day_of_week, count(*) AS n
         FROM mvw_in_use_bikes_by_day v JOIN bike_points b ON v.day_of_week = b.day_of_week
