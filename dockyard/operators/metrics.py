@@ -79,13 +79,11 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
     aggregation. `with_points` adds
     `nb_points`, the number of docking points seen (0 for an empty input).
     """
-    df = msgs
-    if "NbBrokenDocks" not in df.columns:
-        df = df.withColumn("NbBrokenDocks", broken_docks())
-    if drop_invalid:
-        df = df.where(F.col(key).isNotNull())
+    df = msgs.where(F.col(key).isNotNull()) if drop_invalid else msgs
     outer = _keys(group) if group else []
-    cols = [*outer, key, *COUNT_COLUMNS, ts] + ([tiebreak] if tiebreak else [])
+    broken = F.col("NbBrokenDocks") if "NbBrokenDocks" in df.columns else broken_docks()
+    cols = [*outer, key, *[c for c in COUNT_COLUMNS if c != "NbBrokenDocks"], broken.alias("NbBrokenDocks"), ts]
+    cols += [tiebreak] if tiebreak else []
     latest = latest_per_key(df.select(*cols), [*outer, key], ts, COUNT_COLUMNS, tiebreak)
     if outer:
         return latest.groupBy(*outer).agg(*_totals(ts, with_points))

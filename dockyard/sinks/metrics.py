@@ -48,7 +48,7 @@ def write_metrics(metrics: DataFrame, path: str, batch_id: int, fmt: str = "parq
     read-side last-write-wins folds into one row). Connector formats (e.g.
     Cassandra) append; their key makes a replay an upsert.
     """
-    rows = metrics.select(*METRICS.fieldNames()).withColumn("written_at", F.current_timestamp())
+    rows = metrics.select(*METRICS.fieldNames(), F.current_timestamp().alias("written_at"))
     if fmt == "parquet":
         day = written_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
         rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/written_date={day}/batch_id={batch_id}")
