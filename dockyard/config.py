@@ -102,19 +102,21 @@ class Config:
 
 
 def session_for(profile: str, tz: str = "UTC", config: Config | None = None,
-                builder: SparkSession.Builder | None = None) -> SparkSession:
+                builder: SparkSession.Builder | None = None, ui: bool = False) -> SparkSession:
     """Session for the batch or the speed job.
 
     AQE re-plans joins and coalesces shuffle partitions at run time; skew-join
     splitting is on because one docking point may carry a large share of rows.
     The session time zone is pinned: messages carry wall-clock times in `tz`.
     Every write states its own overwrite mode, so no session default is changed.
+    The web UI stays off unless `ui=True` (it is a server with an open port).
     """
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}, not {profile!r}")
     b = builder or SparkSession.builder
     b = (
         b.appName(f"dockyard-{profile}")
+        .config("spark.ui.enabled", str(ui).lower())
         .config("spark.sql.session.timeZone", tz)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

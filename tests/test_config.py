@@ -59,3 +59,20 @@ def test_metrics_ddl(spark, tmp_dir):
     spark.sql(ddl)
     spark.sql(ddl)
     assert "percentage_broken_docks" in spark.table("metrics_t").columns
+
+
+def test_session_for_settings(spark):
+    keys = ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst", "spark.sql.parquet.compression.codec")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        s = session_for("batch")  # the active session, with the settings applied
+        assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert s.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        assert s.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
