@@ -73,3 +73,15 @@ def test_recent_read_lists_only_recent_write_dates(spark, tmp_dir):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "2024-02-01" not in plan
     assert read_metrics(spark, f"{tmp_dir}/nothing", recent_days=3, as_of=NOW).count() == 0
+
+
+def test_live_clock_retention(spark):
+    from dockyard.operators.retention import within_retention
+
+    now = dt.datetime.now()
+    df = spark.createDataFrame(
+        [(1, now - dt.timedelta(hours=1)), (2, now - dt.timedelta(hours=30)), (3, now + dt.timedelta(hours=1))],
+        "n int, written_at timestamp",
+    )
+    # without an explicit clock: now - 24 h < written_at; later stamps are kept (writer clocks may run ahead)
+    assert sorted(r["n"] for r in within_retention(df, "written_at", 86_400).collect()) == [1, 3]
