@@ -19,6 +19,9 @@ from dockyard.operators.decode import decode_messages
 from dockyard.operators.metrics import fleet_metrics
 from dockyard.sinks.metrics import write_metrics
 
+# The message fields the speed path reads (name, position and flags are not parsed).
+SPEED_FIELDS = ("id", "NbBikes", "NbEBikes", "NbEmptyDocks", "NbDocks", "extraction_datetime")
+
 
 def metrics_batch_writer(sink_path: str, fmt: str = "parquet", options: dict | None = None,
                          decoded: bool = False, drop_invalid: bool = False):
@@ -30,7 +33,7 @@ def metrics_batch_writer(sink_path: str, fmt: str = "parquet", options: dict | N
 
     def process(batch: DataFrame, batch_id: int) -> None:
         keep = ("offset",) if "offset" in batch.columns else ()
-        msgs = batch if decoded else decode_messages(batch, keep=keep)
+        msgs = batch if decoded else decode_messages(batch, keep=keep, fields=SPEED_FIELDS)
         tiebreak = "offset" if "offset" in msgs.columns else None
         metrics = fleet_metrics(msgs, tiebreak=tiebreak, drop_invalid=drop_invalid, with_points=True)
         write_metrics(metrics.where(F.col("nb_points") > 0), sink_path, batch_id, fmt, options)

@@ -77,3 +77,9 @@ def test_null_value_gives_row_of_nulls(spark, single):
     df = spark.createDataFrame([(None,), ('{"id":"a"}',)], "value string")
     rows = decode_messages(df, single_parse=single).collect()
     assert len(rows) == 2 and sorted(str(r["id"]) for r in rows) == ["None", "a"]
+
+
+def test_subset_of_fields(spark):
+    df = spark.createDataFrame([(NORMAL,)], "value string")
+    r = decode_messages(df, fields=("id", "NbBikes")).first().asDict()
+    assert r == {"id": "a", "NbBikes": 10}

@@ -25,6 +25,17 @@ def test_speed_path_parses_once_and_shuffles_twice(spark):
     assert "partial_max_by" in plan and "partial_sum" in plan
 
 
+def test_speed_path_parses_only_its_fields(spark):
+    from dockyard.streaming.metrics_stream import SPEED_FIELDS
+
+    wire = wire_messages(_rows(spark, SF_SMALL))
+    plan = executed(fleet_metrics(decode_messages(wire, keep=("offset",), fields=SPEED_FIELDS), tiebreak="offset"))
+    line = [x for x in plan.splitlines() if "from_json(" in x][0]
+    schema = line.split("from_json(", 1)[1].split(", cast(", 1)[0]  # the parsed fields, before the input
+    assert "StructField(NbBikes" in schema
+    assert "common_name" not in schema and "StructField(lat" not in schema and "Installed" not in schema
+
+
 def test_batch_path_parses_once(spark):
     assert executed(_history(spark, SF_SMALL)).count("from_json(") == 1
 

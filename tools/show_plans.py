@@ -50,6 +50,7 @@ def main() -> None:
     from dockyard.sinks.tables import insert_ignore
     from dockyard.sources.events import wire_messages
     from dockyard.sources.tables import read_history
+    from dockyard.streaming.metrics_stream import SPEED_FIELDS
 
     wire = wire_messages(_rows(spark, sf))
     hist = _history(spark, sf)
@@ -58,7 +59,8 @@ def main() -> None:
     stored = read_history(spark, f"{root}/history")
     staging = hist.where(F.col("extraction_date") == "2024-01-20")
     shown = {
-        "speed path: decode + fleet metrics": fleet_metrics(decode_messages(wire, keep=("offset",)), tiebreak="offset"),
+        "speed path: decode + fleet metrics": fleet_metrics(
+            decode_messages(wire, keep=("offset",), fields=SPEED_FIELDS), tiebreak="offset"),
         "batch path: decode once, validity filter, enrich": hist,
         "insert-ignore: dedup + anti-join on the staging dates' partitions": new_rows(
             staging, stored, order_by=(), prune_on="extraction_date", prune_values=["2024-01-20"]),
