@@ -148,3 +148,47 @@ def test_non_availability_matches_model(spark, rows):
             t = dt.datetime.fromisoformat(p["extraction_datetime"])
             want.add((f"{t.isoweekday() % 7 + 1}: {t.strftime('%A')}", t.date(), p["id"]))
     assert got == sorted(want)
+
+
+# Snapshot flattening against a plain-Python model of the staging rules.
+KEYS = ("Installed", "Locked", "NbBikes", "NbDocks", "NbEBikes", "NbEmptyDocks", "TerminalName")
+VALUES = ("10", "0", " 7", "", "abc", "1.0", "+5", "-3", "true", "false")
+prop_st = st.tuples(st.sampled_from(KEYS), st.sampled_from(VALUES), st.integers(0, 200_000), st.integers(0, 999),
+                    st.booleans())
+
+
+def _model(props):
+    out = {}
+    for key, value, _, _, _ in props:  # later attributes overwrite earlier ones
+        if key in ("Installed", "Locked"):
+            out[key] = value
+        elif key.startswith("Nb"):
+            try:
+                out[key] = int(value)
+            except ValueError:
+                out[key] = None
+    stamps = [BASE + dt.timedelta(seconds=s, milliseconds=ms) for _, _, s, ms, ok in props if ok]
+    out["extraction_datetime"] = max(stamps).strftime("%Y-%m-%d %H:%M:%S") if stamps else None
+    return out
+
+
+@SETTINGS
+@given(st.lists(st.lists(prop_st, max_size=9), min_size=1, max_size=6))
+def test_flatten_matches_model(spark, elements):
+    from dockyard.operators.staging import flatten_snapshot
+    from dockyard.schema import RAW_SNAPSHOT
+
+    rows = []
+    for i, props in enumerate(elements):
+        arr = []
+        for key, value, s, ms, ok in props:
+            t = BASE + dt.timedelta(seconds=s, milliseconds=ms)
+            modified = t.strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms:03d}Z" if ok else "not a time"
+            arr.append(("Description", key, "BikePoints", value, modified))
+        rows.append((f"p{i}", f"name {i}", 51.5, -0.1, arr))
+    got = {r["id"]: r.asDict() for r in flatten_snapshot(spark.createDataFrame(rows, RAW_SNAPSHOT), tz="UTC").collect()}
+    for i, props in enumerate(elements):
+        want = _model(props)
+        row = got[f"p{i}"]
+        for key in ("Installed", "Locked", "NbBikes", "NbDocks", "NbEBikes", "NbEmptyDocks", "extraction_datetime"):
+            assert row[key] == want.get(key), (key, props)
