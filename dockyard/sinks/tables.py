@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,7 @@ def _pointer(views_path: str, name: str) -> str:
 def materialize(df: DataFrame, views_path: str, name: str) -> str:
     """Write `df` as a new version of `name` and make it the current one (small tables)."""
     spark = df.sparkSession
-    version = f"{views_path}/{name}/v={int(time.time() * 1000)}"
+    version = f"{views_path}/{name}/v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
     spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").parquet(
         _pointer(views_path, name)
