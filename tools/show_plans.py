@@ -27,8 +27,10 @@ def _scan_summary(line: str) -> str:
 
 
 def plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    text = df._jdf.queryExecution().executedPlan().toString()
+    # Run this very plan once, so the adaptive plan shows its final, re-optimised form.
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    text = executed.toString()
     out = []
     for line in text.splitlines():
         out.append(line[:150])
