@@ -22,7 +22,7 @@ from dockyard.config import scratch_dir
 from dockyard.operators import charts, views
 from dockyard.operators.decode import decode_messages, decode_valid
 from dockyard.operators.enrich import history_from_wire
-from dockyard.operators.history import first_per_key, new_rows
+from dockyard.operators.history import first_per_key, new_rows, staging_dates
 from dockyard.operators.metrics import latest_per_key, fleet_metrics
 from dockyard.operators.retention import current_metrics, topic_retention, within_retention
 from dockyard.operators.staging import encode_messages, flatten_snapshot
@@ -165,7 +165,10 @@ def q_insert_ignore(spark, sf):
     staging = rows.where(F.col("timestamp") >= F.to_timestamp(F.lit(STAGING_FROM))).withColumn(
         "origin", F.lit("new")
     )
-    added = new_rows(staging, stored, order_by=("offset",))
+    # As the sink does: conflicts are looked up only in the stored partitions of the staging dates.
+    dates = staging_dates(staging)
+    added = new_rows(staging, stored, order_by=("offset",), prune_on="extraction_date" if dates is not None else None,
+                     prune_values=dates)
     cols = ["bike_point_id", "extraction_datetime", "nb_bikes", "nb_empty_docks", "offset", "origin"]
     return stored.select(*cols).unionByName(added.select(*cols))
 
