@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockyard.llm import quality_rules
-from dockyard.llm.shared import documents
+from dockyard.llm import decontaminate, line_dedup, mixing, quality_rules
+from dockyard.llm.shared import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,6 +18,21 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(documents(spark, sf_dir))
+
+
+@_query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(documents(spark, sf_dir))
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))

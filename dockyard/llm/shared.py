@@ -62,3 +62,10 @@ def unpacked(df: DataFrame, like: DataFrame, *more: str) -> DataFrame:
     """The columns of `like` out of `row`, with further columns after them; a further column replaces its namesake."""
     own = [F.col("row")[c].alias(c) for c in like.columns if c.lower() not in {m.lower() for m in more}]
     return df.select(*own, *more)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Keeps Arrow batches for Python small, as one text may hold megabytes; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, rows)
