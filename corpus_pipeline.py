@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockyard.llm import quality_rules
-from dockyard.llm.shared import documents, stored
+from dockyard.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
+from dockyard.llm.shared import documents, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,8 +22,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filtered(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shared lines go but for one copy; `n_chars` follows the text."""
+    out = line_dedup.deduped(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return ngram_join.deduped(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document once per epoch that the mix takes of it."""
+    return mixing.mixture(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("ngram_join", near_duplicates),
+    ("decontamination", benchmark),
+    ("mixing", mix),
 ]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockyard.llm import decontaminate, line_dedup, mixing, quality_rules
+from dockyard.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
 from dockyard.llm.shared import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
 
 
+@_query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(documents(spark, sf_dir))
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
