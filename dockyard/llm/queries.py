@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockyard.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
+from dockyard.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality_rules, secret_scan
 from dockyard.llm.shared import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(documents(spark, sf_dir))
+
+
 @_query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
@@ -33,6 +38,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(documents(spark, sf_dir))
 
 
+@_query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(documents(spark, sf_dir))
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
