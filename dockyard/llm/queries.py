@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockyard.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality_rules, secret_scan
+from dockyard.llm import (
+    decontaminate,
+    language_crf,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 from dockyard.llm.shared import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +29,17 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+#: The vocabulary whose tokens op1 counts; any file of the public tokenizers may be named.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+@_query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.digest(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+
+
 @_query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -38,6 +60,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(documents(spark, sf_dir))
 
 
+@_query
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.digest(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
@@ -48,6 +75,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
 
 
+@_query
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.digest(documents(spark, sf_dir))
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))
