@@ -91,7 +91,7 @@ def measured(docs: DataFrame) -> DataFrame:
         F.regexp_count(text, F.lit(r"\p{Lu}")).alias("n_upper"),
         F.regexp_count(joined, F.lit(r"(?<![^ ])[^ \p{L}]++(?![^ ])")).alias("n_bare"),
         F.size(F.array_intersect(w, F.lit(list(STOP_WORDS)))).cast("long").alias("n_stop_words"),
-        F.size(F.filter("l", lambda x: x.rlike(rf"(?:\.\.\.|…)[{SPACE}]*$"))).alias("n_ellipsis"),
+        F.size(F.filter("l", lambda x: x.rlike(rf"(?:\.\.\.|…)[{SPACE}]*+\z"))).alias("n_ellipsis"),
         F.size(F.filter("l", lambda x: x.rlike(rf"^[{SPACE}]*[-*•]"))).alias("n_bullets"),
     )
     counted = counted.withColumn("n_repeat_words", _repeat_words(F.col("g")).cast("long")).drop("g")

@@ -18,10 +18,10 @@ from dockyard.llm import (
     secret_scan,
     token_counts,
 )
+from dockyard.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from dockyard.llm.shared import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
