@@ -57,7 +57,7 @@ KINDS = (
     Kind("phone_local", r"(?<![0-9+().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])", 0.3, "phone|call|tel|mobile|fax"),
 )
 NAMES = tuple(k.name for k in KINDS)
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?"
 _IP = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
 
