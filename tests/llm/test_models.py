@@ -1,0 +1,102 @@
+"""The quality discriminant and the language field: exactness of the algebra, and held-out accuracy."""
+
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from dockyard.llm import language_crf, quality_model
+from dockyard.llm.queries import QUERIES
+
+DIR = "/root/testdata/sf0.01"
+
+
+def test_posteriors_equal_enumeration():
+    rng = np.random.default_rng(1)
+    for n, block in ((1, 4), (5, 4), (7, 3), (8, 4)):
+        emit, trans, begin = rng.normal(size=(n, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+        fresh = rng.random(n) < 0.3
+        fresh[0] = True
+        p, pair, starts = language_crf.posteriors(emit, fresh, trans, begin, block, pairs=True)
+        want, pairs, total = np.zeros((n, 3)), np.zeros((3, 3)), 0.0
+        for path in itertools.product(range(3), repeat=n):
+            s = sum(
+                emit[t, y] + (begin[y] if fresh[t] else trans[path[t - 1], y]) for t, y in enumerate(path)
+            )
+            w = np.exp(s)
+            total += w
+            for t, y in enumerate(path):
+                want[t, y] += w
+                if not fresh[t]:
+                    pairs[path[t - 1], y] += w
+        assert np.allclose(p, want / total) and np.allclose(pair, pairs / total)
+        assert np.isclose(starts.sum(), fresh.sum())
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    got = QUERIES["op9_language_crf"](spark, DIR).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == docs.count()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in got if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    assert np.mean([r.lang == r.lang_pred for r in held]) >= 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_cases(make, monkeypatch):
+    rows = [(i, "der die das und " * 9 + f"\nzeit{i}", None, "de") for i in range(12)]
+    rows += [(i, "the of and with " * 9 + f"\ntime{i}", None, "en") for i in range(12, 24)]
+    odd = [(90, None, None, "en"), (91, "", None, None), (92, "12 !! …", None, "de"), (None, "und die", None, None)]
+    odd += [(93, "und das der " * 60_000, None, None), (94, "x" * 1_200_000, None, None), (93, "und das", None, None)]
+    odd += [(95, "the of and with the of and with und", None, None)]
+    monkeypatch.setattr(language_crf, "MAX_BYTES", 100_000)
+    got = language_crf.digest(make(*rows, *odd)).collect()
+    assert len(got) == len(rows) + len(odd)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r)
+    assert all(by[i][0].lang_pred == ("de" if i < 12 else "en") for i in range(24))
+    assert all((by[i][0].lang_pred, by[i][0].score) == ("und", 0.0) for i in (90, 91, 92))
+    assert [r.lang_pred for r in by[93]] == ["de", "de"] and by[95][0].lang_pred == "en"
+    assert by[None][0].lang_pred == "de" and not by[None][0].held_out
+    none = language_crf.digest(make(*[(i, t, s, None) for i, t, s, _ in rows])).collect()
+    assert {r.lang_pred for r in none} == {"und"}
+    assert language_crf.digest(make(*rows).where("false")).count() == 0
+
+
+def test_discriminant_is_the_density_ratio():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(300, 3)) @ rng.normal(size=(3, 3)), rng.normal(size=(200, 3)) + 2])
+    y = np.repeat([0, 1], [300, 200])
+    model = quality_model.Discriminant.fit(x, y, pooled=0.2, diagonal=0.3)
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9)
+    cov = [np.cov(z[y == k], rowvar=False, bias=True) for k in (0, 1)]
+    pool, log = 0.6 * cov[0] + 0.4 * cov[1], []
+    for k, prior in ((0, 0.6), (1, 0.4)):
+        c = 0.8 * cov[k] + 0.2 * pool
+        c = 0.7 * c + 0.3 * np.diag(np.diag(c)) + 1e-6 * np.eye(3)
+        d = z - z[y == k].mean(axis=0)
+        log.append(np.log(prior) - 0.5 * np.log(np.linalg.det(c)) - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d))
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(log[0] - log[1])))
+
+
+def test_quality_held_out(spark):
+    labels = spark.read.parquet(f"{DIR}/labels.parquet")
+    got = QUERIES["op6_quality_model"](spark, DIR)
+    assert got.count() == spark.read.parquet(f"{DIR}/documents.parquet").count()
+    held = got.join(labels, "doc_id").where("held_out").collect()
+    assert {r.doc_id for r in held} == {r.doc_id for r in held if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    assert np.mean([r.predicted == r.quality for r in held]) >= 0.95
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in held)
+
+
+@pytest.mark.parametrize("marks, score", [([], 0.5), ([(1, 1), (2, 1), (3, None)], 1.0)])
+def test_quality_without_two_classes(make, spark, marks, score):
+    docs = make((1, "a"), (2, None), (3, ""), (None, "x " * 50_000), (1, "a"))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    got = quality_model.digest(docs, labels).collect()
+    assert len(got) == 5 and {r.score for r in got} == {score}
+    assert quality_model.digest(docs.where("false"), labels).count() == 0
