@@ -29,7 +29,7 @@ from dockyard.llm.shared import bounded_batches
 
 MAX_FIT = 20_000
 #: Weight of the pooled covariance, and of the diagonal, in each class's.
-POOLED, DIAGONAL = 0.1, 0.1
+POOLED, DIAGONAL = 0.5, 0.3
 CUT = 0.3
 STATISTICS = (
     "log_bytes", "log_words", "log_lines", "word_bytes", "longest_word", "short_words", "symbols", "upper", "digits",
