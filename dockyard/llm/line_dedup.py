@@ -10,6 +10,7 @@ that holds them.
 3. The hashes to drop are joined back to (hash, doc_id), gathered by document (as many as it has lines at most),
    and each document's remaining lines are joined again by position.
 
+Every join is a sort-merge join at every size: what a small table would broadcast grows with the corpus.
 A hash that a third of all documents hold is one row per task after step 2's map side, and in step 3 a skewed key of
 a plain join, which Spark splits.
 
@@ -75,7 +76,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     held = docs.select("doc_id", F.explode(line_hashes(min_chars)(F.col("text"))).alias("h"))
     held = stored(held, "line-hashes")
     often = held.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
-    hits = stored(held.join(often, "h"), "line-hits")
+    hits = stored(held.join(often.hint("merge"), "h"), "line-hits")
     bad = (
         hits.distinct()
         .groupBy("h")
@@ -85,7 +86,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     )
     bad = stored(bad, "line-bad")
     return (
-        hits.join(bad, "h")
+        hits.join(bad.hint("merge"), "h")
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id")
         .agg(F.collect_set("h").alias("drop"))
@@ -97,7 +98,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     bounded_batches(docs.sparkSession)
     drops = dropped_lines(docs, min_chars, min_docs).withColumnRenamed("doc_id", "drop_id")
     drops = stored(drops, "line-drops")
-    joined = packed(docs).join(drops, F.col("row.doc_id").eqNullSafe(F.col("drop_id")), "left")
+    joined = packed(docs).join(drops.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("drop_id")), "left")
     return joined.select("row", remaining(min_chars)(F.col("row.text"), F.col("drop")).alias("kept"))
 
 
