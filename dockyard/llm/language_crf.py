@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches
+from dockyard.llm.shared import bounded_batches, stored
 
 MAX_FIT = 300
 MAX_FIT_CHARS = 20_000
@@ -324,8 +324,9 @@ def fit(docs: DataFrame, max_fit: int = MAX_FIT, max_chars: int = MAX_FIT_CHARS)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = docs.where(ok & short).select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash))
     ids = ids.where(F.col("place") <= max_fit).select(F.col("doc_id").alias("of"), F.col("lang").alias("y"))
+    ids = stored(ids.distinct(), "language-fit")  # its size is then known, so few ids are broadcast by themselves
     rows = docs.select("doc_id", "lang", "text").join(
-        ids.distinct(), (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("y"))
+        ids, (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("y"))
     )
     found = rows.select("doc_id", "text", "lang").collect()
     return train([(r.text, r.lang) for r in sorted(found, key=lambda r: (r.lang, r.doc_id, r.text or "")) if r.text])
