@@ -27,7 +27,7 @@ from dockyard.operators.views import (
     non_availability_by_day,
     peak_hours_by_day,
 )
-from dockyard.plans.jobs import batch_job, speed_job, stage_job
+from dockyard.plans.jobs import batch_job, compact_job, setup_job, speed_job, stage_job
 from dockyard.plans.serving import register_tables
 from dockyard.sinks.tables import insert_ignore, refresh_views
 from dockyard.streaming.metrics_stream import run_metrics_stream
@@ -41,5 +41,5 @@ __all__ = [
     "latest_per_key", "fleet_metrics", "within_retention", "topic_retention", "current_metrics",
     "in_use_by_day", "non_availability_by_day", "peak_hours_by_day", "broken_docks_history", "refresh_views",
     "current_state", "avg_in_use_by_day", "non_availability_heatmap", "peak_hours_heatmap", "broken_docks_by_date",
-    "run_metrics_stream", "stage_job", "batch_job", "speed_job", "register_tables",
+    "run_metrics_stream", "stage_job", "batch_job", "speed_job", "compact_job", "setup_job", "register_tables",
 ]

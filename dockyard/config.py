@@ -1,9 +1,9 @@
 """Job configuration and session set-up.
 
-One `Config` holds every endpoint and path the three jobs need. It reads the
-same environment variable names the original deployment used, so an existing
-environment keeps working. `session_for` builds the session for a profile
-("batch" or "speed") without hard-coding a master: that is spark-submit's job.
+One `Config` holds every endpoint and path the three jobs need; `from_env`
+reads it from environment variables (all named there). `session_for` builds the
+session for a profile ("batch" or "speed") without hard-coding a master: that is
+spark-submit's job.
 """
 
 from __future__ import annotations
@@ -27,19 +27,31 @@ STREAM_TRIGGER = "3 seconds"
 class Config:
     """Where things live. Every path may be any Hadoop URI (s3a://, abfss://, hdfs://)."""
 
-    warehouse: str = "spark-warehouse/dockyard"
+    warehouse: str = ""  # a folder that driver and executors share
     landing_dir: str | None = None  # raw snapshot files (JSON arrays)
     topic_dir: str | None = None  # file-backed topic when no broker is given
     kafka_servers: str | None = None  # "host:port[,host:port]"
-    topic: str = "bike-points"
+    topic: str | None = None
     tz: str = "UTC"
     shuffle_partitions: int | None = None
     jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = None
     jdbc_driver: str = "org.postgresql.Driver"
+    jdbc_connections: int = 8  # connections a JDBC write opens at most
+    metrics_format: str = "parquet"  # or a connector's, e.g. "org.apache.spark.sql.cassandra"
+    metrics_keyspace: str | None = None
+    metrics_table: str = "metrics"
+    metrics_host: str | None = None
+    metrics_port: str | None = None
+    metrics_user: str | None = None
+    metrics_password: str | None = None
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if not self.warehouse:
+            raise ValueError("set warehouse to a folder that driver and executors share")
+
     # Table locations inside the warehouse.
     @property
     def history_path(self) -> str:
@@ -62,6 +74,8 @@ class Config:
 
     def message_source(self) -> tuple[str, dict]:
         """(format, options) of the topic: Kafka when a broker is set, else Parquet files."""
+        if self.kafka_servers and not self.topic:
+            raise ValueError("set the topic's name")
         if self.kafka_servers:
             return "kafka", {"kafka.bootstrap.servers": self.kafka_servers, "subscribe": self.topic}
         if not self.topic_dir:
@@ -76,9 +90,33 @@ class Config:
             props["password"] = self.jdbc_password
         return props
 
+    def metrics_sink(self) -> tuple[str, dict]:
+        """(format, options) of the metrics store: Parquet files, or a connector's table with row lifetimes."""
+        if self.metrics_format == "parquet":
+            return "parquet", {}
+        if not self.metrics_keyspace:
+            raise ValueError("set metrics_keyspace for a metrics store other than files")
+        return self.metrics_format, {
+            "keyspace": self.metrics_keyspace, "table": self.metrics_table, "ttl": str(METRICS_TTL_SECONDS)
+        }
+
+    def metrics_connection(self) -> dict:
+        """Session settings of the metrics store's connector, for the settings that are given."""
+        given = {"host": self.metrics_host, "port": self.metrics_port}
+        out = {f"spark.cassandra.connection.{k}": v for k, v in given.items() if v}
+        given = {"username": self.metrics_user, "password": self.metrics_password}
+        return out | {f"spark.cassandra.auth.{k}": v for k, v in given.items() if v}
+
     @classmethod
     def from_env(cls, env: dict | None = None) -> "Config":
-        """Build from environment variables (names of the original deployment + DOCKYARD_*)."""
+        """Build from environment variables.
+
+        DOCKYARD_WAREHOUSE, DOCKYARD_LANDING_DIR, DOCKYARD_TOPIC_DIR, DOCKYARD_TZ, DOCKYARD_SHUFFLE_PARTITIONS;
+        the topic: DOCKYARD_KAFKA_SERVERS, or BROKER1 and PORT1, and TOPIC_DATA; the relational copy:
+        DOCKYARD_JDBC_URL, or POSTGRES_HOST, POSTGRES_PORT and POSTGRES_HISTORICAL_DATA_DB, and POSTGRES_USER,
+        POSTGRES_PASSWORD; the metrics store: METRICS_FORMAT, METRICS_KEYSPACE, METRICS_TABLE, METRICS_HOST,
+        METRICS_PORT, METRICS_USER, METRICS_PASSWORD.
+        """
         e = os.environ if env is None else env
         broker, port = e.get("BROKER1"), e.get("PORT1")
         servers = e.get("DOCKYARD_KAFKA_SERVERS") or (f"{broker}:{port}" if broker and port else None)
@@ -98,6 +136,13 @@ class Config:
             jdbc_url=url,
             jdbc_user=e.get("POSTGRES_USER"),
             jdbc_password=e.get("POSTGRES_PASSWORD"),
+            metrics_format=e.get("METRICS_FORMAT", cls.metrics_format),
+            metrics_keyspace=e.get("METRICS_KEYSPACE"),
+            metrics_table=e.get("METRICS_TABLE", cls.metrics_table),
+            metrics_host=e.get("METRICS_HOST"),
+            metrics_port=e.get("METRICS_PORT"),
+            metrics_user=e.get("METRICS_USER"),
+            metrics_password=e.get("METRICS_PASSWORD"),
         )
 
 
@@ -129,6 +174,11 @@ def session_for(profile: str, tz: str = "UTC", config: Config | None = None,
     )
     if config is not None and config.shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(config.shuffle_partitions))
+    if profile == "speed":
+        # Micro-batches every few seconds: small state, and the connector that only this job writes to.
+        b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        for k, v in (config.metrics_connection() if config is not None else {}).items():
+            b = b.config(k, v)
     if config is not None:
         for k, v in config.extra.items():
             b = b.config(k, v)
@@ -138,20 +188,14 @@ def session_for(profile: str, tz: str = "UTC", config: Config | None = None,
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    The folder comes from the session (the context's checkpoint dir, or the
-    `spark.checkpoint.dir` setting). Only when neither is set, as in local
-    tests, a temporary local directory is chosen and registered.
+    The folder comes from the session (the `spark.checkpoint.dir` setting, or
+    the context's checkpoint dir). Only a local master may go without (tests):
+    it gets a temporary directory, which is registered.
     """
-    root = None
-    try:
-        root = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
-        pass
-    root = root or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="dockyard-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from dockyard.schema import HISTORY_KEY
 
-# Above this many distinct staging dates, the history side is not pruned by an
-# explicit date list; the anti-join is then run against the whole table (same rows).
-MAX_PRUNE_DATES = 4096
-
 
 def first_per_key(df: DataFrame, keys=HISTORY_KEY, order_by: tuple[str, ...] = ()) -> DataFrame:
     """One row per key: the one with the smallest `order_by` values (then smallest row).
@@ -33,29 +29,28 @@ def first_per_key(df: DataFrame, keys=HISTORY_KEY, order_by: tuple[str, ...] = (
 
 
 def new_rows(staging: DataFrame, history: DataFrame, keys=HISTORY_KEY,
-             order_by: tuple[str, ...] = (), prune_on: str | None = None,
-             prune_values: list | None = None) -> DataFrame:
+             order_by: tuple[str, ...] = (), prune_on: str | None = None) -> DataFrame:
     """Staging rows that an insert-ignore would add: deduplicated, then not yet stored.
 
-    `prune_on`/`prune_values` restrict the history scan to the partitions that
-    can hold a conflicting key (e.g. the staging dates): a static partition
-    filter that reaches the Parquet scan.
+    `prune_on` names the column history is partitioned by; only the partitions
+    that staging holds are then scanned (see `on_dates_of`).
     """
     keys = list(keys)
-    stored = history
-    if prune_on is not None and prune_values is not None:
-        stored = stored.where(F.col(prune_on).isin(prune_values))
+    stored = on_dates_of(history, staging, prune_on) if prune_on else history
     fresh = first_per_key(staging, keys, order_by)
     return fresh.join(stored.select(*keys), keys, "left_anti")
 
 
-def staging_dates(staging: DataFrame, date_col: str = "extraction_date") -> list | None:
-    """Distinct partition dates of a staging set, or None when there are too many to list.
+def on_dates_of(history: DataFrame, touched: DataFrame, date_col: str = "extraction_date") -> DataFrame:
+    """The rows of `history` on the dates that `touched` holds, as one plan at any number of dates.
 
-    The list is bounded by MAX_PRUNE_DATES + 1 values (one per calendar day), so
-    bringing it to the driver is safe whatever the data size.
+    The least and the greatest date (one row, the only thing brought to the
+    driver) bound the scan statically; within them a semi-join with the dates
+    prunes partitions at run time.
     """
-    rows = staging.select(date_col).distinct().limit(MAX_PRUNE_DATES + 1).collect()
-    if len(rows) > MAX_PRUNE_DATES:
-        return None
-    return [r[0] for r in rows]
+    dates = touched.select(date_col).distinct()
+    low, high = touched.agg(F.min(date_col), F.max(date_col)).first()
+    if low is None:
+        return history.where(F.lit(False))
+    within = F.col(date_col).between(F.lit(low), F.lit(high))
+    return history.where(within).join(dates.where(within), date_col, "left_semi").select(*history.columns)

@@ -26,17 +26,18 @@ def _keys(key) -> list[str]:
 
 
 def latest_per_key(df: DataFrame, key="id", ts: str = "extraction_datetime",
-                   values: tuple[str, ...] = COUNT_COLUMNS, tiebreak: str | None = None) -> DataFrame:
+                   values: tuple[str, ...] = COUNT_COLUMNS,
+                   tiebreak: str | tuple[str, ...] | None = None) -> DataFrame:
     """Per key (a column or a list of columns): the values of the row with the newest `ts`.
 
     Rows whose `ts` is null never win; a key whose instants are all null gets
     null values. A null value at the newest instant stays null (it is not
     replaced by an older value). Equal instants are settled by `tiebreak`
-    (e.g. the message offset) when given. One hash aggregate: partial results
+    (one column or several, e.g. the order of arrival) when given. One hash aggregate: partial results
     are combined map-side, so a key with a huge share of rows does not pile up
     in one task.
     """
-    order: Column = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.struct(F.col(ts))
+    order: Column = F.struct(ts, *(_keys(tiebreak) if tiebreak else ()))
     guarded = F.when(F.col(ts).isNotNull(), order)
     newest = F.max_by(F.struct(*[F.col(v) for v in values]), guarded)
     keys = _keys(key)
@@ -63,7 +64,7 @@ def _totals(ts: str, with_points: bool = False) -> list[Column]:
 
 
 def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_datetime",
-                  tiebreak: str | None = None, drop_invalid: bool = False,
+                  tiebreak: str | tuple[str, ...] | None = None, drop_invalid: bool = False,
                   group=None, with_points: bool = False) -> DataFrame:
     """One row: min/max of the per-point newest instants, and four counts with their rates.
 
@@ -83,7 +84,7 @@ def fleet_metrics(msgs: DataFrame, key: str = "id", ts: str = "extraction_dateti
     outer = _keys(group) if group else []
     broken = F.col("NbBrokenDocks") if "NbBrokenDocks" in df.columns else broken_docks()
     cols = [*outer, key, *[c for c in COUNT_COLUMNS if c != "NbBrokenDocks"], broken.alias("NbBrokenDocks"), ts]
-    cols += [tiebreak] if tiebreak else []
+    cols += _keys(tiebreak) if tiebreak else []
     latest = latest_per_key(df.select(*cols), [*outer, key], ts, COUNT_COLUMNS, tiebreak)
     if outer:
         return latest.groupBy(*outer).agg(*_totals(ts, with_points))

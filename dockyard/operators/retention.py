@@ -16,7 +16,8 @@ from dockyard.config import METRICS_TTL_SECONDS, TOPIC_RETENTION_MS
 from dockyard.schema import METRICS, METRICS_KEY
 
 
-def _instant(as_of) -> Column:
+def instant(as_of) -> Column:
+    """The instant as a column: now without one; text is read in the session's zone."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
@@ -32,7 +33,7 @@ def within_retention(df: DataFrame, ts: str, horizon_seconds: int, as_of=None) -
     Without `as_of` the clock is now. With an explicit `as_of` (a replay of the
     past), rows stamped after it did not exist yet and are left out too.
     """
-    now = _instant(as_of)
+    now = instant(as_of)
     alive = F.col(ts) > now - F.make_dt_interval(secs=F.lit(horizon_seconds))
     if as_of is not None:
         alive = alive & (F.col(ts) <= now)
@@ -50,6 +51,6 @@ def current_metrics(log: DataFrame, as_of=None, ttl_seconds: int = METRICS_TTL_S
     Lifetime counts from `written_at` (write time), not from the event instants.
     """
     live = within_retention(log, "written_at", ttl_seconds, as_of)
-    cols = METRICS.fieldNames() + ["written_at", "batch_id"]
-    newest = F.max_by(F.struct(*cols), F.struct("written_at", "batch_id"))
+    cols = METRICS.fieldNames() + ["written_at", "run_id", "batch_id"]
+    newest = F.max_by(F.struct(*cols), F.struct("written_at", "run_id", "batch_id"))
     return live.groupBy(*METRICS_KEY).agg(newest.alias("_m")).select("_m.*")

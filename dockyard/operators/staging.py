@@ -27,11 +27,19 @@ def newest_modified(props: str = PROPS) -> Column:
     return F.array_max(F.transform(F.col(props), lambda p: F.try_to_timestamp(p["modified"])))
 
 
-def wall_clock(ts: Column, tz: str | None, session_tz: str) -> Column:
-    """Text `yyyy-MM-dd HH:mm:ss` of instant `ts` in zone `tz` (milliseconds cut)."""
-    if tz is not None and tz != session_tz:
-        ts = F.from_utc_timestamp(F.to_utc_timestamp(ts, session_tz), tz)
-    return F.date_format(ts, MESSAGE_TS_FORMAT)
+def wall_clock(ts: Column, tz: str | None) -> Column:
+    """Text `yyyy-MM-dd HH:mm:ss` of instant `ts` in zone `tz` (the session's by default; milliseconds cut).
+
+    The instant moved by the zone's own offset is counted from the epoch as a
+    zone-less timestamp, so no offset of the session's zone takes part.
+    """
+    if tz is None:
+        return F.date_format(ts, MESSAGE_TS_FORMAT)
+    micros = F.unix_micros(F.from_utc_timestamp(ts, tz))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    local = epoch + F.make_dt_interval(days=F.floor(micros / 86_400_000_000).cast("int"),
+                                       secs=(F.pmod(micros, F.lit(86_400_000_000)) / 1_000_000).cast("decimal(18,6)"))
+    return F.substring(local.cast("string"), 1, len("yyyy-MM-dd HH:mm:ss"))
 
 
 def flatten_snapshot(raw: DataFrame, tz: str | None = None) -> DataFrame:
@@ -41,7 +49,6 @@ def flatten_snapshot(raw: DataFrame, tz: str | None = None) -> DataFrame:
     null `extraction_datetime`; the row is kept either way (it is dropped later
     by the batch path's validity filter), instead of failing the whole poll.
     """
-    session_tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
     cols = [
         F.col("id"),
         F.col("commonName").alias("common_name"),
@@ -50,7 +57,7 @@ def flatten_snapshot(raw: DataFrame, tz: str | None = None) -> DataFrame:
     ]
     cols += [attribute(k).alias(k) for k in STRING_ATTRIBUTES]
     cols += [attribute(k).try_cast("int").alias(k) for k in INT_ATTRIBUTES]
-    cols.append(wall_clock(newest_modified(), tz, session_tz).alias("extraction_datetime"))
+    cols.append(wall_clock(newest_modified(), tz).alias("extraction_datetime"))
     return raw.select(*cols)
 
 

@@ -13,8 +13,7 @@ summary tables keyed by `extraction_date`, the partition column of history:
 
 A load recomputes the summary rows of the dates it touched, from those history
 partitions only, and keeps the other dates' rows (stored partitioned by date
-and replaced with a dynamic partition overwrite; `replace_dates` states the
-same rule on DataFrames). This is exact and idempotent: a rerun after a
+and replaced with a dynamic partition overwrite). This is exact and idempotent: a rerun after a
 failure recomputes the same dates from what history holds. Views and the two
 history-sized charts computed from summaries equal those from the full history
 (`tests/test_summaries.py`, registry queries `*_from_summaries`).
@@ -48,12 +47,6 @@ def daily_points_summary(hist: DataFrame) -> DataFrame:
     )
 
 
-def replace_dates(current: DataFrame, fresh: DataFrame, dates: list) -> DataFrame:
-    """Summary rows of `fresh` for `dates`, and of `current` for every other date."""
-    kept = current.where(~F.col("extraction_date").isin(dates))
-    return kept.unionByName(fresh.select(*current.columns))
-
-
 def peak_hours_from_summary(hourly: DataFrame, n: int = 3) -> DataFrame:
     """The peak-hours view from the hourly summary (exact average, dense rank <= n).
 
@@ -72,10 +65,10 @@ def peak_hours_from_summary(hourly: DataFrame, n: int = 3) -> DataFrame:
             day_label("day_of_week_number", "day_of_week").alias("num_day_of_week"),
             "hour_interval",
             "avg_nb_empty_docks",
-            F.dense_rank().over(w).alias("ord"),
+            F.dense_rank().over(w).alias("place"),
         )
-        .where(F.col("ord") <= n)
-        .drop("ord")
+        .where(F.col("place") <= n)
+        .drop("place")
     )
 
 
@@ -88,9 +81,9 @@ def non_availability_from_summary(daily: DataFrame, n: int = 10, only_empty: boo
     """
     top = (
         daily.groupBy("bike_point_id")
-        .agg(F.sum("nb_rows_without_bikes").alias("nb"))
-        .where(F.col("nb") > 0)
-        .orderBy(F.desc("nb"), F.asc("bike_point_id"))
+        .agg(F.sum("nb_rows_without_bikes").alias("empty_rows"))
+        .where(F.col("empty_rows") > 0)
+        .orderBy(F.desc("empty_rows"), F.asc("bike_point_id"))
         .limit(n)
         .select("bike_point_id")
     )

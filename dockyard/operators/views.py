@@ -1,8 +1,9 @@
 """The four stored summaries of the history table, as queries over history rows.
 
-`dockyard.sinks.tables.refresh_views` stores them after each load: the two
-per-row views per touched date, the two ranked views from the date-keyed
-summaries of `dockyard.operators.summaries` (same results as these queries).
+The two per-row views are served from the stored history itself. The two
+ranked views are stored by `dockyard.sinks.tables.refresh_views` after each
+load, from the date-keyed summaries of `dockyard.operators.summaries` (same
+results as these queries).
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ def most_unavailable(hist: DataFrame, n: int = 10) -> DataFrame:
     return (
         hist.where(F.col("nb_bikes") == 0)
         .groupBy("bike_point_id")
-        .agg(F.count("bike_point_id").alias("nb"))
-        .orderBy(F.desc("nb"), F.asc("bike_point_id"))
+        .agg(F.count("bike_point_id").alias("empty_rows"))
+        .orderBy(F.desc("empty_rows"), F.asc("bike_point_id"))
         .limit(n)
     )
 
@@ -90,27 +91,18 @@ def peak_hours_by_day(hist: DataFrame, n: int = 3) -> DataFrame:
             _label().alias("num_day_of_week"),
             "hour_interval",
             "avg_nb_empty_docks",
-            F.dense_rank().over(w).alias("ord"),
+            F.dense_rank().over(w).alias("place"),
         )
-        .where(F.col("ord") <= n)
+        .where(F.col("place") <= n)
         .select("day_of_week", "num_day_of_week", "hour_interval", "avg_nb_empty_docks")
     )
 
 
-def broken_docks_history(hist: DataFrame, ordered: bool = True) -> DataFrame:
-    """(date, weekday, broken docks) of every history row, newest date first.
+def broken_docks_history(hist: DataFrame) -> DataFrame:
+    """(date, weekday, broken docks) of every history row.
 
-    Rows of one date come in any order, as in the stored view; sorting them by
-    broken docks as well lets the range partitioner split a date that holds a
-    large share of all rows over several tasks instead of one.
+    No order: that of a stored view is no guarantee, and a global sort on the
+    date would be a shuffle that a large date cannot split. A reader sorts what
+    it shows.
     """
-    out = hist.select("extraction_date", "day_of_week", "nb_broken_docks")
-    return out.orderBy(F.desc("extraction_date"), F.asc("nb_broken_docks")) if ordered else out
-
-
-VIEW_QUERIES = {
-    "mvw_in_use_bikes_by_day": in_use_by_day,
-    "mvw_broken_docks_history": lambda h: broken_docks_history(h, ordered=False),
-    "mvw_peak_hours_by_day": peak_hours_by_day,
-    "mvw_non_availability_by_day": non_availability_by_day,
-}  # each view as a query over the whole history (the stored form is kept by sinks.tables.refresh_views)
+    return hist.select("extraction_date", "day_of_week", "nb_broken_docks")

@@ -1,4 +1,5 @@
-"""The three jobs: stage (snapshot -> topic), batch (topic -> history -> views), speed (topic -> metrics)."""
+"""The jobs: set-up, stage (snapshot -> topic), batch (topic -> history -> views), speed (topic -> metrics) and
+the metrics store's upkeep."""
 
 from __future__ import annotations
 
@@ -9,61 +10,90 @@ from pyspark.sql.streaming import StreamingQuery
 from dockyard.config import STREAM_TRIGGER, Config
 from dockyard.operators.enrich import history_from_wire
 from dockyard.operators.staging import encode_messages, flatten_snapshot
+from dockyard.schema import ARRIVAL, WIRE
+from dockyard.sinks.files import exists
 from dockyard.sinks.jdbc import write_jdbc
 from dockyard.sinks.messages import kafka_writer_options, write_messages
-from dockyard.sinks.tables import insert_ignore, refresh_views, write_staging
+from dockyard.sinks.metrics import compact_metrics, metrics_ddl
+from dockyard.sinks.tables import (
+    empty_like,
+    history_ddl,
+    insert_ignore,
+    note_load,
+    refresh_views,
+    write_staging,
+)
 from dockyard.sources.messages import read_messages
 from dockyard.sources.snapshots import read_snapshots
+from dockyard.sources.tables import read_history
 from dockyard.streaming.metrics_stream import run_metrics_stream
 
 
+def setup_job(spark: SparkSession, cfg: Config, database: str = "dockyard") -> None:
+    """Once per warehouse: the catalog's tables over its folders, and an empty staging table like history."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{cfg.warehouse}/_database'")
+    spark.sql(history_ddl(f"{database}.bike_points", cfg.history_path))
+    spark.sql(metrics_ddl(f"{database}.metrics", f"{cfg.metrics_path}/daily"))
+    if not exists(spark, cfg.staging_path):
+        write_staging(empty_like(read_history(spark, cfg.history_path)), cfg.staging_path)
+
+
 def stage_job(spark: SparkSession, cfg: Config, snapshots_path: str | None = None,
-              incremental: bool = False) -> None:
+              incremental: bool = True) -> None:
     """Landed snapshot files -> flat JSON messages on the topic.
 
-    Default: one batch over every landed file (one lazy plan, one write).
-    `incremental=True`: a file stream over the landing directory with a
-    checkpoint and an `availableNow` trigger, so each snapshot file is staged
-    exactly once across runs, as each poll is published once. A file topic
-    then belongs to this stream (its sink log lists the committed files).
+    Default: a file stream over the landing directory with a checkpoint and an
+    `availableNow` trigger, so each snapshot file is staged once across runs, as
+    each poll is published once. `incremental=False`: one batch over every
+    landed file, also those staged before.
     """
     raw = read_snapshots(spark, snapshots_path or cfg.landing_dir, streaming=incremental)
     flat = flatten_snapshot(raw, cfg.tz)
+    if not incremental:
+        publish(flat, cfg)
+        return
+    w = flat.writeStream.foreachBatch(lambda batch, _id: publish(batch, cfg))
+    w.option("checkpointLocation", cfg.checkpoint("stage")).trigger(availableNow=True).start().awaitTermination()
+
+
+def publish(flat: DataFrame, cfg: Config) -> None:
+    """Append flat messages to the topic: Kafka, or files with the columns a broker would add.
+
+    In files the publishing instant stands in for the broker's timestamp and
+    orders the runs; within one run the task is the partition and its counter
+    the offset, so no two messages share all three. A micro-batch replayed
+    after a failure may publish again, as a producer's retry does; the load
+    keeps the first message of a key.
+    """
     if cfg.kafka_servers:
-        msgs = encode_messages(flat)
-        if not incremental:
-            write_messages(msgs, "kafka", kafka_writer_options(cfg.kafka_servers, cfg.topic))
-            return
-        w = msgs.writeStream.format("kafka").options(**kafka_writer_options(cfg.kafka_servers, cfg.topic))
-    else:
-        # File topic: the arrival instant stands in for the broker timestamp; a batch run also numbers
-        # its messages (the offset that settles equal instants), a stream leaves the offset empty.
-        offset = F.lit(None).cast("long") if incremental else F.monotonically_increasing_id()
-        framed = flat.withColumn("offset", offset).withColumn("timestamp", F.current_timestamp())
-        wire = encode_messages(framed, keep=("offset", "timestamp"))
-        if not incremental:
-            write_messages(wire, "parquet", {"path": cfg.topic_dir})
-            return
-        w = wire.writeStream.format("parquet").option("path", cfg.topic_dir)
-    q = w.option("checkpointLocation", cfg.checkpoint("stage")).trigger(availableNow=True).start()
-    q.awaitTermination()
+        write_messages(encode_messages(flat), "kafka", kafka_writer_options(cfg.kafka_servers, cfg.topic))
+        return
+    framed = (
+        flat.withColumn("partition", F.spark_partition_id())
+        .withColumn("offset", F.monotonically_increasing_id())
+        .withColumn("timestamp", F.current_timestamp())
+    )
+    write_messages(encode_messages(framed, keep=ARRIVAL).select(*WIRE.fieldNames()), "parquet", {"path": cfg.topic_dir})
 
 
 def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bool = True) -> None:
     """One load: messages -> staging (replaced) -> insert-ignore into history -> view refresh.
 
     Staging is written before the load, so the load reads a stored table and
-    never goes back to the topic. The views are refreshed for the dates the
-    load touched only (the first load builds them in full).
+    never goes back to the topic. Among messages with one key the first to
+    arrive counts. The refresh covers the dates of this load and of earlier
+    ones that went without it.
     """
-    rows = history_from_wire(msgs, keep=("offset",))
+    rows = history_from_wire(msgs, keep=ARRIVAL)
     write_staging(rows, cfg.staging_path)
     staging = spark.read.parquet(cfg.staging_path)
     if cfg.jdbc_url:
-        write_jdbc(staging.drop("offset"), cfg.jdbc_url, "stg_bike_points", cfg.jdbc_properties(), "overwrite")
-    dates = insert_ignore(spark, staging, cfg.history_path, order_by=("offset",))
+        write_jdbc(staging.drop(*ARRIVAL), cfg.jdbc_url, "stg_bike_points", cfg.jdbc_properties(), "overwrite",
+                   num_partitions=cfg.jdbc_connections)
+    note_load(staging, cfg.views_path)
+    insert_ignore(spark, staging, cfg.history_path, order_by=ARRIVAL)
     if refresh:
-        refresh_views(spark, cfg.history_path, cfg.views_path, dates)
+        refresh_views(spark, cfg.history_path, cfg.views_path)
 
 
 def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True, incremental: bool = False) -> None:
@@ -91,12 +121,19 @@ def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True, incrementa
     q.awaitTermination()
 
 
+def compact_job(spark: SparkSession, cfg: Config, as_of=None) -> list[str]:
+    """Daily upkeep of the file metrics store: past dates become one file each, expired ones go."""
+    return compact_metrics(spark, cfg.metrics_path, as_of)
+
+
 def speed_job(spark: SparkSession, cfg: Config, trigger: str | dict = STREAM_TRIGGER,
               late_after: str | None = None, wait: bool = True) -> StreamingQuery:
-    """Topic stream -> one metrics row per micro-batch in the metrics store."""
+    """Topic stream -> one metrics row per micro-batch in the metrics store of the configuration."""
     fmt, opts = cfg.message_source()
     msgs = read_messages(spark, fmt, opts, streaming=True)
-    q = run_metrics_stream(msgs, cfg.metrics_path, cfg.checkpoint("speed"), trigger, late_after)
+    store, store_opts = cfg.metrics_sink()
+    q = run_metrics_stream(msgs, cfg.metrics_path, cfg.checkpoint("speed"), trigger, late_after,
+                           fmt=store, options=store_opts)
     if wait:
         q.awaitTermination()
     return q

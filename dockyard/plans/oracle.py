@@ -93,7 +93,7 @@ def _fleet(source: str, group: str | None = None, lp: str = "lp", fm: str = "fm"
   SELECT {select_g}id, NbBikes, NbEBikes, NbDocks, NbEmptyDocks,
          NbDocks - (NbBikes + NbEmptyDocks) AS NbBrokenDocks, extraction_datetime
   FROM {source}
-  QUALIFY row_number() OVER ({part} ORDER BY extraction_datetime DESC, event_id DESC) = 1),
+  QUALIFY row_number() OVER ({part} ORDER BY extraction_datetime DESC, ts DESC, event_id % 4 DESC, event_id DESC) = 1),
 {fm} AS (
   SELECT {select_g}coalesce(min(extraction_datetime), TIMESTAMP '2000-01-01 00:00:00') AS min_extraction_datetime,
          coalesce(max(extraction_datetime), TIMESTAMP '2000-01-01 00:00:00') AS max_extraction_datetime,
@@ -115,12 +115,12 @@ dd AS (SELECT *, CAST(extraction_datetime AS DATE) AS day FROM d),
 di AS (SELECT * FROM dd WHERE Installed = 'true'),""" + first + "," + second + f""",
 log AS (
   SELECT {METRICS_COLS},
-         max_extraction_datetime + INTERVAL 1 MINUTE AS written_at,
+         max_extraction_datetime + INTERVAL 1 MINUTE AS written_at, 'stream' AS run_id,
          CAST((day - DATE '2024-01-01') * 2 AS BIGINT) AS batch_id
   FROM fm0
   UNION ALL
   SELECT {METRICS_COLS},
-         max_extraction_datetime + INTERVAL 2 MINUTE AS written_at,
+         max_extraction_datetime + INTERVAL 2 MINUTE AS written_at, 'stream' AS run_id,
          CAST((day - DATE '2024-01-01') * 2 + 1 AS BIGINT) AS batch_id
   FROM fm1)"""
 
@@ -150,10 +150,12 @@ ORACLE_SQL["history_rows"] = _w(_history()) + f"\nSELECT {HISTORY_SELECT} FROM h
 ORACLE_SQL["insert_ignore"] = _w(_history("hour")) + """,
 old AS (
   SELECT * FROM h WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
-  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime ORDER BY event_id) = 1),
+  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime
+                             ORDER BY ts, event_id % 4, event_id) = 1),
 stg AS (
   SELECT * FROM h WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
-  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime ORDER BY event_id) = 1)
+  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime
+                             ORDER BY ts, event_id % 4, event_id) = 1)
 SELECT bike_point_id, extraction_datetime, nb_bikes, nb_empty_docks, event_id AS "offset", 'old' AS origin FROM old
 UNION ALL
 SELECT bike_point_id, extraction_datetime, nb_bikes, nb_empty_docks, event_id AS "offset", 'new' AS origin FROM stg s
@@ -164,7 +166,7 @@ ORACLE_SQL["latest_per_point"] = _w(_derived()) + """
 SELECT id, NbBikes, NbEBikes, NbDocks, NbEmptyDocks,
        NbDocks - (NbBikes + NbEmptyDocks) AS NbBrokenDocks, extraction_datetime
 FROM d
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY extraction_datetime DESC, event_id DESC) = 1"""
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY extraction_datetime DESC, ts DESC, event_id % 4 DESC, event_id DESC) = 1"""
 
 ORACLE_SQL["fleet_metrics"] = _w(_derived(), _fleet("d")) + f"\nSELECT {METRICS_COLS} FROM fm"
 
@@ -176,50 +178,50 @@ ORACLE_SQL["view_in_use"] = _w(_history()) + f"""
 SELECT {LABEL} AS num_day_of_week, day_of_week, nb_empty_docks FROM h"""
 
 _TOP10 = """,
-m AS (
-  SELECT bike_point_id, count(bike_point_id) AS nb FROM h WHERE nb_bikes = 0
-  GROUP BY bike_point_id ORDER BY nb DESC, bike_point_id LIMIT 10)"""
-
-ORACLE_SQL["view_non_availability"] = _w(_history()) + _TOP10 + f"""
-SELECT DISTINCT {LABEL} AS num_day_of_week, CAST(extraction_date AS TIMESTAMP) AS extraction_date, bike_point_id
-FROM h WHERE bike_point_id IN (SELECT bike_point_id FROM m)"""
-
-ORACLE_SQL["view_non_availability_only_empty"] = _w(_history()) + _TOP10 + f"""
-SELECT DISTINCT {LABEL} AS num_day_of_week, CAST(extraction_date AS TIMESTAMP) AS extraction_date, bike_point_id
-FROM h WHERE bike_point_id IN (SELECT bike_point_id FROM m) AND nb_bikes = 0"""
-
-# Exact average rounded half-up to cents, in integers: (200*s + c) // (2*c) (values are >= 0 here).
-_PEAK = _w(_history()) + f""",
-g AS (
-  SELECT day_of_week, day_of_week_number, hour_interval, hour,
+emptiest AS (
+  SELECT bike_point_id FROM h GROUP BY bike_point_id HAVING count(*) FILTER (nb_bikes = 0) > 0
+  QUALIFY row_number() OVER (ORDER BY count(*) FILTER (nb_bikes = 0) DESC, bike_point_id) <= 10)"""
+
+
+def _non_availability(history: str, only_empty: bool = False) -> str:
+    """Dates (all, or those without a bike) of the ten points most often without a bike."""
+    having = "HAVING bool_or(nb_bikes = 0)" if only_empty else ""
+    return _w(history) + _TOP10 + f"""
+SELECT {LABEL} AS num_day_of_week, CAST(extraction_date AS TIMESTAMP) AS extraction_date, bike_point_id
+FROM h SEMI JOIN emptiest USING (bike_point_id)
+GROUP BY day_of_week_number, day_of_week, extraction_date, bike_point_id {having}"""
+
+
+ORACLE_SQL["view_non_availability"] = _non_availability(_history())
+ORACLE_SQL["view_non_availability_only_empty"] = _non_availability(_history(), only_empty=True)
+
+def _peak(history: str) -> str:
+    """CTE `peak`: exact average rounded half-up to cents in integers, (200*s + c) // (2*c) (values are >= 0 here)."""
+    return _w(history) + f""",
+per_hour AS (
+  SELECT day_of_week, {LABEL} AS num_day_of_week, hour_interval, hour,
          (200 * sum(nb_empty_docks) + count(nb_empty_docks)) // (2 * count(nb_empty_docks)) AS cents
-  FROM h GROUP BY day_of_week, day_of_week_number, hour_interval, hour),
-r AS (
-  SELECT day_of_week, {LABEL} AS num_day_of_week, hour_interval, cents,
-         dense_rank() OVER (PARTITION BY day_of_week ORDER BY cents DESC NULLS FIRST) AS ord
-  FROM g),
+  FROM h GROUP BY ALL),
 peak AS (
   SELECT day_of_week, num_day_of_week, hour_interval, CAST(cents AS DOUBLE) / 100 AS avg_nb_empty_docks
-  FROM r WHERE ord <= 3)"""
+  FROM per_hour
+  WHERE (SELECT count(DISTINCT o.cents) FROM per_hour o
+           WHERE o.day_of_week = per_hour.day_of_week AND o.cents > per_hour.cents) < 3)"""
 
-ORACLE_SQL["view_peak_hours"] = _PEAK + "\nSELECT day_of_week, num_day_of_week, hour_interval, avg_nb_empty_docks FROM peak"
 
-ORACLE_SQL["view_peak_hours_from_summaries"] = ORACLE_SQL["view_peak_hours"]
-ORACLE_SQL["view_non_availability_from_summaries"] = ORACLE_SQL["view_non_availability"]
+_PEAK = _peak(_history())
+ORACLE_SQL["view_peak_hours"] = _PEAK + "\nSELECT * FROM peak"
 
 ORACLE_SQL["view_broken_docks"] = _w(_history()) + """
-SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, day_of_week, nb_broken_docks FROM h
-ORDER BY extraction_date DESC"""
+SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, day_of_week, nb_broken_docks FROM h"""
 
 ORACLE_SQL["chart_in_use"] = _w(_history()) + f"""
 SELECT {LABEL} AS num_day_of_week, day_of_week, avg(nb_empty_docks) AS avg_in_use_bikes
 FROM h GROUP BY 1, 2"""
 
-ORACLE_SQL["chart_non_availability"] = _w(_history()) + _TOP10 + f""",
-v2 AS (
-  SELECT DISTINCT {LABEL} AS num_day_of_week, extraction_date, bike_point_id
-  FROM h WHERE bike_point_id IN (SELECT bike_point_id FROM m))
-SELECT num_day_of_week, bike_point_id, count(*) AS nb_occurrences FROM v2 GROUP BY 1, 2"""
+ORACLE_SQL["chart_non_availability"] = _w(_history()) + _TOP10 + f"""
+SELECT {LABEL} AS num_day_of_week, bike_point_id, count(DISTINCT extraction_date) AS nb_occurrences
+FROM h SEMI JOIN emptiest USING (bike_point_id) GROUP BY day_of_week_number, day_of_week, bike_point_id"""
 
 ORACLE_SQL["chart_peak_hours"] = _PEAK + """
 SELECT num_day_of_week, hour_interval, round(avg(avg_nb_empty_docks), 6) AS avg_nb_empty_docks
@@ -229,9 +231,6 @@ ORACLE_SQL["chart_broken_docks"] = _w(_history()) + """
 SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, max(nb_broken_docks) AS max_nb_broken_docks
 FROM h GROUP BY 1"""
 
-ORACLE_SQL["chart_in_use_from_summaries"] = ORACLE_SQL["chart_in_use"]
-ORACLE_SQL["chart_broken_docks_from_summaries"] = ORACLE_SQL["chart_broken_docks"]
-
 _LATEST_WRITE = """
 cur AS (
   SELECT * FROM log
@@ -240,14 +239,14 @@ cur AS (
                              ORDER BY written_at DESC, batch_id DESC) = 1)"""
 
 ORACLE_SQL["chart_current_state"] = _w(_metrics_log(), _LATEST_WRITE.format(as_of="2024-01-30 12:00:00", ttl=86400)) + f"""
-SELECT {METRICS_COLS}, written_at, batch_id FROM cur
+SELECT {METRICS_COLS}, written_at, run_id, batch_id FROM cur
 ORDER BY max_extraction_datetime DESC, written_at DESC, batch_id DESC LIMIT 1"""
 
 ORACLE_SQL["metrics_upsert"] = _w(_metrics_log(), _LATEST_WRITE.format(as_of="2024-01-31 00:00:00", ttl=40 * 86400)) + f"""
-SELECT {METRICS_COLS}, written_at, batch_id FROM cur"""
+SELECT {METRICS_COLS}, written_at, run_id, batch_id FROM cur"""
 
 ORACLE_SQL["metrics_ttl"] = _w(_metrics_log()) + f"""
-SELECT {METRICS_COLS}, written_at, batch_id FROM log
+SELECT {METRICS_COLS}, written_at, run_id, batch_id FROM log
 WHERE written_at > TIMESTAMP '2024-01-25 00:30:00' - INTERVAL 86400 SECOND
   AND written_at <= TIMESTAMP '2024-01-25 00:30:00'"""
 
@@ -255,10 +254,49 @@ ORACLE_SQL["topic_retention"] = _w(_derived()) + """
 SELECT id, extraction_datetime, event_id AS "offset", CAST(ts AS TIMESTAMP) AS "timestamp" FROM d
 WHERE ts > TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 172800 SECOND AND ts <= TIMESTAMP '2024-01-20 00:00:00'"""
 
-ORACLE_SQL["unified_sql"] = _w(_metrics_log()) + _history().replace(_derived(), "") + """
-SELECT CAST(h.extraction_date AS TIMESTAMP) AS extraction_date, h.day_of_week, count(*) AS nb_rows,
-       CAST(sum(h.nb_bikes) AS BIGINT) AS nb_bikes, max(h.nb_broken_docks) AS max_broken_docks,
-       max(m.nb_available_bikes) AS fleet_available_bikes
-FROM h JOIN (SELECT CAST(max_extraction_datetime AS DATE) AS d, nb_available_bikes FROM log) m
-  ON h.extraction_date = m.d
-GROUP BY h.extraction_date, h.day_of_week"""
+def _first_arrived() -> str:
+    """CTE `h` after the loads: hourly keys, the first message to arrive of each."""
+    return _history("hour").replace("\nh AS (", "\nevery AS (") + """,
+h AS (
+  SELECT * FROM every
+  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime
+                             ORDER BY ts, event_id % 4, event_id) = 1)"""
+
+
+ORACLE_SQL["history_after_loads"] = _w(_first_arrived()) + f"\nSELECT {HISTORY_SELECT} FROM h"
+ORACLE_SQL["stored_view_in_use"] = _w(_first_arrived()) + f"""
+SELECT {LABEL} AS num_day_of_week, day_of_week, nb_empty_docks FROM h"""
+ORACLE_SQL["stored_view_broken_docks"] = _w(_first_arrived()) + """
+SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, day_of_week, nb_broken_docks FROM h"""
+ORACLE_SQL["stored_view_peak_hours"] = _peak(_first_arrived()) + "\nSELECT * FROM peak"
+ORACLE_SQL["stored_view_non_availability"] = _non_availability(_first_arrived())
+ORACLE_SQL["view_peak_hours_from_summaries"] = ORACLE_SQL["stored_view_peak_hours"]
+ORACLE_SQL["view_non_availability_from_summaries"] = ORACLE_SQL["stored_view_non_availability"]
+ORACLE_SQL["chart_in_use_from_summaries"] = _w(_first_arrived()) + f"""
+SELECT {LABEL} AS num_day_of_week, day_of_week, avg(nb_empty_docks) AS avg_in_use_bikes FROM h GROUP BY 1, 2"""
+ORACLE_SQL["chart_broken_docks_from_summaries"] = _w(_first_arrived()) + """
+SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, max(nb_broken_docks) AS max_nb_broken_docks
+FROM h GROUP BY 1"""
+
+ORACLE_SQL["unified_sql"] = _w(_first_arrived(), "\ndd AS (SELECT *, CAST(extraction_datetime AS DATE) AS day FROM ("
+                               "SELECT * REPLACE (date_trunc('second', ts) AS extraction_datetime) FROM d))",
+                               _fleet("dd", "day")) + """,
+by_date AS (
+  SELECT extraction_date, day_of_week, count(*) AS nb_rows, CAST(sum(nb_bikes) AS BIGINT) AS nb_bikes,
+         max(nb_broken_docks) AS max_broken_docks
+  FROM h GROUP BY ALL)
+SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, day_of_week, nb_rows, nb_bikes, max_broken_docks,
+       nb_available_bikes AS fleet_available_bikes
+FROM by_date JOIN fm ON CAST(max_extraction_datetime AS DATE) = extraction_date"""
+
+_RUNS = "\nruns AS (SELECT *, ts < TIMESTAMP '2024-01-15 00:00:00' AS run FROM d)"
+ORACLE_SQL["metrics_after_restart"] = _w(_derived(), _RUNS, _fleet("runs", "run")) + f"\nSELECT {METRICS_COLS} FROM fm"
+
+ORACLE_SQL["staged_messages"] = _w(_derived()) + f"""
+SELECT * REPLACE (NbBikes + run AS NbBikes)
+FROM (SELECT {MESSAGE_SELECT.replace("id,", "concat('BikePoints_', event_id) AS id,", 1)} FROM d),
+  (SELECT unnest([0, 1]::INTEGER[]) AS run)"""
+ORACLE_SQL["staged_messages"] = f"SELECT * EXCLUDE (run) FROM ({ORACLE_SQL['staged_messages']})"
+ORACLE_SQL["history_first_stage_wins"] = _w(_derived()) + """
+SELECT concat('BikePoints_', event_id) AS bike_point_id, extraction_datetime, NbBikes AS nb_bikes, NbDocks AS nb_docks
+FROM d"""

@@ -53,15 +53,19 @@ MESSAGE = T.StructType(
 )
 
 # Shape of a message on the wire, before decoding: the same columns a Kafka
-# source yields (value, offset, timestamp) minus the ones nobody reads.
+# source yields (value, partition, offset, timestamp) minus the ones nobody reads.
 WIRE = T.StructType(
     [
         T.StructField("value", T.BinaryType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
     ]
 )
 
+# Order of arrival: an offset counts within its partition only, so it comes last.
+ARRIVAL = ("timestamp", "partition", "offset")
+
 HISTORY = T.StructType(
     [
         T.StructField("bike_point_id", T.StringType()),
@@ -106,11 +110,12 @@ METRICS = T.StructType(
 )
 
 # The metrics store adds the write instant (for the 24 h lifetime) and the
-# micro-batch id (for last-write-wins among equal keys).
+# stream's id and micro-batch id (for last-write-wins among equal keys).
 METRICS_STORED = T.StructType(
     METRICS.fields
     + [
         T.StructField("written_at", T.TimestampType()),
+        T.StructField("run_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

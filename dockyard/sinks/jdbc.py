@@ -1,8 +1,8 @@
-"""JDBC sink and source (the staging table of a relational history store)."""
+"""JDBC sink (the staging table of a relational history store)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def jdbc_options(url: str, table: str, properties: dict | None = None, **extra) -> dict:
@@ -25,14 +25,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     if num_partitions:
         opts["numPartitions"] = str(num_partitions)
     df.write.format("jdbc").options(**opts).mode(mode).save()
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Read a JDBC table; with a numeric partition column the scan runs in parallel ranges."""
-    opts = jdbc_options(url, table, properties)
-    if partition_column:
-        opts.update(partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper),
-                    numPartitions=str(num_partitions or 8))
-    return spark.read.format("jdbc").options(**opts).load()

@@ -5,11 +5,14 @@
   on point and weekday filters.
 * Staging: replaced on each batch run (written once, read by the load; this
   also cuts the lineage back to the topic).
-* Per-row views and summaries: partitioned by date like history; a refresh
-  replaces only the dates a load touched (dynamic partition overwrite).
+* Summaries: partitioned by date like history; a refresh replaces only the
+  dates that loads touched since the last one (dynamic partition overwrite).
+  A load notes its dates before it adds rows, and a refresh notes which loads
+  it covered, so a skipped or failed refresh is made up for by the next one.
+* Per-row views: queries over history, nothing is copied.
 * Ranked views (peak hours, non-availability): small; each refresh writes a
-  new version directory, then repoints. No table is overwritten by a plan
-  that reads it.
+  new version directory, and readers take the newest complete one. The last
+  two versions stay. No table is overwritten by a plan that reads it.
 """
 
 from __future__ import annotations
@@ -17,11 +20,10 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockyard.operators.history import new_rows, staging_dates
+from dockyard.operators.history import new_rows, on_dates_of
 from dockyard.operators.summaries import (
     daily_points_summary,
     hourly_summary,
@@ -30,7 +32,8 @@ from dockyard.operators.summaries import (
 )
 from dockyard.operators.views import broken_docks_history, in_use_by_day
 from dockyard.schema import HISTORY, HISTORY_KEY
-from dockyard.sources.tables import read_history
+from dockyard.sinks.files import children, exists, remove
+from dockyard.sources.tables import read_history, scan
 
 # Upper bound on rows per output file, so a date with a huge share of rows
 # still lands in files of bounded size.
@@ -44,10 +47,6 @@ def history_ddl(name: str = "bike_points", location: str | None = None) -> str:
     return f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet\nPARTITIONED BY (extraction_date){loc}"
 
 
-def create_history_table(spark: SparkSession, name: str = "bike_points", location: str | None = None) -> None:
-    spark.sql(history_ddl(name, location))
-
-
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty relation with the schema of `df` (a schema-only select)."""
     return df.where(F.lit(False))
@@ -80,109 +79,101 @@ def append_history(df: DataFrame, path: str) -> None:
 
 
 def insert_ignore(spark: SparkSession, staging: DataFrame, history_path: str,
-                  order_by: tuple[str, ...] = ()) -> list | None:
-    """Load staging into history; stored keys win, repeated staging keys collapse to one.
+                  order_by: tuple[str, ...] = ()) -> None:
+    """Load staging into history; stored keys win, repeated staging keys collapse to the first by `order_by`.
 
     Only the history partitions of the staging dates are scanned for conflicts.
     Safe to rerun after a failure: keys already written are skipped. One writer
-    at a time (there is no lock on plain files). Returns the staging dates (the
-    partitions a view refresh must revisit), or None when there are more than
-    the bounded list holds (then everything is refreshed).
+    at a time (there is no lock on plain files).
     """
-    dates = staging_dates(staging)
     history = read_history(spark, history_path)
-    add = new_rows(staging, history, HISTORY_KEY, order_by,
-                   prune_on="extraction_date" if dates is not None else None, prune_values=dates)
-    append_history(add, history_path)
-    return dates
+    append_history(new_rows(staging, history, HISTORY_KEY, order_by, prune_on="extraction_date"), history_path)
+
+
+# The two summaries: columns and types a reader sees, also where nothing is stored yet.
+SUMMARIES = {
+    "summary_hourly": "extraction_date date, day_of_week string, day_of_week_number int, hour_interval string, "
+                      "hour string, sum_empty_docks bigint, nb_empty_docks_rows bigint",
+    "summary_daily_points": "bike_point_id string, extraction_date date, day_of_week_number int, "
+                            "day_of_week string, nb_rows bigint, nb_rows_without_bikes bigint, "
+                            "max_broken_docks int",
+}
+RANKED_VIEWS = {
+    "mvw_peak_hours_by_day": "day_of_week string, num_day_of_week string, hour_interval string, "
+                             "avg_nb_empty_docks decimal(4,2)",
+    "mvw_non_availability_by_day": "num_day_of_week string, extraction_date date, bike_point_id string",
+}
+ROW_VIEWS = {"mvw_in_use_bikes_by_day": in_use_by_day, "mvw_broken_docks_history": broken_docks_history}
+NOTES = "load_id string, extraction_date date"
+
+
+def note_load(staging: DataFrame, views_path: str) -> None:
+    """Note the dates that a load is about to touch, for the next refresh."""
+    dates = staging.select(F.lit(uuid.uuid4().hex).alias("load_id"), "extraction_date").distinct()
+    dates.coalesce(1).write.mode("append").parquet(f"{views_path}/_loads")
 
 
-def _pointer(views_path: str, name: str) -> str:
-    return f"{views_path}/_current/{name}"
+def _version(spark: SparkSession, views_path: str, name: str) -> str | None:
+    """The newest complete version of a ranked view."""
+    path = f"{views_path}/{name}"
+    done = [v for v in children(spark, path) if exists(spark, f"{path}/{v}/_SUCCESS")]
+    return f"{path}/{done[-1]}" if done else None
 
 
 def materialize(df: DataFrame, views_path: str, name: str) -> str:
-    """Write `df` as a new version of `name` and make it the current one (small tables)."""
+    """Write `df` as a new version of `name`; all but the last two complete versions are removed (small tables)."""
     spark = df.sparkSession
-    version = f"{views_path}/{name}/v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    path = f"{views_path}/{name}"
+    version = f"{path}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").parquet(
-        _pointer(views_path, name)
-    )
+    for old in [v for v in children(spark, path) if exists(spark, f"{path}/{v}/_SUCCESS")][:-2]:
+        remove(spark, f"{path}/{old}")
     return version
 
 
-# Tables that hold rows per history date are stored like history: partitioned
-# by date, and a refresh rewrites only the dates it revisits. The two per-row
-# views and the two summaries; values are the columns a reader sees.
-PARTITIONED_VIEWS = {
-    "mvw_in_use_bikes_by_day": ("num_day_of_week", "day_of_week", "nb_empty_docks"),
-    "mvw_broken_docks_history": ("extraction_date", "day_of_week", "nb_broken_docks"),
-    "summary_hourly": ("extraction_date", "day_of_week", "day_of_week_number", "hour_interval", "hour",
-                       "sum_empty_docks", "nb_empty_docks_rows"),
-    "summary_daily_points": ("bike_point_id", "extraction_date", "day_of_week_number", "day_of_week",
-                             "nb_rows", "nb_rows_without_bikes", "max_broken_docks"),
-}
-
-
-def read_view(spark: SparkSession, views_path: str, name: str) -> DataFrame:
-    """Current content of a stored view or summary."""
-    try:
-        if name in PARTITIONED_VIEWS:
-            return spark.read.parquet(f"{views_path}/{name}").select(*PARTITIONED_VIEWS[name])
-        path = spark.read.parquet(_pointer(views_path, name)).first()["path"]
-    except AnalysisException as e:
-        raise LookupError(f"view {name} has not been materialised under {views_path}") from e
-    return spark.read.parquet(path)
+def read_view(spark: SparkSession, history_path: str, views_path: str, name: str) -> DataFrame:
+    """Current content of a view or summary; empty before its first refresh."""
+    if name in ROW_VIEWS:
+        return ROW_VIEWS[name](read_history(spark, history_path))
+    if name in SUMMARIES:
+        return scan(spark, f"{views_path}/{name}", SUMMARIES[name])
+    return scan(spark, _version(spark, views_path, name) or f"{views_path}/{name}/none", RANKED_VIEWS[name])
 
 
-def _write_by_date(df: DataFrame, path: str, only_present_dates: bool) -> None:
-    """Overwrite a date-partitioned table: all of it, or only the dates present in `df`."""
+def _write_by_date(df: DataFrame, path: str) -> None:
+    """Replace the dates present in `df` of a date-partitioned table."""
     (
         df.hint("rebalance", "extraction_date")  # few, full files per date (see append_history)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_present_dates else "static")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("extraction_date")
         .parquet(path)
     )
 
 
-def refresh_views(spark: SparkSession, history_path: str, views_path: str,
-                  dates: list | None = None) -> dict[str, str]:
-    """Refresh the four stored views (and their two summaries) from history.
+def refresh_views(spark: SparkSession, history_path: str, views_path: str) -> dict[str, str]:
+    """Bring the summaries and the ranked views up to date with history.
 
-    `dates=None` rebuilds everything from the whole table. With the dates a load
-    touched, only those history partitions are read, and the date-partitioned
-    tables (per-row views, summaries) replace just those dates; the two ranked
-    views are then recomputed from the summaries, which are far smaller than
-    history. Same result as a full rebuild; safe to repeat after a failure.
+    The summaries' dates that noted loads touched since the last refresh are
+    computed again, from those history partitions only; the ranked views are
+    then computed from the summaries, which are far smaller than history. Same
+    result as a full rebuild; safe to repeat after a failure.
     """
-    hist = read_history(spark, history_path)
-    incremental = dates is not None and all(_has(spark, views_path, n) for n in PARTITIONED_VIEWS)
-    scope = hist.where(F.col("extraction_date").isin(dates)) if incremental else hist
-    per_date = {
-        "summary_hourly": hourly_summary(scope),
-        "summary_daily_points": daily_points_summary(scope),
-        "mvw_in_use_bikes_by_day": in_use_by_day(scope, keep=("extraction_date",)),
-        "mvw_broken_docks_history": broken_docks_history(scope, ordered=False),
-    }
+    loads = scan(spark, f"{views_path}/_loads", NOTES)
+    seen = scan(spark, f"{views_path}/_refreshed", "load_id string")
+    # The notes to cover are fixed first: a load that notes its dates meanwhile is left for the next refresh.
+    open_loads = f"{views_path}/_open"
+    loads.join(seen.distinct(), "load_id", "left_anti").coalesce(1).write.mode("overwrite").parquet(open_loads)
+    todo = spark.read.schema(NOTES).parquet(open_loads)
+    scope = on_dates_of(read_history(spark, history_path), todo)
     out = {}
-    for name, df in per_date.items():
+    for name, summary in (("summary_hourly", hourly_summary), ("summary_daily_points", daily_points_summary)):
         out[name] = f"{views_path}/{name}"
-        _write_by_date(df, out[name], incremental)
-    hourly = read_view(spark, views_path, "summary_hourly")
-    daily = read_view(spark, views_path, "summary_daily_points")
-    out["mvw_peak_hours_by_day"] = materialize(peak_hours_from_summary(hourly), views_path, "mvw_peak_hours_by_day")
-    out["mvw_non_availability_by_day"] = materialize(
-        non_availability_from_summary(daily), views_path, "mvw_non_availability_by_day"
-    )
+        _write_by_date(summary(scope), out[name])
+    hourly, daily = (read_view(spark, history_path, views_path, n) for n in SUMMARIES)
+    ranked = {"mvw_peak_hours_by_day": peak_hours_from_summary(hourly),
+              "mvw_non_availability_by_day": non_availability_from_summary(daily)}
+    out.update({name: materialize(df, views_path, name) for name, df in ranked.items()})
+    todo.select("load_id").distinct().coalesce(1).write.mode("append").parquet(f"{views_path}/_refreshed")
     return out
-
-
-def _has(spark: SparkSession, views_path: str, name: str) -> bool:
-    try:
-        read_view(spark, views_path, name)
-        return True
-    except LookupError:
-        return False

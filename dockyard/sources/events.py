@@ -12,13 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockyard.operators.staging import encode_messages
-from dockyard.schema import MESSAGE
-from dockyard.sources.spread import spread
+from dockyard.schema import ARRIVAL, MESSAGE
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table, spread over the cores when it comes in fewer splits than cores."""
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    """The events table, in the splits that the session's file settings give."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _digits(x: Column, mult: int) -> Column:
@@ -72,9 +71,15 @@ def message_fields(rows: DataFrame) -> DataFrame:
 
 
 def wire_messages(rows: DataFrame) -> DataFrame:
-    """Derived rows as they travel on the topic: JSON `value`, `offset`, arrival `timestamp`."""
-    framed = rows.select(*MESSAGE_COLUMNS, F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    return encode_messages(framed, keep=("offset", "timestamp"))
+    """Derived rows as they travel on a topic of four partitions: JSON `value`, `partition`, `offset`, arrival
+    `timestamp`."""
+    framed = rows.select(
+        *MESSAGE_COLUMNS,
+        (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+    return encode_messages(framed, keep=ARRIVAL).select("value", "partition", "offset", "timestamp")
 
 
 def _iso(ts: Column) -> Column:

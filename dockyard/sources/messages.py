@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dockyard.schema import WIRE
-from dockyard.sources.spread import default_parallelism, spread
 
 
 def message_reader_options(fmt: str, options: dict, streaming: bool, min_partitions: int | None = None) -> dict:
@@ -27,15 +26,17 @@ def message_reader_options(fmt: str, options: dict, streaming: bool, min_partiti
 
 def read_messages(spark: SparkSession, fmt: str = "parquet", options: dict | None = None,
                   streaming: bool = False, max_files_per_trigger: int | None = None,
-                  max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Scan the topic; the result has at least `value` (binary JSON), `offset`, `timestamp`.
+                  max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Scan the topic; the result has at least `value` (binary JSON), `partition`, `offset`, `timestamp`.
+
+    `min_partitions` is for a broker topic of few partitions; files split by the session's file settings
+    (`spark.sql.files.maxPartitionBytes`, `spark.sql.files.minPartitionNum`).
 
     Streaming reads can bound each micro-batch (`maxOffsetsPerTrigger` for Kafka,
     `maxFilesPerTrigger` for files), so a restart after downtime does not turn
     the backlog into one huge batch.
     """
-    parallelism = default_parallelism(spark)
-    opts = message_reader_options(fmt, options or {}, streaming, parallelism)
+    opts = message_reader_options(fmt, options or {}, streaming, min_partitions)
     path = opts.pop("path", None)
     if streaming:
         r = spark.readStream.format(fmt).options(**opts)
@@ -50,4 +51,4 @@ def read_messages(spark: SparkSession, fmt: str = "parquet", options: dict | Non
     r = spark.read.format(fmt).options(**opts)
     if fmt == "kafka":
         return r.load()
-    return spread(r.schema(WIRE).load(path), parallelism)
+    return r.schema(WIRE).load(path)

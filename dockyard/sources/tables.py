@@ -6,12 +6,17 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockyard.config import METRICS_TTL_SECONDS
+from dockyard.operators.retention import instant
 from dockyard.schema import HISTORY, METRICS_STORED
 
 
-def _scan(spark: SparkSession, path: str, schema) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A Parquet table with a fixed schema; empty where nothing is stored."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as e:
@@ -26,48 +31,38 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     Filters on `extraction_date` prune partitions; other filters and the column
     list reach the Parquet scan.
     """
-    return _scan(spark, path, HISTORY)
+    return scan(spark, path, HISTORY)
 
 
-# Stored metrics as laid out on disk: the row, then the two partition columns.
-_METRICS_ON_DISK = T.StructType(
-    [f for f in METRICS_STORED.fields if f.name != "batch_id"]
-    + [T.StructField("written_date", T.DateType()), T.StructField("batch_id", T.LongType())]
-)
+# Stored metrics as laid out on disk: the row, then the partition column.
+METRICS_ON_DISK = T.StructType([*METRICS_STORED.fields, T.StructField("written_date", T.DateType())])
+
+
+def metrics_files(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the Parquet metrics store, with their write date."""
+    log, daily = (scan(spark, f"{path}/{part}", METRICS_ON_DISK) for part in ("log", "daily"))
+    return log.unionByName(daily)
 
 
 def read_metrics(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                 options: dict | None = None, recent_days: int | None = None, as_of=None) -> DataFrame:
+                 options: dict | None = None, alive_at=None, ttl_seconds: int = METRICS_TTL_SECONDS) -> DataFrame:
     """Stored metrics rows; empty if absent.
 
-    Parquet store (`written_date=<d>/batch_id=<n>/` under `path`): everything,
-    or with `recent_days` only the directories of the last that many write
-    dates up to `as_of` (default today, UTC), so the listing stays small
-    however old the store is. Rows live 24 h: `recent_days=3` covers a day's
-    lifetime with a day of slack on each side. A connector store (e.g. format
-    "org.apache.spark.sql.cassandra" with keyspace/table options) applies its
-    own row lifetime and key upserts.
+    Parquet store: `path/log/written_date=<d>/` (a file per micro-batch, recent
+    dates) and `path/daily/written_date=<d>/` (compacted dates). No directory is
+    per batch, so a listing sees one per date. With `alive_at` (an instant; its
+    text is read in the session's zone) only the write dates that can hold a row
+    alive then are scanned: from the date of `alive_at` - `ttl_seconds` to that
+    of `alive_at`, in UTC, and a day more on either side. A connector store
+    (e.g. format "org.apache.spark.sql.cassandra" with keyspace/table options)
+    applies its own row lifetime and key upserts.
     """
     if fmt != "parquet":
         return spark.read.format(fmt).options(**(options or {})).load()
-    if not recent_days:
-        return _scan(spark, path, _METRICS_ON_DISK).select(*METRICS_STORED.fieldNames())
-    end = _as_date(as_of)
-    days = ",".join((end - dt.timedelta(days=i)).isoformat() for i in range(recent_days))
-    try:
-        df = spark.read.schema(_METRICS_ON_DISK).option("basePath", path).parquet(f"{path}/written_date={{{days}}}")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        return spark.createDataFrame([], METRICS_STORED)
-    return df.select(*METRICS_STORED.fieldNames())
-
-
-def _as_date(as_of) -> dt.date:
-    if as_of is None:
-        return dt.datetime.now(dt.timezone.utc).date()
-    if isinstance(as_of, dt.datetime):
-        return as_of.date()
-    if isinstance(as_of, dt.date):
-        return as_of
-    return dt.date.fromisoformat(str(as_of)[:10])
+    rows = metrics_files(spark, path)
+    if alive_at is not None:
+        at = spark.range(1).select(F.unix_seconds(instant(alive_at))).first()[0]
+        day = lambda s: dt.datetime.fromtimestamp(s, dt.timezone.utc).date()
+        one = dt.timedelta(days=1)
+        rows = rows.where(F.col("written_date").between(F.lit(day(at - ttl_seconds) - one), F.lit(day(at) + one)))
+    return rows.select(*METRICS_STORED.fieldNames())

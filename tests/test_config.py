@@ -5,7 +5,7 @@ import pytest
 from dockyard.config import Config, session_for
 from dockyard.sinks.jdbc import jdbc_options
 from dockyard.sinks.messages import kafka_writer_options
-from dockyard.sinks.metrics import cassandra_options, metrics_ddl
+from dockyard.sinks.metrics import metrics_ddl
 from dockyard.sinks.tables import history_ddl
 from dockyard.sources.messages import message_reader_options
 
@@ -22,9 +22,13 @@ def test_from_env():
 
 
 def test_file_topic_and_missing_topic():
-    assert Config(topic_dir="/x").message_source() == ("parquet", {"path": "/x"})
+    assert Config("/w", topic_dir="/x").message_source() == ("parquet", {"path": "/x"})
     with pytest.raises(ValueError):
-        Config().message_source()
+        Config("/w").message_source()
+    with pytest.raises(ValueError):
+        Config("/w", kafka_servers="b:1").message_source()  # no topic named
+    with pytest.raises(ValueError):
+        Config()
 
 
 def test_session_profile_check():
@@ -40,7 +44,6 @@ def test_reader_options():
 
 def test_writer_options():
     assert kafka_writer_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
-    assert cassandra_options() == {"keyspace": "transportation", "table": "metrics", "ttl": "86400"}
     o = jdbc_options("jdbc:x", "stg_bike_points", {"driver": "d"}, batchsize=5)
     assert o == {"url": "jdbc:x", "dbtable": "stg_bike_points", "driver": "d", "batchsize": "5"}
 
@@ -55,7 +58,7 @@ def test_history_ddl(spark, tmp_dir):
 
 def test_metrics_ddl(spark, tmp_dir):
     ddl = metrics_ddl("metrics_t", f"{tmp_dir}/m")
-    assert "PARTITIONED BY (written_date, batch_id)" in ddl and "written_at TIMESTAMP" in ddl
+    assert "PARTITIONED BY (written_date)" in ddl and "run_id STRING" in ddl and "written_at TIMESTAMP" in ddl
     spark.sql(ddl)
     spark.sql(ddl)
     assert "percentage_broken_docks" in spark.table("metrics_t").columns
@@ -76,3 +79,51 @@ def test_session_for_settings(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+STORE = {"DOCKYARD_WAREHOUSE": "/w", "METRICS_FORMAT": "org.apache.spark.sql.cassandra", "METRICS_KEYSPACE": "ks",
+         "METRICS_HOST": "h", "METRICS_PORT": "9042", "METRICS_USER": "u", "METRICS_PASSWORD": "p"}
+
+
+def test_metrics_store_from_env():
+    assert Config("/w").metrics_sink() == ("parquet", {})
+    cfg = Config.from_env(STORE)
+    assert cfg.metrics_sink() == (
+        "org.apache.spark.sql.cassandra", {"keyspace": "ks", "table": "metrics", "ttl": "86400"})
+    assert cfg.metrics_connection() == {
+        "spark.cassandra.connection.host": "h", "spark.cassandra.connection.port": "9042",
+        "spark.cassandra.auth.username": "u", "spark.cassandra.auth.password": "p"}
+    with pytest.raises(ValueError):
+        Config("/w", metrics_format="x").metrics_sink()
+
+
+def test_store_settings_are_the_speed_sessions_alone(spark):
+    class Recorder:
+        """Takes settings as a session builder does and keeps them."""
+
+        def __init__(self):
+            self.conf = {}
+
+        def appName(self, name):
+            return self
+
+        def config(self, key, value):
+            self.conf[key] = value
+            return self
+
+        def getOrCreate(self):
+            return self.conf
+
+    cfg = Config.from_env(STORE)
+    speed, batch = (session_for(p, config=cfg, builder=Recorder()) for p in ("speed", "batch"))
+    assert cfg.metrics_connection().items() <= speed.items()
+    assert not any("cassandra" in k for k in batch)
+
+
+def test_speed_job_writes_to_the_configured_store(spark, tmp_dir, monkeypatch):
+    from dockyard.plans import jobs
+
+    seen = {}
+    monkeypatch.setattr(jobs, "run_metrics_stream", lambda *a, **kw: seen.update(kw))
+    jobs.speed_job(spark, Config(tmp_dir, topic_dir=tmp_dir, metrics_format="x", metrics_keyspace="k"), wait=False)
+    assert seen == {"fmt": "x", "options": {"keyspace": "k", "table": "metrics", "ttl": "86400"}}

@@ -10,16 +10,16 @@ def dec(spark, text, **kw):
     return decode_messages(df, **kw).first().asDict()
 
 
-NORMAL = ('{"id":"a","lat":"51.529163","lon":"-0.10997","Installed":"true","NbBikes":10,"NbDocks":19,'
-          '"extraction_datetime":"2024-12-25 18:44:07"}')
+NORMAL = ('{"id":"a","lat":"48.123456","lon":"-4.98765","Installed":"true","NbBikes":10,"NbDocks":19,'
+          '"extraction_datetime":"2023-06-07 05:43:21"}')
 
 
 @pytest.mark.parametrize("single", [False, True])
 def test_normal(spark, single):
     r = dec(spark, NORMAL, single_parse=single)
     assert r["id"] == "a" and r["NbBikes"] == 10 and r["NbDocks"] == 19 and r["Installed"] == "true"
-    assert str(r["lat"]) == "51.529163" and str(r["lon"]) == "-0.109970"
-    assert r["extraction_datetime"].strftime("%Y-%m-%d %H:%M:%S") == "2024-12-25 18:44:07"
+    assert str(r["lat"]) == "48.123456" and str(r["lon"]) == "-4.987650"
+    assert r["extraction_datetime"].strftime("%Y-%m-%d %H:%M:%S") == "2023-06-07 05:43:21"
 
 
 def test_binary_value(spark):
@@ -28,8 +28,8 @@ def test_binary_value(spark):
 
 
 def test_rounding_overflow_exponent(spark):
-    r = dec(spark, '{"lat":"51.5291635","lon":"-0.1099704"}')
-    assert str(r["lat"]) == "51.529164" and str(r["lon"]) == "-0.109970"
+    r = dec(spark, '{"lat":"48.1234565","lon":"-4.9876504"}')
+    assert str(r["lat"]) == "48.123457" and str(r["lon"]) == "-4.987650"
     r = dec(spark, '{"id":"x","lat":"151.5","NbBikes":3}')
     assert r["lat"] is None and r["id"] == "x" and r["NbBikes"] == 3
     assert str(dec(spark, '{"lon":"-1e-05"}')["lon"]) == "-0.000010"

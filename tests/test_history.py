@@ -6,7 +6,8 @@ from conftest import messages, point
 
 from dockyard.operators.enrich import enrich
 from dockyard.operators.history import first_per_key, new_rows
-from dockyard.sinks.tables import empty_like, insert_ignore
+from dockyard.schema import ARRIVAL
+from dockyard.sinks.tables import insert_ignore
 from dockyard.sources.tables import read_history
 
 
@@ -60,35 +61,28 @@ def test_parquet_insert_ignore_idempotent(spark, tmp_dir):
         [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2), ("c", "2024-01-03 10:00:00", 4)],
     )
     assert h.groupBy("bike_point_id", "extraction_datetime").count().where("count > 1").count() == 0
-    insert_ignore(spark, empty_like(day1), path)  # empty staging: no change
+    insert_ignore(spark, day1.where(F.lit(False)), path)  # empty staging: no change
     assert read_history(spark, path).count() == 3
 
 
 def test_history_scan_is_pruned_to_staging_dates(spark, tmp_dir):
     path = f"{tmp_dir}/history"
-    insert_ignore(spark, hist(spark, [point("a", f"2024-01-0{d} 10:00:00") for d in range(1, 6)]), path)
-    staging = hist(spark, [point("a", "2024-01-03 10:00:00")])
-    add = new_rows(staging, read_history(spark, path), prune_on="extraction_date",
-                   prune_values=[r[0] for r in staging.select("extraction_date").distinct().collect()])
+    insert_ignore(spark, hist(spark, [point("a", f"2024-01-0{d} 10:00:00") for d in range(1, 9)]), path)
+    staging = hist(spark, [point("a", "2024-01-03 10:00:00"), point("b", "2024-01-06 10:00:00")])
+    staging.write.parquet(f"{tmp_dir}/staging")
+    add = new_rows(spark.read.parquet(f"{tmp_dir}/staging"), read_history(spark, path), prune_on="extraction_date")
     plan = add._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(extraction_date" in plan and "2024-01-03" in plan.split("PartitionFilters")[1]
-    assert add.count() == 0
+    # a static range from the first to the last staging date, and the dates themselves at run time
+    scan = [x for x in plan.splitlines() if "FileScan" in x and "/history" in x][0]
+    assert ">= 2024-01-03" in scan.split("PartitionFilters")[1] and "dynamicpruning" in plan
+    assert "RoundRobin" not in plan
+    assert keyset(add) == [("b", "2024-01-06 10:00:00", 5)]
 
 
-def test_empty_like_keeps_schema_and_prunes_scan(spark):
-    df = hist(spark, [point("a", "2024-01-01 10:00:00")])
-    e = empty_like(df)
-    assert e.schema == df.schema and e.count() == 0
-    assert "LocalTableScan" in e._jdf.queryExecution().executedPlan().toString()
-
-
-def test_too_many_staging_dates_falls_back_to_whole_table(spark, tmp_dir, monkeypatch):
-    import dockyard.operators.history as H
-
-    path = f"{tmp_dir}/history"
-    rows = [point("a", f"2024-01-0{d} 10:00:00", bikes=d) for d in range(1, 6)]
-    insert_ignore(spark, hist(spark, rows[:3]), path)
-    monkeypatch.setattr(H, "MAX_PRUNE_DATES", 2)
-    assert H.staging_dates(hist(spark, rows)) is None
-    insert_ignore(spark, hist(spark, rows), path)  # 5 dates > 2: no date list, same result
-    assert keyset(read_history(spark, path)) == [("a", f"2024-01-0{d} 10:00:00", d) for d in range(1, 6)]
+def test_earliest_arrival_wins_across_partitions(spark):
+    rows = [point("a", "2024-01-01 10:00:00", bikes=b) for b in (5, 3, 8)]
+    arrived = F.when(F.col("nb_bikes") == 3, F.lit("2024-01-01 10:00:01")).otherwise(F.lit("2024-01-01 10:00:09"))
+    staging = enrich(messages(spark, rows)).withColumn("timestamp", arrived.cast("timestamp"))
+    # a later message with a smaller offset, in another partition
+    staging = staging.withColumn("partition", F.col("nb_bikes") % 2).withColumn("offset", F.lit(10) - F.col("nb_bikes"))
+    assert [r["nb_bikes"] for r in first_per_key(staging, order_by=ARRIVAL).collect()] == [3]

@@ -39,9 +39,9 @@ def land_snapshots(spark, landing):
 def test_stage_batch_speed_and_sql(spark, tmp_dir):
     cfg = Config(warehouse=f"{tmp_dir}/wh", landing_dir=f"{tmp_dir}/landing", topic_dir=f"{tmp_dir}/topic")
     n = land_snapshots(spark, cfg.landing_dir)
-    stage_job(spark, cfg)
+    stage_job(spark, cfg, incremental=False)
     topic = spark.read.parquet(cfg.topic_dir)
-    assert topic.count() == n
+    assert topic.count() == n == topic.select("timestamp", "partition", "offset").distinct().count()
 
     batch_job(spark, cfg)
     hist = read_history(spark, cfg.history_path)
@@ -51,8 +51,8 @@ def test_stage_batch_speed_and_sql(spark, tmp_dir):
     assert keys == expected
     for v in ("mvw_in_use_bikes_by_day", "mvw_broken_docks_history", "mvw_peak_hours_by_day",
               "mvw_non_availability_by_day"):
-        assert read_view(spark, cfg.views_path, v).count() > 0
-    assert read_view(spark, cfg.views_path, "mvw_in_use_bikes_by_day").count() == keys
+        assert read_view(spark, cfg.history_path, cfg.views_path, v).count() > 0
+    assert read_view(spark, cfg.history_path, cfg.views_path, "mvw_in_use_bikes_by_day").count() == keys
 
     batch_job(spark, cfg)  # the topic is read again from the start: nothing new is added
     assert read_history(spark, cfg.history_path).count() == keys
@@ -96,7 +96,7 @@ def test_incremental_batch_reads_each_message_once(spark, tmp_dir):
     assert read_history(spark, cfg.history_path).count() == 1000 > first
     batch_job(spark, cfg, incremental=True)  # nothing new: history unchanged
     assert read_history(spark, cfg.history_path).count() == 1000
-    assert read_view(spark, cfg.views_path, "mvw_in_use_bikes_by_day").count() == 1000
+    assert read_view(spark, cfg.history_path, cfg.views_path, "mvw_in_use_bikes_by_day").count() == 1000
 
 
 def test_served_charts_equal_charts_over_history(spark, tmp_dir):
@@ -117,16 +117,32 @@ def test_served_charts_equal_charts_over_history(spark, tmp_dir):
 def test_incremental_stage_publishes_each_snapshot_once(spark, tmp_dir):
     cfg = Config(warehouse=f"{tmp_dir}/wh", landing_dir=f"{tmp_dir}/landing", topic_dir=f"{tmp_dir}/topic")
     n = land_snapshots(spark, cfg.landing_dir)
-    stage_job(spark, cfg, incremental=True)
+    stage_job(spark, cfg)
     assert spark.read.parquet(cfg.topic_dir).count() == n
-    stage_job(spark, cfg, incremental=True)  # nothing new landed: nothing published
+    stage_job(spark, cfg)  # nothing new landed: nothing published
     assert spark.read.parquet(cfg.topic_dir).count() == n
     extra = [{"id": "BikePoints_x", "commonName": "x", "lat": 51.5, "lon": -0.1,
               "additionalProperties": [{"category": "Description", "key": "NbBikes", "sourceSystemKey": "s",
                                         "value": "3", "modified": "2024-01-06T10:00:00.000Z"}]}]
     with open(f"{cfg.landing_dir}/snapshot-extra.json", "w") as f:
         json.dump(extra, f)
-    stage_job(spark, cfg, incremental=True)
+    stage_job(spark, cfg)
     assert spark.read.parquet(cfg.topic_dir).count() == n + 1
     batch_job(spark, cfg, refresh=False)
     assert read_history(spark, cfg.history_path).where("bike_point_id = 'BikePoints_x'").count() == 1
+
+
+def test_setup_makes_empty_staging_and_tables(spark, tmp_dir):
+    from dockyard.plans.jobs import setup_job
+    from dockyard.schema import HISTORY
+
+    cfg = Config(warehouse=f"{tmp_dir}/wh", topic_dir=f"{tmp_dir}/topic")
+    for _ in range(2):
+        setup_job(spark, cfg, "set_up_twice")
+    staging = spark.read.parquet(cfg.staging_path)
+    assert staging.columns == HISTORY.fieldNames() and staging.count() == 0
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN set_up_twice").collect()} == {"bike_points", "metrics"}
+    wire_messages(_rows(spark, SF_SMALL)).write.parquet(cfg.topic_dir)
+    batch_job(spark, cfg, refresh=False)
+    setup_job(spark, cfg, "set_up_twice")
+    assert spark.read.parquet(cfg.staging_path).count() == 1000  # set-up never clears what is there

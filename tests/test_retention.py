@@ -5,6 +5,7 @@ import datetime as dt
 from dockyard.operators.charts import current_state
 from dockyard.operators.retention import current_metrics, topic_retention
 from dockyard.schema import METRICS_STORED
+from dockyard.sinks.files import children
 from dockyard.sinks.metrics import compact_metrics
 from dockyard.sources.tables import read_metrics
 
@@ -12,7 +13,7 @@ NOW = dt.datetime(2024, 3, 1, 12, 0, 0)
 
 
 def row(mn, mx, bikes, written, batch):
-    return (mn, mx, bikes, 1.0, 0, 0.0, 0, 0.0, 0, 0.0, written, batch)
+    return (mn, mx, bikes, 1.0, 0, 0.0, 0, 0.0, 0, 0.0, written, "stream", batch)
 
 
 def test_lifetime_and_last_write_wins(spark):
@@ -46,33 +47,49 @@ def test_topic_retention(spark):
     assert [r["offset"] for r in topic_retention(df, NOW).collect()] == [1]
 
 
-def test_compaction_keeps_live_newest_rows(spark, tmp_dir):
-    k = (dt.datetime(2024, 3, 1, 11), dt.datetime(2024, 3, 1, 11, 30))
-    log = spark.createDataFrame([
-        row(*k, 10, NOW - dt.timedelta(hours=2), 1),
-        row(*k, 12, NOW - dt.timedelta(hours=1), 2),
-        row(*k, 5, NOW - dt.timedelta(hours=30), 0),
-    ], METRICS_STORED)
-    compact_metrics(log, f"{tmp_dir}/compacted", NOW)
-    out = read_metrics(spark, f"{tmp_dir}/compacted").collect()
-    assert [(r["nb_available_bikes"], r["batch_id"]) for r in out] == [(12, 2)]
+def store(spark, path, rows, day):
+    spark.createDataFrame(rows, METRICS_STORED).coalesce(1).write.mode("append").parquet(f"{path}/log/written_date={day}")
+
 
+def test_compaction_merges_past_dates_and_removes_expired(spark, tmp_dir):
+    k, path = (dt.datetime(2024, 3, 1, 11), dt.datetime(2024, 3, 1, 11, 30)), f"{tmp_dir}/m"
+    other = (dt.datetime(2024, 2, 29, 1), dt.datetime(2024, 2, 29, 2))
+    store(spark, path, [row(*k, 1, NOW - dt.timedelta(days=5), 0)], "2024-02-25")
+    store(spark, path, [row(*k, 2, NOW - dt.timedelta(hours=20), 0)], "2024-02-29")
+    store(spark, path, [row(*k, 3, NOW - dt.timedelta(hours=19), 1), row(*other, 7, NOW - dt.timedelta(hours=19), 1)],
+          "2024-02-29")
+    store(spark, path, [row(*k, 4, NOW - dt.timedelta(hours=1), 2)], "2024-03-01")
+    before = sorted(map(tuple, current_metrics(read_metrics(spark, path, alive_at=NOW), NOW).collect()), key=str)
+    for _ in range(2):  # repeating it changes nothing
+        merged = compact_metrics(spark, path, NOW)
+        live = current_metrics(read_metrics(spark, path, alive_at=NOW), NOW)
+        assert sorted(map(tuple, live.collect()), key=str) == before
+        assert children(spark, f"{path}/log") == ["written_date=2024-03-01"]
+        assert children(spark, f"{path}/daily") == ["written_date=2024-02-29"]
+    assert merged == [] and read_metrics(spark, path).count() == 3
 
-def test_recent_read_lists_only_recent_write_dates(spark, tmp_dir):
-    from pyspark.sql import functions as F
 
-    from dockyard.sinks.metrics import write_metrics
+def test_live_read_scans_only_dates_that_can_hold_live_rows(spark, tmp_dir):
+    path = f"{tmp_dir}/m"
+    k = (dt.datetime(2024, 3, 1, 1), dt.datetime(2024, 3, 1, 2))
+    for n, day in enumerate(["2024-02-01", "2024-02-28", "2024-02-29", "2024-03-01", "2024-03-02", "2024-03-03"]):
+        store(spark, path, [row(*k, n, NOW, n)], day)
+    recent = read_metrics(spark, path, alive_at=NOW)
+    assert sorted(r["batch_id"] for r in recent.collect()) == [1, 2, 3, 4]
+    assert read_metrics(spark, f"{tmp_dir}/nothing", alive_at=NOW).count() == 0
+
 
+def test_live_read_in_a_zone_behind_utc(spark, tmp_dir):
+    path, zone = f"{tmp_dir}/m", spark.conf.get("spark.sql.session.timeZone")
     k = (dt.datetime(2024, 3, 1, 1), dt.datetime(2024, 3, 1, 2))
-    m = spark.createDataFrame([row(*k, 1, NOW, 0)], METRICS_STORED).drop("written_at", "batch_id")
-    for n, day in enumerate(["2024-02-01", "2024-02-28", "2024-02-29", "2024-03-01"]):
-        write_metrics(m.withColumn("nb_available_bikes", F.lit(n).cast("bigint")), f"{tmp_dir}/m", n, written_date=day)
-    assert read_metrics(spark, f"{tmp_dir}/m").count() == 4
-    recent = read_metrics(spark, f"{tmp_dir}/m", recent_days=3, as_of=NOW)
-    assert sorted(r["batch_id"] for r in recent.collect()) == [1, 2, 3]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "2024-02-01" not in plan
-    assert read_metrics(spark, f"{tmp_dir}/nothing", recent_days=3, as_of=NOW).count() == 0
+    # written at 19:30 in Los Angeles: the next day in UTC
+    store(spark, path, [row(*k, 1, dt.datetime(2024, 3, 2, 3, 30), 0)], "2024-03-02")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        at = "2024-03-01 20:00:00"
+        assert current_metrics(read_metrics(spark, path, alive_at=at), at).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_live_clock_retention(spark):

@@ -99,8 +99,8 @@ def test_in_use_and_broken_views(spark):
     assert sorted(tuple(r) for r in views.in_use_by_day(h).collect()) == [
         ("3: Tuesday", "Tuesday", 3), ("6: Friday", "Friday", 1)]
     b = views.broken_docks_history(h).collect()
-    assert [r["extraction_date"] for r in b] == [dt.date(2024, 1, 5), dt.date(2024, 1, 2)]
-    assert [r["nb_broken_docks"] for r in b] == [4, 2]
+    assert {(r["extraction_date"], r["nb_broken_docks"]) for r in b} == {
+        (dt.date(2024, 1, 5), 4), (dt.date(2024, 1, 2), 2)}
 
 
 def test_charts(spark):

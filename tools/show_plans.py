@@ -49,6 +49,7 @@ def main() -> None:
     from dockyard.operators.history import new_rows
     from dockyard.operators.metrics import fleet_metrics
     from dockyard.plans.registry import _history, _rows
+    from dockyard.schema import ARRIVAL
     from dockyard.sinks.tables import insert_ignore
     from dockyard.sources.events import wire_messages
     from dockyard.sources.tables import read_history
@@ -62,10 +63,10 @@ def main() -> None:
     staging = hist.where(F.col("extraction_date") == "2024-01-20")
     shown = {
         "speed path: decode + fleet metrics": fleet_metrics(
-            decode_messages(wire, keep=("offset",), fields=SPEED_FIELDS), tiebreak="offset"),
+            decode_messages(wire, keep=ARRIVAL, fields=SPEED_FIELDS), tiebreak=ARRIVAL),
         "batch path: decode once, validity filter, enrich": hist,
         "insert-ignore: dedup + anti-join on the staging dates' partitions": new_rows(
-            staging, stored, order_by=(), prune_on="extraction_date", prune_values=["2024-01-20"]),
+            staging, stored, order_by=(), prune_on="extraction_date"),
         "non-availability view": views.non_availability_by_day(stored),
         "peak-hours view": views.peak_hours_by_day(stored),
         "refresh scope of one touched date": stored.where(F.col("extraction_date").isin(["2024-01-20"]))
