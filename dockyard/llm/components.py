@@ -18,13 +18,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "u")
     up = both.where(F.col("b") > F.col("a"))
-    return up.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return up.join(least.hint("merge"), F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the least of them; edges are (larger, smaller)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-    down = edges.join(least, F.col("a") == F.col("u")).where(F.col("b") > F.col("m"))
+    down = edges.join(least.hint("merge"), F.col("a") == F.col("u")).where(F.col("b") > F.col("m"))
     return down.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u"), F.col("m")))
 
 

@@ -15,6 +15,8 @@ Two texts are linked if the Jaccard similarity of their sets of 5-word n-grams i
    Pairs are never rows.
 4. Components of the forests are the classes.
 
+Every join is a sort-merge join at every size: what a small table would broadcast grows with the corpus.
+
 A group of copies with a third of all rows is one representative if the copies are exact; if they differ, its
 blocks are spread over tasks of bounded size, and only distinct n-gram sets are compared.
 
@@ -202,7 +204,7 @@ def _candidate_groups(reps: DataFrame) -> DataFrame:
     banded = stored(reps.select("rep", F.explode("bands").alias("band")), "ngram-bands")
     buckets = banded.groupBy("band").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stored(buckets.select("band", "least"), "ngram-buckets")
-    stars = banded.join(buckets, "band").where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    stars = banded.join(buckets.hint("merge"), "band").where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     return components(stars, "ngram-candidates").select(F.col("node").alias("rep"), F.col("root").alias("grp"))
 
 
@@ -211,7 +213,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     size = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("g"))
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("g") / BLOCK_GRAMS)).cast("int")
     size = stored(size.select(F.col("grp").alias("of"), parts.alias("parts")), "ngram-groups")
-    dealt = members.join(size, F.col("grp") == F.col("of")).withColumn(
+    dealt = members.join(size.hint("merge"), F.col("grp") == F.col("of")).withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     )
     pairs = F.when(
@@ -252,12 +254,12 @@ def classes(
     )
     reps = stored(reps, "ngram-reps")
     groups = _candidate_groups(reps)
-    members = stored(groups.join(reps.select("rep", "set_hash", "copies", "grams"), "rep"), "ngram-members")
-    texts = own.join(members.select("rep", "set_hash"), F.col("doc_id") == F.col("rep"))
+    members = stored(groups.join(reps.select("rep", "set_hash", "copies", "grams").hint("merge"), "rep"), "ngram-members")
+    texts = own.join(members.select("rep", "set_hash").hint("merge"), F.col("doc_id") == F.col("rep"))
     sets = texts.select("rep", "set_hash", gram_sets(n)(F.col("text")).alias("s"))
     sets = sets.where(F.col("s.set_hash") == F.col("set_hash")).select("rep", "set_hash", F.col("s.sets").alias("sets"))
     sets = stored(sets.dropDuplicates(["rep", "set_hash"]), "ngram-sets")
-    work = _blocks(members).join(sets, ["rep", "set_hash"])
+    work = _blocks(members).join(sets.hint("merge"), ["rep", "set_hash"])
     checked = work.groupBy("grp", "i", "j").applyInPandas(verifier(threshold), "rep bigint, links bigint, to bigint")
     checked = stored(checked, "ngram-checked")
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -265,8 +267,8 @@ def classes(
     roots = components(forest, "ngram-classes")
     of_rep = (
         reps.select("rep", "set_hash", "copies")
-        .join(links, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(links.hint("merge"), "rep", "left")
+        .join(roots.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
         .select(
             "set_hash",
             F.coalesce("root", "rep").alias("class_id"),
@@ -274,7 +276,7 @@ def classes(
             F.col("copies").alias("n_copies"),
         )
     )
-    return signs.select("doc_id", "set_hash").join(of_rep, "set_hash").drop("set_hash")
+    return signs.select("doc_id", "set_hash").join(of_rep.hint("merge"), "set_hash").drop("set_hash")
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
@@ -282,7 +284,7 @@ def digest(docs: DataFrame, **options) -> DataFrame:
     found = classes(docs, **options).withColumnRenamed("doc_id", "id")
     return (
         docs.select("doc_id")
-        .join(found, F.col("doc_id") == F.col("id"), "left")
+        .join(found.hint("merge"), F.col("doc_id") == F.col("id"), "left")
         .select(
             "doc_id",
             F.coalesce("class_id", "doc_id").alias("class_id"),
@@ -296,5 +298,5 @@ def deduped(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the least doc_id, with the columns it came with."""
     found = classes(docs)
     gone = stored(found.where("doc_id != class_id").select(F.col("doc_id").alias("gone_id")).distinct(), "ngram-gone")
-    kept = packed(docs).join(gone, F.col("row.doc_id") == F.col("gone_id"), "left_anti")
+    kept = packed(docs).join(gone.hint("merge"), F.col("row.doc_id") == F.col("gone_id"), "left_anti")
     return unpacked(kept, docs)
