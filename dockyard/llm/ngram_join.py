@@ -76,20 +76,22 @@ def ngrams(text: str | None, n: int = N) -> np.ndarray:
 
 def _family(k: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240501)
-    draw = lambda: rng.integers(1, 2**63, k, dtype=np.uint64)
-    return draw() | np.uint64(1), draw()
+    draw = lambda: rng.integers(1, 2**32, k, dtype=np.uint32)
+    return draw() | np.uint32(1), draw()
 
 
 def band_hashes(grams: np.ndarray, bands: int, rows: int, family: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """One 64-bit hash per band of the MinHash values in it; the band's number is part of the hash."""
     a, b = family
+    low = grams.astype(np.uint32)  # mixed hashes: any 32 of their bits are as good
     with np.errstate(over="ignore"):
-        least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-        for s in range(0, len(grams), 2048):  # bounded scratch for very long texts
-            part = grams[None, s : s + 2048] * a[:, None] + b[:, None]
-            least = np.minimum(least, part.min(axis=1))
+        least = np.full(bands * rows, np.iinfo(np.uint32).max, np.uint32)
+        for s in range(0, len(low), 512):  # scratch that stays in the processor's cache
+            part = low[None, s : s + 512] * a[:, None]
+            part += b[:, None]
+            np.minimum(least, part.min(axis=1), out=least)
         h = np.arange(1, bands + 1, dtype=np.uint64)
-        for values in least.reshape(bands, rows).T:
+        for values in least.astype(np.uint64).reshape(bands, rows).T:
             h = _mixed(h * _MIX + values)
     return h.view(np.int64)
 
@@ -111,7 +113,7 @@ def signed(n: int, bands: int, rows: int):
                     out.append(None)
             yield pa.array(out, kind)
 
-    return sign
+    return sign.asNondeterministic()  # else the filter on its result would run it once more
 
 
 def gram_sets(n: int):
@@ -124,7 +126,7 @@ def gram_sets(n: int):
             out = [{"set_hash": xxhash.xxh3_128_digest(g.tobytes()), "sets": g.view(np.int64)} for g in grams]
             yield pa.array(out, kind)
 
-    return sets
+    return sets.asNondeterministic()  # keeps it above the join that picks the texts it is needed for
 
 
 def _links(sets: list[np.ndarray], split: int, threshold: float) -> np.ndarray:
