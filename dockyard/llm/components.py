@@ -1,7 +1,8 @@
 """Connected components by large-star and small-star rounds of joins and map-side minima.
 
 Each round is a few shuffles of the edges; no node's neighbours are ever gathered in one row or task: a node with
-very many edges is a skewed key of a plain join, and its minimum is taken map-side. Rounds grow with the logarithm
+very many edges is a skewed key of a plain join, and its minimum is taken map-side. The minima are written before
+they are joined: Spark splits a skewed key only if both sides of the join are shuffled for it alone. Rounds grow with the logarithm
 of the number of nodes. Edges are written to the shared folder after each round.
 """
 
@@ -17,6 +18,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "u")
+    least = stored(least, "components-least")
     up = both.where(F.col("b") > F.col("a"))
     return up.join(least.hint("merge"), F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
@@ -24,6 +26,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the least of them; edges are (larger, smaller)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+    least = stored(least, "components-least")
     down = edges.join(least.hint("merge"), F.col("a") == F.col("u")).where(F.col("b") > F.col("m"))
     return down.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u"), F.col("m")))
 

@@ -76,6 +76,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     held = docs.select("doc_id", F.explode(line_hashes(min_chars)(F.col("text"))).alias("h"))
     held = stored(held, "line-hashes")
     often = held.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
+    often = stored(often, "line-often")  # read anew, so that a skewed hash of the join below can be split
     hits = stored(held.join(often.hint("merge"), "h"), "line-hits")
     bad = (
         hits.distinct()
