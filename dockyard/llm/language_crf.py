@@ -38,6 +38,8 @@ from dockyard.llm.shared import bounded_batches, stored
 MAX_FIT = 300
 MAX_FIT_CHARS = 20_000
 MAX_BYTES = 500_000
+#: Parts of a language that are ranked on their own before its fitting sample is taken.
+PARTS = 64
 #: Size of the hashed weight table (a power of two) and words per language in the lexicon.
 BUCKETS, LEXICON = 1 << 16, 300
 EPOCHS, STEP, DECAY = 6, 0.3, 1e-4
@@ -184,14 +186,11 @@ class LanguageField:
         return self.listed[i] * (self.lexicon[i] == w.whole)[:, None]
 
     def emissions(self, w: Words) -> np.ndarray:
-        k = len(self.labels)
-        out = (self.in_lexicon(w) @ self.lexical).astype(np.float64)
-        for c in range(8):
-            out += self.table[w.affix[:, c]]
-        out += self.table[_bucket(w.whole, 10, len(self.table))]
-        sums = np.zeros((len(w.grams) + 1, k))
-        np.cumsum(self.table[w.grams], axis=0, out=sums[1:], dtype=np.float64)
-        return out + sums[w.first[1:]] - sums[w.first[:-1]]
+        table = self.table
+        out = self.in_lexicon(w) @ self.lexical.astype(table.dtype)
+        for ids in (*w.affix.T, _bucket(w.whole, 10, len(table))):
+            out += table.take(ids, axis=0)
+        return out + np.add.reduceat(table.take(w.grams, axis=0), w.first[:-1], axis=0)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
@@ -321,9 +320,12 @@ def fit(docs: DataFrame, max_fit: int = MAX_FIT, max_chars: int = MAX_FIT_CHARS)
     """The field of `max_fit` documents per language at most, none of them held out."""
     ok = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     short = (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.where(ok & short).select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash))
-    ids = ids.where(F.col("place") <= max_fit).select(F.col("doc_id").alias("of"), F.col("lang").alias("y"))
+    ids = docs.where(ok & short).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    ids = ids.withColumn("part", F.pmod("h", F.lit(PARTS)))
+    for keys in (("lang", "part"), ("lang",)):  # first within parts, so that no task ranks a whole language
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
+        ids = ids.withColumn("place", place).where(F.col("place") <= max_fit)
+    ids = ids.select(F.col("doc_id").alias("of"), F.col("lang").alias("y"))
     ids = stored(ids.distinct(), "language-fit")  # its size is then known, so few ids are broadcast by themselves
     rows = docs.select("doc_id", "lang", "text").join(
         ids, (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("y"))
