@@ -49,6 +49,9 @@ RULES = (
     Rule("ellipsis_lines", "ellipsis_line_ratio", high=0.3),
     Rule("bullet_lines", "bullet_line_ratio", high=0.9),
 )
+#: What `filtered` goes by: RULES, but duplicate lines count by their characters. Of few lines one short line said
+#: twice is a large share of the count and next to nothing of the text.
+FILTER_RULES = tuple(Rule(r.name, "dup_char_ratio", high=r.high) if r.name == "dup_lines" else r for r in RULES)
 #: Each 3-word window of words joined by single spaces, in group 1; windows overlap, so they lie in a look-ahead.
 GRAM = r"(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++))"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -60,6 +63,7 @@ MEASURES = (
     "symbol_ratio",
     "upper_ratio",
     "dup_line_ratio",
+    "dup_char_ratio",
     "repeat_ratio",
     "letter_word_ratio",
     "ellipsis_line_ratio",
@@ -99,6 +103,8 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.length(joined) - F.greatest(n - 1, F.lit(0))).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
+        F.length(F.array_join("l", "")).alias("line_chars"),
+        F.length(F.array_join(F.array_distinct("l"), "")).alias("own_line_chars"),
         F.regexp_extract_all(joined, F.lit(GRAM), F.lit(1)).alias("g"),
         F.size("l").cast("long").alias("n_lines"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).alias("n_upper"),
@@ -116,6 +122,7 @@ def measured(docs: DataFrame) -> DataFrame:
         _share(F.col("n_symbols"), n).alias("symbol_ratio"),
         _share(F.col("n_upper"), F.col("word_chars")).alias("upper_ratio"),
         _share(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
+        _share(F.col("line_chars") - F.col("own_line_chars"), F.col("line_chars")).alias("dup_char_ratio"),
         _share(F.col("n_repeat_words"), n).alias("repeat_ratio"),
         _share(n - F.col("n_bare"), n).alias("letter_word_ratio"),
         _share(F.col("n_ellipsis"), F.col("n_lines")).alias("ellipsis_line_ratio"),
@@ -152,8 +159,8 @@ def quality_rules(docs: DataFrame, base: tuple[Rule, ...] = BASE_RULES, rules: t
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """The documents that keep to all rules, with the columns they came with."""
-    return unpacked(quality_rules(docs).where("kept"), docs)
+    """The documents that keep to BASE_RULES and FILTER_RULES, with the columns they came with."""
+    return unpacked(quality_rules(docs, rules=FILTER_RULES).where("kept"), docs)
 
 
 def digest(docs: DataFrame) -> DataFrame:

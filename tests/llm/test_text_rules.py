@@ -55,6 +55,19 @@ def test_quality_keeps_prose_and_drops_junk(make):
     assert out.columns == make((1, "")).columns
 
 
+def test_quality_filter_weighs_duplicate_lines_by_characters(make):
+    long = [" ".join(f"the w{c}{i}y of" for i in range(40)) for c in "abcd"]
+    short = "one short line said twice"
+    few = f"{long[0]}\n{short}\n{short}"  # 1 of 3 lines, a few characters
+    most = "\n".join([long[0], long[1], long[1], *[f"so {i}" for i in range(9)]])  # 1 of 12 lines, a third of the text
+    rules = quality_rules.FILTER_RULES
+    docs = make((1, few), (2, most), (3, few))
+    assert sorted(r.doc_id for r in quality_rules.filtered(docs).collect()) == [1, 3]
+    judged = quality_rules.quality_rules(docs, rules=rules).selectExpr("row.doc_id", "failed").collect()
+    assert {r.doc_id: r.failed for r in judged} == {1: [], 2: ["repeated", "dup_lines"], 3: []}
+    assert {r.doc_id: r.failed for r in quality_rules.digest(docs).collect()}[1] == "dup_lines"  # as in op10's SQL
+
+
 def test_quality_empty_table(make, spark):
     assert quality_rules.digest(make((1, "x")).where("false")).count() == 0
 
