@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.shared import let
-from dockyard.llm.spans import listed, located
+from dockyard.llm.spans import around, listed, located
 
 MIN_SCORE = 0.5
+#: Code points on either side whose words move a score.
+CONTEXT = 40
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,7 @@ def _spans(text: Column, place: int, min_score: float) -> Column:
     one = lambda x: F.struct(
         x["s"].alias("s"), F.lit(place).alias("k"), x["e"].alias("e"), _score(kind, x).alias("score")
     )
-    scored = F.transform(valid(located(text, kind.pattern)), one)
+    scored = let(valid(located(text, kind.pattern)), lambda x: F.transform(around(text, x, CONTEXT), one))
     return scored if place < BASE else F.filter(scored, lambda x: x["score"] >= min_score)
 
 

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.shared import let
 
-#: Code points of context that a match carries on either side (never beyond the matches beside it).
-CONTEXT = 40
-SPANS = "array<struct<s:int,e:int,v:string,before:string,after:string>>"
+#: Code points of a text in each of the blocks that `around` reads from.
+BLOCK = 1024
+SPANS = "array<struct<s:int,e:int,v:string>>"
+AROUND = "array<struct<s:int,e:int,v:string,before:string,after:string>>"
 
 
 def _scan(values: Column, start: Column) -> Column:
@@ -44,7 +45,7 @@ def running(values: Column, block: int = 256) -> Column:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """All matches of `pattern`, leftmost and non-overlapping: start, end, value and the text on either side."""
+    """All matches of `pattern`, leftmost and non-overlapping: start, end and value."""
 
     def places(hits: Column) -> Column:
         n = F.size(hits)
@@ -55,8 +56,6 @@ def located(text: Column, pattern: str) -> Column:
                 (ends[i] - F.length(hits[i])).alias("s"),
                 ends[i].alias("e"),
                 hits[i].alias("v"),
-                F.substring(gaps[i], -CONTEXT, CONTEXT).alias("before"),
-                F.substring(gaps[i + 1], 1, CONTEXT).alias("after"),
             )
             return let(running(lengths), lambda ends: F.transform(F.sequence(F.lit(0), n - 1), lambda i: one(i, ends)))
 
@@ -65,6 +64,33 @@ def located(text: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), places)
 
 
+def around(text: Column, spans: Column, n: int) -> Column:
+    """`spans` with the `n` code points of the text (BLOCK at most) before and after each, whatever matches there.
+
+    Read from blocks: a substring of the text itself would be counted out from its beginning for every span.
+    """
+
+    def read(blocks: Column) -> Column:
+        def joined(at: Column) -> Column:
+            first = F.floor(at / BLOCK).cast("int")
+            return F.array_join(F.slice(blocks, first + 1, 2), "")
+
+        def piece(start: Column, end: Column) -> Column:
+            return F.substring(joined(start), F.pmod(start, F.lit(BLOCK)) + 1, end - start)
+
+        one = lambda x: F.struct(
+            x["s"].alias("s"),
+            x["e"].alias("e"),
+            x["v"].alias("v"),
+            piece(F.greatest(x["s"] - n, F.lit(0)), x["s"]).alias("before"),
+            piece(x["e"], x["e"] + n).alias("after"),
+        )
+        return F.transform(spans, one)
+
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+    return F.when(F.size(spans) > 0, let(blocks, read)).otherwise(F.array().cast(AROUND))
+
+
 def tagged(spans: Column, kind: int) -> Column:
     """(start, kind's place in the list, end) of each span, which is also the order of spans in a result."""
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(kind).alias("k"), x["e"].alias("e")))

@@ -8,8 +8,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from dockyard.llm import line_dedup, pii, quality_rules, secret_scan, token_counts
+from dockyard.llm import line_dedup, pii, quality_rules, secret_scan, spans, token_counts
 
 ODD = [None, "", " ", "\n\n", "é", "a b\x0bc\x0cd\re", "word " * 30_000]
 
@@ -181,6 +182,26 @@ def test_checksums_and_context(make):
     assert all(got[i] == ("", "") for i in (2, 4, 5))
 
 
+def test_context_goes_beyond_neighbouring_matches(make):
+    ssns = ["123-45-6789", "987-65-4321", "111-22-3333"]
+    close = "SSN list: " + ", ".join(ssns)
+    far = f"ssn {'é' * 2040} {ssns[0]} and é🙂 {ssns[1]} ssn {ssns[2]}"  # over the edges of blocks
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.digest(make((1, close), (2, far), (3, ", ".join(ssns)))).collect()}
+    assert got[1] == ("ssn:10:21,ssn:23:34,ssn:36:47", "0.6,0.6,0.6") and got[3] == ("", "")
+    places = [far.index(x) for x in ssns]
+    assert got[2][0] == ",".join(f"ssn:{i}:{i + 11}" for i in places)
+
+
+def test_around_is_the_text_itself(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("ab7é🙂\n", k=n)) for n in (1, 30, 1023, 1024, 1025, 5000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = docs.select("text", spans.around(F.col("text"), spans.located(F.col("text"), "7+"), 40).alias("x"))
+    for r in found.collect():
+        assert [(x.s, x.e) for x in r.x] == [m.span() for m in re.finditer("7+", r.text)]
+        assert all((x.before, x.after) == (r.text[max(0, x.s - 40) : x.s], r.text[x.e : x.e + 40]) for x in r.x)
+
+
 tokens = pytest.importorskip("public_tokenizers")
 
 
