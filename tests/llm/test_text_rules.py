@@ -182,6 +182,31 @@ def test_checksums_and_context(make):
     assert all(got[i] == ("", "") for i in (2, 4, 5))
 
 
+def test_ibans_end_where_they_pass(make):
+    de, spaced, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    texts = {
+        f"iban {de} Please pay": [de],
+        f"IBAN {spaced} BIC COBADEFFXXX": [spaced],
+        f"account {de} 2024": [de],
+        f"bank {spaced} 2024 AND MORE CAPITALS 123456": [spaced],
+        f"iban {de} {gb} {spaced}, {de}": [de, gb, spaced, de],
+        f"{'é🙂' * 510} iban {gb} {gb}": [gb, gb],
+        "iban NO93 8601 1117 947 X": ["NO93 8601 1117 947"],
+        "iban LC55HEMM000100010012001200023015 Is": ["LC55HEMM000100010012001200023015"],
+        f"iban {de}a": [],
+        f"iban X{de}": [],
+        "iban DE89 3704 0044 0532 0130 01 Please": [],
+    }
+    got = {r.doc_id: r.spans for r in pii.digest(make(*enumerate(texts))).collect()}
+    for i, (text, ibans) in enumerate(texts.items()):
+        want, at = [], 0
+        for x in ibans:
+            at = text.index(x, at)
+            want.append(f"iban:{at}:{at + len(x)}")
+            at += len(x)
+        assert [x for x in got[i].split(",") if x.startswith("iban")] == want, text
+
+
 def test_context_goes_beyond_neighbouring_matches(make):
     ssns = ["123-45-6789", "987-65-4321", "111-22-3333"]
     close = "SSN list: " + ", ".join(ssns)
