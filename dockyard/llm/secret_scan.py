@@ -14,7 +14,7 @@ a semi-join on (document, bucket) looks at the buckets that a weak part can reac
 document with very many parts is spread over its buckets.
 
 Only built-in functions. Defined cases: a null or empty text has no spans; repeated rows get equal results; an
-opaque part that overlaps a strong span is not a part; further columns pass by, only doc_id and text are read.
+opaque part that overlaps a strong span is not a part (an ident or endpoint that does is one); further columns pass by, only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -57,13 +57,13 @@ def parts(docs: DataFrame) -> DataFrame:
             tagged(located(text, HEX), 2),
         )
     )
-    weak = F.concat(
-        tagged(located(text, IDENT), 3),
-        tagged(F.filter(located(text, OPAQUE), mixed), 4),
-        tagged(located(text, ENDPOINT), 5),
+    opaque = tagged(F.filter(located(text, OPAQUE), mixed), 4)
+    named = F.concat(tagged(located(text, IDENT), 3), tagged(located(text, ENDPOINT), 5))
+    found = docs.select(
+        "doc_id", F.md5(text).alias("text_key"), base.alias("base"), named.alias("named"), opaque.alias("opaque")
     )
-    found = docs.select("doc_id", F.md5(text).alias("text_key"), base.alias("base"), weak.alias("weak"))
-    return found.withColumn("weak", F.array_sort(_apart(F.col("weak"), F.col("base"))))
+    weak = F.concat("named", _apart(F.col("opaque"), F.col("base")))
+    return found.select("doc_id", "text_key", "base", F.array_sort(weak).alias("weak"))
 
 
 def linked(found: DataFrame, reach: int = REACH) -> DataFrame:

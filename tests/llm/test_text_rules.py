@@ -174,6 +174,19 @@ def test_weak_parts_need_a_complement(make):
     assert got == {1: "", 2: "ident:0:14,opaque:20:44", 3: ""}
 
 
+def test_weak_parts_over_strong_spans_stay_parts(make):
+    opaque = "ZXhhbXBsZVRva2VuMTIzNDU2"
+    texts = {
+        f"client_id: 0123456789abcdef0123 key {opaque}": [("ident", 0, 31), ("hex", 11, 31), ("opaque", 36, 60)],
+        f"https://h.example/0123456789abcdef01 {opaque}": [("endpoint", 0, 36), ("hex", 18, 36), ("opaque", 37, 61)],
+        f"https://h.example/?token=abcdefghijklm {opaque}": [("endpoint", 0, 38), ("assign", 19, 38), ("opaque", 39, 63)],
+        f"token={opaque}": [("assign", 0, 30)],  # an opaque part within a strong span is none
+    }
+    got = {r.doc_id: r.spans for r in secret_scan.digest(make(*enumerate(texts))).collect()}
+    for i, (text, want) in enumerate(texts.items()):
+        assert sorted(got[i].split(",")) == sorted(f"{k}:{s}:{e}" for k, s, e in want), text
+
+
 def test_checksums_and_context(make):
     iban, bad = "iban GB82 WEST 1234 5698 7654 32", "iban GB82 WEST 1234 5698 7654 33"
     rows = [(1, iban), (2, bad), (3, "ssn 123-45-6789"), (4, "of 123-45-6789"), (5, "order 123-45-6789")]
