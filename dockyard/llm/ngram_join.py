@@ -3,8 +3,8 @@ r"""N-gram Jaccard join: MinHash bands propose, full n-gram sets decide.
 Two texts are linked if the Jaccard similarity of their sets of 5-word n-grams is at least the threshold. Words are
 `[^\x20\x09-\x0D]+`, taken as they are; a text of 1 to 4 words has one n-gram, all its words.
 
-1. Texts with equal n-gram sets (128-bit hash of the set) become one representative, the least doc_id, with a count.
-   All later steps see representatives only, so exact copies cost nothing.
+1. Texts with equal n-gram sets (128-bit hash of the set) become one representative, the least doc_id and a number of
+   its own, with a count of documents. All later steps see representatives only, so exact copies cost nothing.
 2. Each representative gets `bands` band hashes of `rows` MinHash values each; `bands_for` picks the fewest values
    that find a pair at the threshold with the target recall. Shuffled on the band hash, every bucket links its
    members to its least one: a star, not all pairs. The stars' connected components are candidate groups, and any
@@ -13,7 +13,7 @@ Two texts are linked if the Jaccard similarity of their sets of 5-word n-grams i
    pair of blocks is one task's work: a matrix product over shared n-grams gives all intersections at once. Out come
    each member's number of links and a spanning forest of the links, at most one row per member and pair of blocks.
    Pairs are never rows.
-4. Components of the forests are the classes.
+4. Components of the forests, and of the different texts of one doc_id, are the classes.
 
 Every join is a sort-merge join at every size: what a small table would broadcast grows with the corpus.
 
@@ -21,7 +21,8 @@ A group of copies with a third of all rows is one representative if the copies a
 blocks are spread over tasks of bounded size, and only distinct n-gram sets are compared.
 
 Defined cases: null and empty texts and texts without a word have no n-grams, hence no links and classes of their
-own; rows with equal doc_id are one document, in one class, and `deduped` keeps or drops them together; rows without
+own; rows with equal doc_id are one document, in one class, and `deduped` keeps or drops them together: a text that it
+repeats counts once, and the links of its different texts are added up; rows without
 doc_id have class null, no links, and stay; an empty table gives no rows; further columns pass through.
 """
 
@@ -234,55 +235,84 @@ def _blocks(members: DataFrame) -> DataFrame:
     return rows.select("grp", "p.i", "p.j", "p.side", "rep", "set_hash", "copies")
 
 
+def _own_texts(nodes: DataFrame) -> DataFrame:
+    """a, b: links between the representatives of one document's different texts, as stars."""
+    least = nodes.groupBy("doc_id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = stored(least.select(F.col("doc_id").alias("of"), "least"), "ngram-own")
+    stars = nodes.join(least.hint("merge"), F.col("doc_id") == F.col("of")).where("rep != least")
+    return stars.select(F.col("rep").alias("a"), F.col("least").alias("b"))
+
+
+def _named(roots: DataFrame, reps: DataFrame) -> DataFrame:
+    """rep, class_doc: the least doc_id of its component."""
+    docs = reps.select("rep", "doc").hint("merge")
+    roots = stored(roots.withColumnRenamed("node", "rep").join(docs, "rep"), "ngram-roots")
+    least = stored(roots.groupBy("root").agg(F.min("doc").alias("class_doc")), "ngram-least")
+    return roots.join(least.hint("merge"), "root").select("rep", "class_doc")
+
+
 def classes(
     docs: DataFrame,
     n: int = N,
     threshold: float = THRESHOLD,
     recall: float = RECALL,
 ) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class), n_links (other rows linked with it) and n_copies.
+    """One row per document: doc_id, class_id (the least doc_id of its class), n_links and n_copies.
 
-    Documents without n-grams are missing here.
+    n_links counts the (document, text) that are linked with one of its texts, n_copies those with the same n-gram
+    set, itself included. Documents without n-grams are missing here.
     """
     bounded_batches(docs.sparkSession)
     bands, rows = bands_for(threshold, recall)
     own = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     signs = _signatures(own, n, bands, rows)
-    reps = signs.groupBy("set_hash").agg(
-        F.min("doc_id").alias("rep"),
-        F.count(F.lit(1)).alias("copies"),
-        F.first("grams").alias("grams"),
-        F.first("bands").alias("bands"),
-    )
+    entries = stored(signs.select("doc_id", "set_hash").distinct(), "ngram-entries")
+    held = entries.groupBy("set_hash").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies"))
+    reps = signs.groupBy("set_hash").agg(F.first("grams").alias("grams"), F.first("bands").alias("bands"))
+    # Of two texts of one document both may have it as their least doc_id, so a representative has its own number.
+    reps = reps.join(held.hint("merge"), "set_hash").withColumn("rep", F.monotonically_increasing_id())
     reps = stored(reps, "ngram-reps")
     groups = _candidate_groups(reps)
-    members = stored(groups.join(reps.select("rep", "set_hash", "copies", "grams").hint("merge"), "rep"), "ngram-members")
-    texts = own.join(members.select("rep", "set_hash").hint("merge"), F.col("doc_id") == F.col("rep"))
-    sets = texts.select("rep", "set_hash", gram_sets(n)(F.col("text")).alias("s"))
-    sets = sets.where(F.col("s.set_hash") == F.col("set_hash")).select("rep", "set_hash", F.col("s.sets").alias("sets"))
-    sets = stored(sets.dropDuplicates(["rep", "set_hash"]), "ngram-sets")
+    members = reps.select("rep", "doc", "set_hash", "copies", "grams").hint("merge")
+    members = stored(groups.join(members, "rep"), "ngram-members")
+    wanted = stored(members.select(F.col("doc").alias("wanted")).distinct(), "ngram-wanted")
+    texts = own.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left_semi")
+    sets = texts.select("doc_id", gram_sets(n)(F.col("text")).alias("s"))
+    sets = sets.select(F.col("doc_id").alias("doc"), "s.set_hash", "s.sets").dropDuplicates(["doc", "set_hash"])
+    sets = sets.join(members.select("doc", "set_hash", "rep").hint("merge"), ["doc", "set_hash"])
+    sets = stored(sets.select("rep", "set_hash", "sets"), "ngram-sets")
     work = _blocks(members).join(sets.hint("merge"), ["rep", "set_hash"])
     checked = work.groupBy("grp", "i", "j").applyInPandas(verifier(threshold), "rep bigint, links bigint, to bigint")
     checked = stored(checked, "ngram-checked")
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     forest = checked.where("to is not null").select(F.col("rep").alias("a"), F.col("to").alias("b"))
-    roots = components(forest, "ngram-classes")
+    nodes = stored(entries.join(reps.select("set_hash", "rep").hint("merge"), "set_hash").select("doc_id", "rep"), "ngram-nodes")
+    named = _named(components(forest.union(_own_texts(nodes)), "ngram-classes"), reps)
     of_rep = (
-        reps.select("rep", "set_hash", "copies")
+        reps.select("rep", "doc", "copies")
         .join(links.hint("merge"), "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
+        .join(named.hint("merge"), "rep", "left")
         .select(
-            "set_hash",
-            F.coalesce("root", "rep").alias("class_id"),
+            "rep",
+            F.coalesce("class_doc", "doc").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.col("copies").alias("n_copies"),
         )
     )
-    return signs.select("doc_id", "set_hash").join(of_rep.hint("merge"), "set_hash").drop("set_hash")
+    # A document's own other copies are no copies: its different texts have different sets.
+    return (
+        nodes.join(stored(of_rep, "ngram-of-rep").hint("merge"), "rep")
+        .groupBy("doc_id")
+        .agg(
+            F.min("class_id").alias("class_id"),
+            F.sum("n_links").alias("n_links"),
+            (F.sum(F.col("n_copies") - 1) + 1).alias("n_copies"),
+        )
+    )
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, class_id, n_links and n_copies (rows with the same n-gram set, itself included) of every row."""
+    """doc_id, class_id, n_links and n_copies of every row, as in `classes`; the rows of one document get equal values."""
     found = classes(docs, **options).withColumnRenamed("doc_id", "id")
     return (
         docs.select("doc_id")

@@ -79,6 +79,20 @@ def test_ngram_join(make, monkeypatch, block):
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in got.collect()) == near(rows)
 
 
+def test_ngram_join_of_repeated_documents(make):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    near_c = c + " end"
+    rows = [(7, a), (7, a), (7, a), (7, b), (9, b), (3, near_c), (3, near_c), (5, c), (4, a), (1, d), (1, d), (6, None)]
+    rows += [(8, c), (8, None), (2, d)]
+    got = sorted(tuple(r) for r in ngram_join.digest(make(*rows)).collect())
+    want = {  # doc_id: class_id, n_links, n_copies
+        7: (4, 2, 3), 9: (4, 1, 2), 4: (4, 1, 2), 3: (3, 2, 1), 5: (3, 2, 2), 8: (3, 2, 2), 1: (1, 1, 2), 2: (1, 1, 2),
+        6: (6, 0, 1),
+    }
+    assert got == sorted((i, *want[i]) for i, _ in rows)
+    assert {r.doc_id for r in ngram_join.deduped(make(*rows)).collect()} == {1, 3, 4, 6}
+
+
 def test_ngram_join_keeps_one_of_each_class(make):
     rows = copies(random.Random(3), 4, 6) + [(None, "x y"), (800, "alone here"), (801, None)]
     docs = make(*rows)
