@@ -9,13 +9,17 @@ form one Aho-Corasick automaton per Python worker. A group holds at most about `
 whatever the benchmark's size: a larger benchmark takes more passes, it never makes a broadcast larger. Each text is
 read whole by one call; only the windows around hits are measured.
 
-Defined cases: null or empty texts and items match nothing; items under `min_chars` characters after normalising are
-not looked for (a word or two proves nothing); repeated items report each item_id; repeated rows get equal results;
+Items under `min_chars` characters after normalising have no budget: an edit or two makes another question of them.
+With `short` they are looked for exactly, at word boundaries (no letter, digit or mark on either side), through the same
+automaton; without it they are not looked for. The registered queries and the pipeline look for them.
+
+Defined cases: null or empty texts and items match nothing; repeated items report each item_id; repeated rows get equal results;
 an empty benchmark leaves all documents clean; further columns pass through.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -40,6 +44,16 @@ def budget(m: int, error_rate: float) -> int:
     return max(1, int(m * error_rate))
 
 
+def bounded(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] begins and ends at a word boundary, as far as it has word characters there."""
+    joined = lambda i: 0 < i < len(text) and _in_word(text[i - 1]) and _in_word(text[i])
+    return not joined(start) and not joined(end)
+
+
+def _in_word(c: str) -> bool:
+    return c == "_" or unicodedata.category(c)[0] in "LNM"
+
+
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
     """`item` cut into k + 1 pieces of even length, each with its start."""
     n, m = k + 1, len(item)
@@ -82,12 +96,13 @@ def myers(item: str, text: str) -> int:
 class Matcher:
     """The items of one group, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int = 0) -> None:
         self.ids: dict[str, list[int]] = defaultdict(list)
         for item_id, text in items:
             self.ids[text].append(item_id)
         self.items = list(self.ids)
-        self.budgets = [budget(len(x), error_rate) for x in self.items]
+        self.budgets = [budget(len(x), error_rate) if len(x) >= min_chars else 0 for x in self.items]
+        self.short = [len(x) < min_chars for x in self.items]
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, (item, k) in enumerate(zip(self.items, self.budgets, strict=True)):
             for start, piece in pieces(item, k):
@@ -107,6 +122,10 @@ class Matcher:
         seen: set[tuple[int, int]] = set()
         for end, (n, where) in self.automaton.iter(text):
             for i, start in where:
+                if self.short[i]:  # its one piece is the item
+                    if i not in found and bounded(text, end + 1 - n, end + 1):
+                        found[i] = 0
+                    continue
                 k = self.budgets[i]
                 begin = end + 1 - n - start  # where the item would begin without edits before the piece
                 step = begin // (k + 1)
@@ -121,10 +140,10 @@ class Matcher:
         return found
 
 
-def _finder(items, error_rate: float):
+def _finder(items, error_rate: float, min_chars: int):
     @F.arrow_udf("array<struct<item_id: bigint, distance: int>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(items.value, error_rate)
+        matcher = Matcher(items.value, error_rate, min_chars)
         for texts in batches:
             out = []
             for text in texts:
@@ -136,14 +155,14 @@ def _finder(items, error_rate: float):
     return find
 
 
-def _groups(bench: DataFrame, group_chars: int, min_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _groups(bench: DataFrame, group_chars: int, least: int) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in groups by hash, each read on its own: the driver never holds more than one."""
-    bench = bench.select("item_id", "text").where(F.col("item_id").isNotNull() & (F.length("text") >= min_chars))
+    bench = bench.select("item_id", "text").where(F.col("item_id").isNotNull() & (F.length("text") >= least))
     total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // group_chars))
     for g in range(n):
         part = bench.where(F.pmod(F.xxhash64("text"), F.lit(n)) == g) if n > 1 else bench
-        items = [(r.item_id, x) for r in part.collect() if len(x := normal(r.text)) >= min_chars]
+        items = [(r.item_id, x) for r in part.collect() if len(x := normal(r.text)) >= least]
         if items:
             yield items
 
@@ -154,25 +173,26 @@ def contaminations(
     error_rate: float = ERROR_RATE,
     min_chars: int = MIN_CHARS,
     group_chars: int = GROUP_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """`row` (all columns of `docs`) and `hits`: an array of (item_id, distance), by item_id."""
     spark = docs.sparkSession
     bounded_batches(spark)
     out = packed(docs).withColumn("hits", F.array().cast("array<struct<item_id: bigint, distance: int>>"))
-    for items in _groups(bench, group_chars, min_chars):
-        found = _finder(spark.sparkContext.broadcast(items), error_rate)(F.col("row.text"))
+    for items in _groups(bench, group_chars, 1 if short else min_chars):
+        found = _finder(spark.sparkContext.broadcast(items), error_rate, min_chars)(F.col("row.text"))
         out = out.select("row", F.concat("hits", found).alias("hits"))
     return out.select("row", F.array_sort("hits").alias("hits"))
 
 
-def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, bench: DataFrame, short: bool = False) -> DataFrame:
     """The documents that hold no test item, with the columns they came with."""
-    return unpacked(contaminations(docs, bench).where(F.size("hits") == 0), docs)
+    return unpacked(contaminations(docs, bench, short=short).where(F.size("hits") == 0), docs)
 
 
-def digest(docs: DataFrame, bench: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, bench: DataFrame, short: bool = False) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids (comma-joined) and the least distance, one row per document."""
-    return contaminations(docs.select("doc_id", "text"), bench).select(
+    return contaminations(docs.select("doc_id", "text"), bench, short=short).select(
         F.col("row.doc_id").alias("doc_id"),
         (F.size("hits") > 0).alias("contaminated"),
         F.size("hits").alias("n_items"),

@@ -42,7 +42,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), short=True)
 
 
 @_query

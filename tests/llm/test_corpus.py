@@ -9,7 +9,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from dockyard.llm import decontaminate, mixing, ngram_join
+from dockyard.llm import decontaminate, mixing, ngram_join, queries
 from dockyard.llm.components import components
 
 
@@ -177,6 +177,25 @@ def test_decontamination(make, spark):
     assert decontaminate.clean(docs, bench.where("false")).count() == len(rows)
 
 
+def test_short_items_are_found_exactly(make, spark, tmp_dir):
+    long = "a question that is long enough to be looked for with edits"
+    items = [(1, "Who  wrote Hamlet?"), (2, "abba"), (3, "abab"), (4, "C++"), (5, long), (6, None), (7, " "), (8, "été")]
+    texts = {
+        "so: who wrote\nhamlet? nobody": [1], "who wrote hamlet": [], "x abba y": [2], "xabba abbay": [], "ababab": [],
+        "abab abab": [3], "in c++, and": [4], "abc++": [], long.replace("long", "lng"): [5], "étés": [], "(été)": [8],
+        "xabba abba": [2],
+    }
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    make(*enumerate(texts), (99, None)).write.parquet(f"{tmp_dir}/documents.parquet")
+    bench.write.parquet(f"{tmp_dir}/benchmark.parquet")
+    got = {r.doc_id: r.item_ids for r in queries.op2_decontamination(spark, tmp_dir).collect()}
+    want = {i: ",".join(map(str, ids)) for i, ids in enumerate(texts.values())} | {99: ""}
+    assert got == want
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.benchmark(spark, docs, tmp_dir).collect()}
+    assert kept == {i for i, x in want.items() if not x}
+
+
 def mix(rows, weights=(5, 2, 1), most=3):
     size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
     names = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
