@@ -204,6 +204,21 @@ def _land(rows: DataFrame, path: str, files_per_day: int = 4) -> None:
     wire.repartition(F.col("day"), part).write.partitionBy("day").parquet(path)
 
 
+#: Elements of a landed snapshot file, on average: a file is one JSON string, built and parsed by one task.
+SNAPSHOT_ELEMENTS = 5_000
+
+
+def _land_snapshots(elements: DataFrame, path: str, most: int = SNAPSHOT_ELEMENTS) -> None:
+    """`elements` (with event_id and poll) as JSON arrays: each poll in as many files as its elements call for."""
+    files = elements.groupBy("poll").agg(F.ceil(F.count(F.lit(1)) / most).alias("files"))
+    part = F.pmod(F.xxhash64("event_id"), F.col("files")).alias("part")
+    fields = [c for c in elements.columns if c not in ("event_id", "poll")]
+    dealt = elements.join(files, "poll").select("poll", part, F.struct(*fields).alias("element"))
+    arrays = dealt.groupBy("poll", "part").agg(F.to_json(F.collect_list("element")).alias("value"))
+    # A folder for each array: a file with two of them would be read as the first.
+    arrays.write.mode("append").partitionBy("poll", "part").text(path)
+
+
 def q_metrics_stream(spark, sf):
     """The streaming path end to end: a poll is a day, its files are spread over micro-batches."""
     root = scratch_dir(spark, "metrics_stream")
@@ -294,7 +309,7 @@ def _loaded(spark: SparkSession, sf: str) -> Config:
 
 @_once
 def _staged(spark: SparkSession, sf: str) -> Config:
-    """Snapshot files (JSON arrays, one per day) staged twice: each point's counts differ in the second
+    """Snapshot files (JSON arrays, some per day) staged twice: each point's counts differ in the second
     run, and the history loaded from the topic must hold the first ones."""
     root = scratch_dir(spark, "stage")
     cfg = Config(warehouse=f"{root}/warehouse", landing_dir=f"{root}/landing", topic_dir=f"{root}/topic")
@@ -302,10 +317,7 @@ def _staged(spark: SparkSession, sf: str) -> Config:
     for run in (0, 1):
         counts = rows.withColumn("NbBikes", F.col("NbBikes") + run)
         poll = F.concat_ws("-", F.lit(run), F.floor(F.unix_seconds("ts") / 86_400)).alias("poll")
-        files = snapshot_rows(counts).join(rows.select("event_id", poll), "event_id").drop("event_id")
-        fields = [c for c in files.columns if c != "poll"]
-        arrays = files.groupBy("poll").agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
-        arrays.write.mode("append").partitionBy("poll").text(cfg.landing_dir)
+        _land_snapshots(snapshot_rows(counts).join(rows.select("event_id", poll), "event_id"), cfg.landing_dir)
         stage_job(spark, cfg)
     batch_job(spark, cfg)
     return cfg

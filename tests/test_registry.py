@@ -5,10 +5,12 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from dockyard.plans import registry
 from dockyard.plans.registry import QUERIES
 
 _spec = importlib.util.spec_from_file_location(
@@ -49,6 +51,16 @@ def test_no_python_in_plans(spark, name):
     assert "EvalPython" not in plan and "PythonUDF" not in plan and "FlatMapGroupsInPandas" not in plan
 
 
+def test_landed_snapshots_are_bounded(spark, tmp_dir):
+    """A poll with most of the elements lands in many files, each with a bounded share of them, and none is lost."""
+    rows = spark.range(3000).selectExpr("id as event_id", "if(id < 20, 'a', 'b') as poll", "concat('p', id) as id")
+    registry._land_snapshots(rows, f"{tmp_dir}/landing", 100)
+    back = spark.read.option("multiLine", True).json(f"{tmp_dir}/landing").withColumn("file", F.input_file_name())
+    assert sorted(r.id for r in back.collect()) == sorted(f"p{i}" for i in range(3000))
+    sizes = {(r.poll, r.file): r["count"] for r in back.groupBy("poll", "file").count().collect()}
+    assert max(sizes.values()) <= 200 and [p for p, _ in sizes].count("a") == 1 and len(sizes) == 31
+
+
 def test_entry(spark):
     rows = E.entry(spark).collect()
     assert len(rows) == 1 and rows[0]["nb_available_bikes"] > 0
