@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -11,9 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from dockyard.schema import MESSAGE  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -38,25 +34,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="dockyard-t-")
-
-
-def ts(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)
-
-
-def messages(spark, rows: list[dict]):
-    """Decoded-message rows (MESSAGE schema) from partial dicts; missing fields are null."""
-    names = MESSAGE.fieldNames()
-    data = []
-    for r in rows:
-        r = dict(r)
-        if isinstance(r.get("extraction_datetime"), str):
-            r["extraction_datetime"] = ts(r["extraction_datetime"])
-        data.append(tuple(r.get(n) for n in names))
-    return spark.createDataFrame(data, MESSAGE)
-
-
-def point(pid: str, when: str, bikes=5, ebikes=1, empty=5, docks=10, **kw) -> dict:
-    return {"id": pid, "common_name": f"name {pid}", "Installed": "true", "Locked": "false",
-            "NbBikes": bikes, "NbEBikes": ebikes, "NbEmptyDocks": empty, "NbDocks": docks,
-            "extraction_datetime": when, **kw}

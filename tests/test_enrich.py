@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import messages, point
+from dock_rows import messages, point
 
 from dockyard.operators.enrich import enrich, history_rows
 from dockyard.schema import HISTORY

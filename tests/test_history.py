@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import messages, point
+from dock_rows import messages, point
 
 from dockyard.operators.enrich import enrich
 from dockyard.operators.history import first_per_key, new_rows

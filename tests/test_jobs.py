@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from dock_rows import SF_SMALL
 
 from dockyard.config import Config
 from dockyard.operators.enrich import history_from_wire
@@ -141,7 +141,8 @@ def test_setup_makes_empty_staging_and_tables(spark, tmp_dir):
         setup_job(spark, cfg, "set_up_twice")
     staging = spark.read.parquet(cfg.staging_path)
     assert staging.columns == HISTORY.fieldNames() and staging.count() == 0
-    assert {r.tableName for r in spark.sql("SHOW TABLES IN set_up_twice").collect()} == {"bike_points", "metrics"}
+    tables = spark.sql("SHOW TABLES IN set_up_twice").where("NOT isTemporary")
+    assert {r.tableName for r in tables.collect()} == {"bike_points", "metrics"}
     wire_messages(_rows(spark, SF_SMALL)).write.parquet(cfg.topic_dir)
     batch_job(spark, cfg, refresh=False)
     setup_job(spark, cfg, "set_up_twice")

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import messages, point
+from dock_rows import messages, point
 
 from dockyard.operators.metrics import fleet_metrics, latest_per_key
 from dockyard.schema import METRICS

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from dock_rows import SF_SMALL
 
 from dockyard.operators.decode import decode_messages
 from dockyard.operators.metrics import fleet_metrics

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from conftest import point
+from dock_rows import point
 
 from dockyard.operators import views
 from dockyard.operators.enrich import enrich

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from dock_rows import SF_SMALL
 
 import __spark_entry__ as E
 from dockyard.plans import registry

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from dock_rows import SF_SMALL
 
 from dockyard.config import Config
 from dockyard.operators import views

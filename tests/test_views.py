@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import messages, point
+from dock_rows import messages, point
 
 from dockyard.operators import charts, views
 from dockyard.operators.enrich import enrich
