@@ -104,8 +104,17 @@ FROM v
 """
 
 
+EXACT_DEDUP = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
 ORACLE_SQL = {
     "op4_mixing": MIXING,
     "op8_line_dedup": LINE_DEDUP,
     "op10_quality_rules": _quality_rules(),
+    "op13_exact_dedup": EXACT_DEDUP,
 }

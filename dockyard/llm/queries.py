@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dockyard.llm import (
     decontaminate,
+    exact_dedup,
     language_crf,
     line_dedup,
     mixing,
@@ -83,3 +84,8 @@ def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(documents(spark, sf_dir))
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(documents(spark, sf_dir))
