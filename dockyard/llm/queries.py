@@ -17,6 +17,7 @@ from dockyard.llm import (
     quality_model,
     quality_rules,
     secret_scan,
+    token_alignment,
     token_counts,
 )
 from dockyard.llm.oracle import ORACLE_SQL as ORACLE_SQL
@@ -89,3 +90,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(documents(spark, sf_dir))
+
+
+#: The two vocabularies that op12 aligns: byte-level BPE, and sentencepiece.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.digest(documents(spark, sf_dir), *map(public_tokenizers.path, ALIGNED))
