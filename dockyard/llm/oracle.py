@@ -104,6 +104,42 @@ FROM v
 """
 
 
+PHRASES = rf"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+  )), '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS sizes(k)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10
+), x AS (
+  SELECT *, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+), s AS (
+  SELECT x.lang, x.phrase, x.k, x.a, fl.a AS l, fr.a AS r,
+    (1000000::HUGEINT * x.a * x.a // (fl.a::HUGEINT * fr.a))::BIGINT AS score
+  FROM x JOIN f AS fl ON fl.lang = x.lang AND fl.phrase = x.first JOIN f AS fr ON fr.lang = x.lang AND fr.phrase = x.rest
+  QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY score, x.cut) = 1
+), inner_ AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3
+), longest AS (
+  SELECT lang, phrase, max(a) AS longest FROM inner_ GROUP BY ALL
+), z AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM s LEFT JOIN longest USING (lang, phrase)
+  WHERE coalesce(100 * longest < 50 * s.a, true)
+)
+SELECT z.lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 EXACT_DEDUP = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
@@ -116,5 +152,6 @@ ORACLE_SQL = {
     "op4_mixing": MIXING,
     "op8_line_dedup": LINE_DEDUP,
     "op10_quality_rules": _quality_rules(),
+    "op11_phrase_mining": PHRASES,
     "op13_exact_dedup": EXACT_DEDUP,
 }

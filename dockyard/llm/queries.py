@@ -13,6 +13,7 @@ from dockyard.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    phrase_mining,
     pii,
     quality_model,
     quality_rules,
@@ -88,8 +89,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.digest(documents(spark, sf_dir))
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.digest(documents(spark, sf_dir))
 
 
 #: The two vocabularies that op12 aligns: byte-level BPE, and sentencepiece.
@@ -101,3 +102,8 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_alignment.digest(documents(spark, sf_dir), *map(public_tokenizers.path, ALIGNED))
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(documents(spark, sf_dir))
