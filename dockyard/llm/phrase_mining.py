@@ -9,8 +9,8 @@ longer one contains it and has at least `cover` percent of its frequency. The be
 1. Each task counts the n-grams of about `SHARD_BYTES` of text at a time, sorted: a language, then words. From the
    sorted n-grams a minimal count transducer is built incrementally (`automata.minimal`) and stored, one row a shard.
 2. Some evenly spaced n-grams of each shard, of which a bounded sample is read, give bounds of prefix ranges with
-   about `RANGE_ARCS` arcs. Each transducer is cut at them; the parts of a range are shuffled to one task and
-   united with summed weights, some at a time. Arcs under `min_count` go: what remains is stored, one row a range.
+   about `RANGE_ARCS` arcs. Each transducer is cut at them, in rounds of `FANOUT` parts at most; the parts of a range
+   are shuffled to one task and united with summed weights, some at a time. Arcs under `min_count` go: what remains is stored, one row a range.
 3. Candidates are read off the ranges. Their distinct parts are sent to the ranges that hold them and composed, as an
    acceptor, with the range's transducer: that gives l and r. Scores, containment and ranks are joins, minima and
    windows over candidates alone.
@@ -42,8 +42,10 @@ from dockyard.llm.automata import (
 from dockyard.llm.shared import stored
 
 MAX_WORDS, MIN_COUNT, COVER, TOP = 3, 10, 50, 2_000
-SHARD_BYTES = 8 << 20
-RANGE_ARCS = 2_000_000
+SHARD_BYTES = 4 << 20
+RANGE_ARCS = 1_000_000
+#: Parts that one transducer is cut into at most; more ranges take more rounds.
+FANOUT = 256
 #: N-grams that a shard proposes as bounds, bytes of each symbol in a bound, and the most proposals and ranges.
 MARKS, MARK_BYTES, MAX_MARKS, MAX_RANGES = 64, 64, 50_000, 10_000
 #: Parts of a language that are ranked on their own before the language is.
@@ -151,14 +153,17 @@ def bounds(shards: DataFrame, depth: int, range_arcs: int = RANGE_ARCS) -> list[
     return sorted({found[i * len(found) // ranges] for i in range(1, ranges)}) if found else []
 
 
-def _cutter(bounds_):
+def _cutter(at, step: int, fanout: int):
+    """Parts of transducers of coarse ranges, by the bounds of the `fanout` ranges within each."""
     kind = pa.schema([("range", pa.int32()), ("automaton", pa.binary())])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fine = at.value[step - 1 :: step]
         for batch in batches:
-            for raw in batch["automaton"]:
+            for coarse, raw in zip(batch["range"].to_pylist(), batch["automaton"], strict=True):
                 trie = Transducer.loads(raw.as_py()).trie()
-                for r, part in enumerate(cut(trie, bounds_.value)):
+                base = coarse * fanout
+                for r, part in enumerate(cut(trie, fine[base : base + fanout - 1]), base):
                     if part is not None:
                         yield pa.RecordBatch.from_pylist([{"range": r, "automaton": minimal(part).dumps()}], kind)
 
@@ -168,18 +173,22 @@ def _cutter(bounds_):
 _RANGES = "range int, automaton binary, totals array<struct<lang: binary, n: bigint>>"
 
 
+def _united(batches: Iterator[pa.RecordBatch], most_arcs: int) -> Trie:
+    held: list[Trie] = []
+    for batch in batches:
+        for raw in batch["automaton"]:
+            held.append(Transducer.loads(raw.as_py()).trie())
+            if len(held) > 1 and sum(map(len, held[1:])) > max(most_arcs // 2, len(held[0])):
+                held = [union(held)]
+    return union(held)
+
+
 def _uniter(min_count: int, most_arcs: int):
     totals = pa.list_(pa.struct([("lang", pa.binary()), ("n", pa.int64())]))
     kind = pa.schema([("range", pa.int32()), ("automaton", pa.binary()), ("totals", totals)])
 
     def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Trie] = []
-        for batch in batches:
-            for raw in batch["automaton"]:
-                held.append(Transducer.loads(raw.as_py()).trie())
-                if len(held) > 1 and sum(map(len, held[1:])) > max(most_arcs, len(held[0])):
-                    held = [union(held)]
-        trie = union(held)
+        trie = _united(batches, most_arcs)
         words = [
             {"lang": trie.symbols[int(i)].as_py(), "n": int(n)}
             for i, n in zip(trie.levels[0].label, trie.levels[0].weight, strict=True) if n
@@ -190,9 +199,36 @@ def _uniter(min_count: int, most_arcs: int):
     return unite
 
 
-def united(shards: DataFrame, at, min_count: int = MIN_COUNT, range_arcs: int = RANGE_ARCS) -> DataFrame:
-    """One transducer per prefix range with all sequences of weight `min_count` or more, and the languages' words."""
-    parts = shards.select("automaton").mapInArrow(_cutter(at), "range int, automaton binary")
+def _some_uniter(most_arcs: int):
+    kind = pa.schema([("range", pa.int32()), ("automaton", pa.binary())])
+
+    def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = {"range": key[0].as_py(), "automaton": minimal(_united(batches, most_arcs)).dumps()}
+        yield pa.RecordBatch.from_pylist([row], kind)
+
+    return unite
+
+
+def united(
+    shards: DataFrame, at, min_count: int = MIN_COUNT, range_arcs: int = RANGE_ARCS, fanout: int = FANOUT
+) -> DataFrame:
+    """One transducer per prefix range with all sequences of weight `min_count` or more, and the languages' words.
+
+    With R ranges and S shards, S * R parts would grow with the square of the corpus. So no transducer is cut into
+    more than `fanout` parts: coarse ranges first, whose parts are united to transducers of about `range_arcs`, then
+    these by the ranges within.
+    """
+    ranges, rounds = len(at.value) + 1, 1
+    while fanout**rounds < ranges:
+        rounds += 1
+    fanout = next(f for f in range(1, fanout + 1) if f**rounds >= ranges)
+    pieces, name = shards.select(F.lit(0).alias("range"), "automaton"), "range int, automaton binary"
+    for i in range(1, rounds):
+        parts = pieces.mapInArrow(_cutter(at, fanout ** (rounds - i), fanout), name)
+        total = shards.agg(F.sum("arcs")).first()[0]
+        bucket = F.pmod(F.xxhash64("automaton"), F.lit(max(1, total // fanout**i // range_arcs))).alias("bucket")
+        pieces = stored(parts.groupBy("range", bucket).applyInArrow(_some_uniter(range_arcs), name), "phrase-coarse")
+    parts = pieces.mapInArrow(_cutter(at, 1, fanout), name)
     return stored(parts.groupBy("range").applyInArrow(_uniter(min_count, range_arcs), _RANGES), "phrase-ranges")
 
 
@@ -260,12 +296,13 @@ def phrases(
     top: int = TOP,
     shard_bytes: int = SHARD_BYTES,
     range_arcs: int = RANGE_ARCS,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's best phrases."""
     depth = max_words + 1
     shards = transducers(docs, max_words, shard_bytes)
     at = docs.sparkSession.sparkContext.broadcast(bounds(shards, depth, range_arcs))
-    ranges = united(shards, at, min_count, range_arcs)
+    ranges = united(shards, at, min_count, range_arcs, fanout)
     found = ranges.select("automaton").mapInArrow(_phrases(max_words, min_count), "lang string, words array<string>, a bigint")
     found = stored(found, "phrase-candidates")
 

@@ -65,7 +65,7 @@ def corpus(n=260):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"shard_bytes": 400, "range_arcs": 300}, {"max_words": 4, "shard_bytes": 3000, "range_arcs": 1000}, {"top": 5, "min_count": 3, "cover": 80}],
+    [{}, {"shard_bytes": 400, "range_arcs": 300}, {"shard_bytes": 300, "range_arcs": 150, "fanout": 3}, {"max_words": 4, "shard_bytes": 3000, "range_arcs": 1000}, {"top": 5, "min_count": 3, "cover": 80}],
 )
 def test_phrases(spark, options):
     rows = corpus()
