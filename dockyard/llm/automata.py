@@ -210,10 +210,12 @@ class Transducer:
         return Trie(self.symbols, levels)
 
     def dumps(self) -> bytes:
-        lengths = pc.binary_length(self.symbols).to_numpy()
+        at, n = self.symbols.offset, len(self.symbols)
+        _, offsets, data = self.symbols.buffers()
+        offsets = np.frombuffer(offsets or b"\0" * 8, np.int64)[at : at + n + 1]
+        lengths, text = np.diff(offsets), bytes(memoryview(data or b"")[int(offsets[0]) : int(offsets[-1])])
         arrays = [a for x in self.levels for a in (np.diff(x.first), x.label, x.target, x.weight)]
         small = [a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in (lengths, *arrays)]
-        text = b"".join(self.symbols.to_pylist())
         return zstandard.compress(pickle.dumps((self.start, text, small), 5), 1)
 
     @classmethod
