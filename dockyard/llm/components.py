@@ -11,22 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import stored
+from dockyard.llm.shared import discard, stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "u")
     least = stored(least, "components-least")
+    made.append(least)
     up = both.where(F.col("b") > F.col("a"))
     return up.join(least.hint("merge"), F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     """Links a node and its smaller neighbours to the least of them; edges are (larger, smaller)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
     least = stored(least, "components-least")
+    made.append(least)
     down = edges.join(least.hint("merge"), F.col("a") == F.col("u")).where(F.col("b") > F.col("m"))
     return down.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u"), F.col("m")))
 
@@ -39,7 +41,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     edges, last = stored(edges, name), None
     while True:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), name)
+        made = [edges]
+        edges = stored(_small_star(_large_star(edges, made).distinct(), made).distinct(), name)
+        discard(*made)  # a round's tables are not read after it
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == last:
             break

@@ -6,15 +6,16 @@ place, and Myers' bit-parallel distance over that place's surroundings decides.
 
 Texts and items are compared lower-cased, with each run of white space as one space. The pieces of a group of items
 form one Aho-Corasick automaton per Python worker. A group holds at most about `group_chars` characters of items,
-whatever the benchmark's size: a larger benchmark takes more passes, it never makes a broadcast larger. Each text is
-read whole by one call; only the windows around hits are measured.
+whatever the benchmark's size: a larger benchmark takes more passes over the texts, one after another, and never makes
+a broadcast or a worker larger. Each pass stores its hits alone, by doc_id and a digest of the text. Each text is read
+whole by one call; only the windows around hits are measured.
 
 Items under `min_chars` characters after normalising have no budget: an edit or two makes another question of them.
-With `short` they are looked for exactly, at word boundaries (no letter, digit or mark on either side), through the same
-automaton; without it they are not looked for. The registered queries and the pipeline look for them.
+They are looked for exactly, at word boundaries (no letter, digit or mark on either side), through the same automaton.
 
-Defined cases: null or empty texts and items match nothing; repeated items report each item_id; repeated rows get equal results;
-an empty benchmark leaves all documents clean; further columns pass through.
+Defined cases: null or empty texts and items match nothing; repeated items report each item_id; an item without
+item_id is looked for like any other and reported as null; repeated rows get equal results; an empty benchmark leaves
+all documents clean; further columns pass through.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches, packed, unpacked
+from dockyard.llm.shared import packed, sliced, stored, unpacked
 
 ERROR_RATE = 0.05
 MIN_CHARS = 40
@@ -144,55 +145,82 @@ def _finder(items, error_rate: float, min_chars: int):
     @F.arrow_udf("array<struct<item_id: bigint, distance: int>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(items.value, error_rate, min_chars)
-        for texts in batches:
+        for texts in sliced(batches):
             out = []
             for text in texts:
                 found = matcher.find(text.as_py())
                 hits = [(x, d) for i, d in found.items() for x in matcher.ids[matcher.items[i]]]
-                out.append([{"item_id": x, "distance": d} for x, d in sorted(hits)])
+                hits.sort(key=lambda h: (h[0] is not None, h))
+                out.append([{"item_id": x, "distance": d} for x, d in hits])
             yield pa.array(out, _HIT)
 
-    return find
+    return find.asNondeterministic()  # else a filter on its result would run it once more
 
 
-def _groups(bench: DataFrame, group_chars: int, least: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in groups by hash, each read on its own: the driver never holds more than one."""
-    bench = bench.select("item_id", "text").where(F.col("item_id").isNotNull() & (F.length("text") >= least))
+def _groups(bench: DataFrame, group_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The benchmark in groups by hash, each read on its own: the driver holds two at most."""
+    bench = bench.select("item_id", "text").where(F.length("text") > 0)
     total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // group_chars))
     for g in range(n):
         part = bench.where(F.pmod(F.xxhash64("text"), F.lit(n)) == g) if n > 1 else bench
-        items = [(r.item_id, x) for r in part.collect() if len(x := normal(r.text)) >= least]
+        items = [(r.item_id, x) for r in part.collect() if (x := normal(r.text))]
         if items:
             yield items
 
 
+_HITS = "array<struct<item_id: bigint, distance: int>>"
+
+
 def contaminations(
     docs: DataFrame,
     bench: DataFrame,
     error_rate: float = ERROR_RATE,
     min_chars: int = MIN_CHARS,
     group_chars: int = GROUP_CHARS,
-    short: bool = False,
 ) -> DataFrame:
     """`row` (all columns of `docs`) and `hits`: an array of (item_id, distance), by item_id."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    out = packed(docs).withColumn("hits", F.array().cast("array<struct<item_id: bigint, distance: int>>"))
-    for items in _groups(bench, group_chars, 1 if short else min_chars):
-        found = _finder(spark.sparkContext.broadcast(items), error_rate, min_chars)(F.col("row.text"))
-        out = out.select("row", F.concat("hits", found).alias("hits"))
-    return out.select("row", F.array_sort("hits").alias("hits"))
+    text, first, passes = F.col("row.text"), None, []
+    for items in _groups(bench, group_chars):
+        if first is not None and not passes:  # a second group: the first becomes a pass of its own as well
+            passes.append(_hits_of(first, packed(docs), error_rate, min_chars))
+        if first is not None:
+            passes.append(_hits_of(items, packed(docs), error_rate, min_chars))
+        first = first or items
+    if not passes:
+        shared = docs.sparkSession.sparkContext.broadcast(first)
+        hits = _finder(shared, error_rate, min_chars)(text) if first else F.array().cast(_HITS)
+        return packed(docs).select("row", hits.alias("hits"))
+    found = passes[0]
+    for more in passes[1:]:
+        found = found.unionByName(more)
+    hits = found.groupBy("of", "digest").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    rows = packed(docs).withColumn("own", F.sha2(text, 256))
+    joined = rows.join(
+        stored(hits, "benchmark-hits").hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("digest")), "left"
+    )
+    return joined.select("row", F.coalesce("hits", F.array().cast(_HITS)).alias("hits"))
+
+
+def _hits_of(items: list, rows: DataFrame, error_rate: float, min_chars: int) -> DataFrame:
+    """The texts with hits of one group of items; once this is written, its broadcast and its workers are free."""
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+    text = F.col("row.text")
+    hits = _finder(shared, error_rate, min_chars)(text).alias("hits")
+    found = rows.select(F.col("row.doc_id").alias("of"), F.sha2(text, 256).alias("digest"), hits).where(F.size("hits") > 0)
+    out = stored(found.dropDuplicates(["of", "digest"]), "benchmark-pass")
+    shared.unpersist()
+    return out
 
 
-def clean(docs: DataFrame, bench: DataFrame, short: bool = False) -> DataFrame:
+def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents that hold no test item, with the columns they came with."""
-    return unpacked(contaminations(docs, bench, short=short).where(F.size("hits") == 0), docs)
+    return unpacked(contaminations(docs, bench).where(F.size("hits") == 0), docs)
 
 
-def digest(docs: DataFrame, bench: DataFrame, short: bool = False) -> DataFrame:
+def digest(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids (comma-joined) and the least distance, one row per document."""
-    return contaminations(docs.select("doc_id", "text"), bench, short=short).select(
+    return contaminations(docs.select("doc_id", "text"), bench).select(
         F.col("row.doc_id").alias("doc_id"),
         (F.size("hits") > 0).alias("contaminated"),
         F.size("hits").alias("n_items"),

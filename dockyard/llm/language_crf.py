@@ -1,6 +1,6 @@
 """Language ID: a linear-chain conditional random field over the words of a text.
 
-Words are runs of letters of the lower-cased text. Each word's features are its prefixes and suffixes of 1 to 4 bytes,
+Words are runs of letters (Unicode category L) of the lower-cased text. Each word's features are its prefixes and suffixes of 1 to 4 bytes,
 its byte trigrams, the word itself (all hashed into one weight table) and, for each language, whether the word is in
 that language's learned lexicon. Transitions and start weights are learned too. Forward-backward gives each word's
 probabilities; a text's language is the one with the largest sum, its score that sum's share, and a code-switched
@@ -8,34 +8,38 @@ text thus gets the language of most of its words.
 
 Forward-backward runs on all words of a batch as one chain that restarts at each text: the chain is cut into blocks,
 every block's transfer matrix is computed for all blocks at once, a short loop joins the blocks, and a second pass
-fills them in. The result is exact; a text of any length costs the same per word.
+fills them in. The result is exact; a text of any length costs the same per word. A text of more than `MAX_BYTES` is
+passed twice in portions: once for their transfer matrices, which give the messages at each portion's ends, and once
+to fill them in with these, so its chain is one chain too.
 
-The fit takes a bounded sample: per language, of the documents that are not held out and have at most `MAX_FIT_CHARS`
-code points, the `MAX_FIT` first in the order of a hash of doc_id. Lines of different documents are mixed into
+The fit takes a bounded sample: per language, of the distinct (doc_id, text) that are not held out and have at most
+`MAX_FIT_CHARS` code points, the `MAX_FIT` first in the order of a hash of both, and `MAX_ROWS` in all: with very many
+languages each gives fewer, and beyond `MAX_ROWS` languages the rarest are not learned. Lines of different documents are mixed into
 training sequences, so that transitions between languages are seen. Only text and lang are learned from; lang,
 source and doc_id are never inputs of a prediction.
 
 Defined cases: a null text or one without a letter is `und` with score 0; ties go to the language first by name;
 rows without doc_id are neither held out nor learned from; without any language to learn from, every text is `und`;
-very long texts restart the chain after `MAX_BYTES` bytes, at the end of a word; repeated rows get equal results.
+number signs, marks and symbols are no letters; repeated rows get equal results and count once in the fit.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches, stored
+from dockyard.llm.shared import sliced, stored
 
 MAX_FIT = 300
+MAX_ROWS = 6_000
 MAX_FIT_CHARS = 20_000
 MAX_BYTES = 500_000
 #: Parts of a language that are ranked on their own before its fitting sample is taken.
@@ -46,7 +50,9 @@ EPOCHS, STEP, DECAY = 6, 0.3, 1e-4
 LINES = 6
 BLOCK = 128
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
+_OTHER = regex.compile(r"[^\p{L}\x00-\x7f]+")
+_WORD_END = regex.compile(rb"[^a-z\x80-\xff]")
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[list(range(97, 123)) + list(range(128, 256))] = True
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -57,6 +63,12 @@ def _bucket(x: np.ndarray, kind: int, buckets: int) -> np.ndarray:
     return (x >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int32)
 
 
+def raw_of(text: str) -> bytes:
+    """The text's bytes, lower-cased; bytes over 127 are letters' alone."""
+    text = text.lower()
+    return (text if text.isascii() else _OTHER.sub(" ", text)).encode()
+
+
 @dataclass
 class Words:
     """The words of joined texts, with hashed features."""
@@ -104,20 +116,14 @@ def words_of(raw: bytes, buckets: int = BUCKETS) -> Words:
     return Words(affix, grams, first, whole, start)
 
 
-def posteriors(
-    emit: np.ndarray, fresh: np.ndarray, trans: np.ndarray, begin: np.ndarray, block: int = BLOCK, pairs: bool = False
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probabilities of each word's labels, and with `pairs` the expected transitions and starts.
-
-    `emit` has log weights (words, labels), `fresh` marks words that begin a sequence; `trans` and `begin` are log
-    weights.
-    """
+def _transfers(emit: np.ndarray, fresh: np.ndarray, trans: np.ndarray, begin: np.ndarray, block: int):
+    """Weights and restarts by block, linear transition weights, and each block's transfer matrix."""
     n, k = emit.shape
     nb = -(-n // block)
     em = np.ones((nb * block, k))
     em[:n] = np.exp(emit - emit.max(axis=1, keepdims=True))
     new = np.zeros(nb * block, bool)
-    new[:n], new[n:], new[0] = fresh, True, True
+    new[:n], new[n:] = fresh, True
     a, s = np.exp(trans - trans.max()), np.exp(begin - begin.max())
     em, new = em.reshape(nb, block, k), new.reshape(nb, block)
     transfer = np.broadcast_to(np.eye(k), (nb, k, k)).copy()
@@ -128,13 +134,47 @@ def posteriors(
             step[r] = transfer[r].sum(axis=2, keepdims=True) * s
         step *= em[:, t, None, :]
         transfer = step / step.sum(axis=(1, 2), keepdims=True)
+    return em, new, restarts, a, s, transfer
+
+
+def transfer_of(emit: np.ndarray, fresh: np.ndarray, trans: np.ndarray, begin: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """The transfer matrix of all words together, up to a factor."""
+    *_, transfer = _transfers(emit, fresh, trans, begin, block)
+    whole = np.eye(emit.shape[1])
+    for t in transfer:
+        whole = whole @ t
+        whole /= whole.sum()
+    return whole
+
+
+def posteriors(
+    emit: np.ndarray,
+    fresh: np.ndarray,
+    trans: np.ndarray,
+    begin: np.ndarray,
+    block: int = BLOCK,
+    pairs: bool = False,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of each word's labels, and with `pairs` the expected transitions and starts.
+
+    `emit` has log weights (words, labels), `fresh` marks words that begin a sequence; `trans` and `begin` are log
+    weights. The words may be a part of a longer chain: `before` and `after` are the messages at its ends, and with
+    `after` the words must fill their blocks.
+    """
+    n, k = emit.shape
+    if before is None:
+        fresh = np.concatenate([[True], fresh[1:]])
+    em, new, restarts, a, s, transfer = _transfers(emit, fresh, trans, begin, block)
+    nb = len(em)
     into, out = np.empty((nb, k)), np.empty((nb, k))
-    v = np.full(k, 1 / k)
+    v = np.full(k, 1 / k) if before is None else before
     for i in range(nb):
         into[i] = v
         v = v @ transfer[i]
         v = v / v.sum()
-    v = np.full(k, 1 / k)
+    v = np.full(k, 1 / k) if after is None else after
     for i in range(nb - 1, -1, -1):
         out[i] = v
         v = transfer[i] @ v
@@ -198,51 +238,78 @@ class LanguageField:
         some, size = [], 0
         for i, t in enumerate(texts):
             if t and self.labels and _LETTER.search(t):
-                raw = t.lower().encode()
-                some.append((i, raw))
-                size += len(raw)
-                if size > MAX_BYTES:
+                raw = raw_of(t)
+                if len(raw) > MAX_BYTES:
+                    out[i] = self._named(self.long_sums(raw))
+                    continue
+                if size + len(raw) > MAX_BYTES:
                     self._predict(some, out)
                     some, size = [], 0
+                some.append((i, raw))
+                size += len(raw)
         if some:
             self._predict(some, out)
         return out
 
+    def _named(self, total: np.ndarray) -> tuple[str, float]:
+        if not total.any():
+            return UNKNOWN, 0.0
+        best = int(total.argmax())
+        return self.labels[best], float(total[best] / total.sum())
+
     def _predict(self, some: list[tuple[int, bytes]], out: list[tuple[str, float]]) -> None:
-        sums: dict[int, np.ndarray] = {}
-        for part in _portions(some):
-            w = words_of(b"\n".join(raw for _, raw in part) + b"\n")
-            if not len(w.at):
-                continue
-            ends = np.cumsum([len(raw) + 1 for _, raw in part])
-            owner = np.searchsorted(ends, w.at, "right")
-            fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
-            p, _, _ = posteriors(self.emissions(w), fresh, self.trans, self.begin)
-            begins = np.flatnonzero(fresh)
-            for o, total in zip(owner[begins], np.add.reduceat(p, begins, axis=0), strict=True):
-                i = part[o][0]
-                sums[i] = sums[i] + total if i in sums else total
-        for i, total in sums.items():
-            best = int(total.argmax())
-            out[i] = (self.labels[best], float(total[best] / total.sum()))
-
-
-def _portions(some: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
-    """Parts of at most about MAX_BYTES; a longer text is cut at ends of words."""
-    part, size = [], 0
-    for i, raw in some:
-        while len(raw) > MAX_BYTES:
-            cut = raw.rfind(b" ", 0, MAX_BYTES)
-            cut = cut if cut > 0 else next((j for j in range(MAX_BYTES, len(raw)) if raw[j] < 128), len(raw))
-            yield [(i, raw[:cut])]
-            raw = raw[cut:]
-        if size + len(raw) > MAX_BYTES and part:
-            yield part
-            part, size = [], 0
-        part.append((i, raw))
-        size += len(raw)
-    if part:
-        yield part
+        w = words_of(b"\n".join(raw for _, raw in some) + b"\n")
+        if not len(w.at):
+            return
+        ends = np.cumsum([len(raw) + 1 for _, raw in some])
+        owner = np.searchsorted(ends, w.at, "right")
+        fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
+        p, _, _ = posteriors(self.emissions(w), fresh, self.trans, self.begin)
+        begins = np.flatnonzero(fresh)
+        for o, total in zip(owner[begins], np.add.reduceat(p, begins, axis=0), strict=True):
+            out[some[o][0]] = self._named(total)
+
+    def long_sums(self, raw: bytes, size: int | None = None, block: int = BLOCK) -> np.ndarray:
+        """The sums of the words' probabilities of one text, passed in portions of about `size` bytes."""
+        k = len(self.labels)
+        cuts = _portions(raw, size or MAX_BYTES, block)
+        ends = list(zip(cuts, cuts[1:], strict=False))
+        fresh = lambda i, n: np.concatenate([[i == 0], np.zeros(n - 1, bool)])
+        transfers = []
+        for i, (a, b) in enumerate(ends):
+            e = self.emissions(words_of(raw[a:b]))
+            transfers.append(transfer_of(e, fresh(i, len(e)), self.trans, self.begin, block))
+        before, after = [np.full(k, 1 / k)], [np.full(k, 1 / k)]
+        for t in transfers[:-1]:
+            v = before[-1] @ t
+            before.append(v / v.sum())
+        for t in transfers[:0:-1]:
+            v = t @ after[-1]
+            after.append(v / v.sum())
+        total = np.zeros(k)
+        for i, (a, b) in enumerate(ends):
+            e = self.emissions(words_of(raw[a:b]))
+            ends_ = {"before": before[i] if i else None, "after": after[-1 - i] if i < len(ends) - 1 else None}
+            total += posteriors(e, fresh(i, len(e)), self.trans, self.begin, block, **ends_)[0].sum(axis=0)
+        return total
+
+
+def _portions(raw: bytes, size: int, block: int) -> list[int]:
+    """Places that cut `raw` into portions of about `size` bytes; all but the last have whole blocks of words."""
+    cuts, wide = [0], size
+    while True:
+        found = _WORD_END.search(raw, cuts[-1] + wide)
+        words = words_of(raw[cuts[-1] : found.end() if found else len(raw)])
+        n = len(words.at) // block * block
+        if found and n:
+            cuts.append(cuts[-1] + (int(words.at[n]) if n < len(words.at) else found.end() - cuts[-1]))
+            wide = size
+        elif found:
+            wide *= 2  # fewer words than a block
+        else:
+            if len(words.at) or len(cuts) == 1:
+                return [*cuts, len(raw)]
+            return [*cuts[:-1], len(raw)]  # no word follows the last cut
 
 
 def _lexicon(rows: list[tuple[str, str]], labels: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +319,7 @@ def _lexicon(rows: list[tuple[str, str]], labels: list[str], size: int) -> tuple
         held: Counter = Counter()
         for text, own in rows:
             if own == lang:
-                held.update(set(words_of(text.lower().encode() + b"\n").whole.tolist()))
+                held.update(set(words_of(raw_of(text) + b"\n").whole.tolist()))
         top = sorted(((n, h) for h, n in held.items() if n > 1), reverse=True)[:size]
         for _, h in top:
             listed.setdefault(h, set()).add(k)
@@ -270,7 +337,7 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS) -> LanguageField:
     words, marks = _lexicon(rows, labels, LEXICON)
     zero = lambda *shape: np.zeros(shape)
     field = LanguageField(labels, zero(BUCKETS, k), words, marks, zero(k, k), zero(k, k), zero(k))
-    lines = [(x.lower().encode(), labels.index(lang)) for text, lang in rows for x in text.split("\n") if x.strip()]
+    lines = [(raw_of(x), labels.index(lang)) for text, lang in rows for x in text.split("\n") if x.strip()]
     lines.sort(key=lambda x: xxhash.xxh64_intdigest(x[0]))  # a fixed shuffle
     size, part, parts = 0, [], []
     for line in lines:
@@ -316,34 +383,37 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, max_fit: int = MAX_FIT, max_chars: int = MAX_FIT_CHARS) -> LanguageField:
-    """The field of `max_fit` documents per language at most, none of them held out."""
+def fit(docs: DataFrame, max_fit: int = MAX_FIT, max_chars: int = MAX_FIT_CHARS, max_rows: int = MAX_ROWS) -> LanguageField:
+    """The field of `max_fit` documents per language and `max_rows` in all at most, none of them held out."""
     ok = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     short = (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")
-    ids = docs.where(ok & short).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    ids = ids.withColumn("part", F.pmod("h", F.lit(PARTS)))
+    fits = docs.where(ok & short).select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    ids = fits.select("doc_id", "lang", "h")
+    langs = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = langs.orderBy(F.desc("n"), "lang").limit(max_rows).select(F.col("lang").alias("of"))
+    quota = min(max_fit, max_rows // max(1, langs.count()))
+    ids = ids.join(F.broadcast(langs), F.col("lang") == F.col("of")).drop("of")  # max_rows languages at most
+    ids = ids.distinct().withColumn("part", F.pmod("h", F.lit(PARTS)))
     for keys in (("lang", "part"), ("lang",)):  # first within parts, so that no task ranks a whole language
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
-        ids = ids.withColumn("place", place).where(F.col("place") <= max_fit)
-    ids = ids.select(F.col("doc_id").alias("of"), F.col("lang").alias("y"))
-    ids = stored(ids.distinct(), "language-fit")  # its size is then known, so few ids are broadcast by themselves
-    rows = docs.select("doc_id", "lang", "text").join(
-        ids, (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("y"))
-    )
+        ids = ids.withColumn("place", place).where(F.col("place") <= quota)
+    ids = stored(ids.select(F.col("doc_id").alias("of"), F.col("lang").alias("y"), F.col("h").alias("of_h")), "language-fit")
+    own = (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("y")) & (F.col("h") == F.col("of_h"))
+    # max_rows ids at most; a row that stands there many times is reduced to one in each task first.
+    rows = fits.join(F.broadcast(ids), own).groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
     found = rows.select("doc_id", "text", "lang").collect()
-    return train([(r.text, r.lang) for r in sorted(found, key=lambda r: (r.lang, r.doc_id, r.text or "")) if r.text])
+    return train([(r.text, r.lang) for r in sorted(found, key=lambda r: (r.lang, r.doc_id, r.text))])
 
 
 def predicted(docs: DataFrame, field: LanguageField) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
-    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for texts in batches:
+        for texts in sliced(batches, 512):
             found = model.predict(texts.to_pylist())
             yield pa.array([{"lang": lang, "score": score} for lang, score in found], kind)
 

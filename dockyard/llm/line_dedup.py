@@ -4,11 +4,11 @@ A line's key is the line with `[\x20\x09-\x0D]` stripped at both ends and A-Z lo
 `min_chars` code points that at least `min_docs` documents hold lose all their lines, except in the largest doc_id
 that holds them.
 
-1. Every document's distinct long keys become 128-bit hashes (hash, doc_id); no line text is shuffled.
+1. Every text's distinct long keys become 128-bit hashes (hash, doc_id, hash of the text); no line text is shuffled.
 2. Rows per hash are counted with map-side sums; only hashes with `min_docs` rows or more are looked at again, and
    for these documents are counted exactly (a repeated doc_id counts once).
-3. The hashes to drop are joined back to (hash, doc_id), gathered by document (as many as it has lines at most),
-   and each document's remaining lines are joined again by position.
+3. The hashes to drop are joined back to these rows, gathered by text (as many as it has lines at most), and each
+   text's remaining lines are joined again by position. A doc_id of very many texts is a key for each of them.
 
 Every join is a sort-merge join at every size: what a small table would broadcast grows with the corpus.
 A hash that a third of all documents hold is one row per task after step 2's map side, and in step 3 a skewed key of
@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches, packed, stored, unpacked
+from dockyard.llm.shared import discard, packed, sliced, stored, unpacked
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -45,7 +45,7 @@ def key_hash(line: bytes, min_chars: int) -> bytes | None:
 def line_hashes(min_chars: int):
     @F.arrow_udf("array<binary>")
     def hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches):
             found = []
             for text in texts:
                 lines = (text.as_py() or "").encode().split(b"\n")
@@ -59,7 +59,7 @@ def remaining(min_chars: int):
     @F.arrow_udf("struct<text: string, n_lines: bigint, n_dropped: bigint>")
     def rest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
-        for texts, drops in batches:
+        for texts, drops in sliced(batches):
             out = []
             for text, drop in zip(texts, drops, strict=True):
                 lines = (text.as_py() or "").encode().split(b"\n")
@@ -72,34 +72,44 @@ def remaining(min_chars: int):
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id and `drop`: the key hashes that this document loses. One row per document that loses any."""
-    held = docs.select("doc_id", F.explode(line_hashes(min_chars)(F.col("text"))).alias("h"))
+    """doc_id, `text_hash` and `drop`: the key hashes that this text of the document loses. One row per text that loses any."""
+    held = docs.select("doc_id", _text_hash("text"), F.explode(line_hashes(min_chars)(F.col("text"))).alias("h"))
     held = stored(held, "line-hashes")
     often = held.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
     often = stored(often, "line-often")  # read anew, so that a skewed hash of the join below can be split
     hits = stored(held.join(often.hint("merge"), "h"), "line-hits")
     bad = (
-        hits.distinct()
+        hits.select("h", "doc_id")
+        .distinct()
         .groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
         .select("h", "keeper")
     )
     bad = stored(bad, "line-bad")
-    return (
+    drops = (
         hits.join(bad.hint("merge"), "h")
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("h").alias("drop"))
     )
+    drops = stored(drops, "line-drops")
+    discard(held, often, hits, bad)
+    return drops
+
+
+def _text_hash(text: str) -> Column:
+    """Spreads the texts of one doc_id. Two of them with equal hashes share their lists, which hold no other's loss:
+    whether a document loses a line hangs on doc_id and line alone."""
+    return F.xxhash64(text).alias("text_hash")
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """`row` (all columns of `docs`) and `kept`: the remaining text, `n_lines` before and `n_dropped`."""
-    bounded_batches(docs.sparkSession)
-    drops = dropped_lines(docs, min_chars, min_docs).withColumnRenamed("doc_id", "drop_id")
-    drops = stored(drops, "line-drops")
-    joined = packed(docs).join(drops.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("drop_id")), "left")
+    drops = dropped_lines(docs, min_chars, min_docs).withColumnsRenamed({"doc_id": "drop_id", "text_hash": "drop_hash"})
+    rows = packed(docs).withColumn("text_hash", _text_hash("row.text"))
+    own = F.col("row.doc_id").eqNullSafe(F.col("drop_id")) & (F.col("text_hash") == F.col("drop_hash"))
+    joined = rows.join(drops.hint("merge"), own, "left")
     return joined.select("row", remaining(min_chars)(F.col("row.text"), F.col("drop")).alias("kept"))
 
 

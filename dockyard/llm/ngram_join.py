@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
-from dockyard.llm.shared import bounded_batches, packed, stored, unpacked
+from dockyard.llm.shared import packed, sliced, stored, unpacked
 
 N = 5
 THRESHOLD = 0.8
@@ -103,7 +103,7 @@ def signed(n: int, bands: int, rows: int):
     @F.arrow_udf("struct<set_hash: binary, grams: int, bands: array<bigint>>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         family = _family(bands * rows)
-        for texts in batches:
+        for texts in sliced(batches):
             out = []
             for text in texts:
                 g = ngrams(text.as_py(), n)
@@ -122,7 +122,7 @@ def gram_sets(n: int):
 
     @F.arrow_udf("struct<set_hash: binary, sets: array<bigint>>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches):
             grams = [ngrams(x.as_py(), n) for x in texts]
             out = [{"set_hash": xxhash.xxh3_128_digest(g.tobytes()), "sets": g.view(np.int64)} for g in grams]
             yield pa.array(out, kind)
@@ -262,7 +262,6 @@ def classes(
     n_links counts the (document, text) that are linked with one of its texts, n_copies those with the same n-gram
     set, itself included. Documents without n-grams are missing here.
     """
-    bounded_batches(docs.sparkSession)
     bands, rows = bands_for(threshold, recall)
     own = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     signs = _signatures(own, n, bands, rows)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches
+from dockyard.llm.shared import sliced
 
 MAX_FIT = 20_000
 #: Weight of the pooled covariance, and of the diagonal, in each class's.
@@ -115,7 +115,7 @@ class Discriminant:
 def _statistics_udf():
     @F.arrow_udf("array<double>")
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches):
             yield pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return measured
@@ -124,7 +124,7 @@ def _statistics_udf():
 def _scores_udf(model):
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in sliced(batches):
             x = np.array([statistics(t.as_py()) for t in texts]).reshape(-1, len(STATISTICS))
             yield pa.array(model.value.score(x), pa.float64())
 
@@ -149,12 +149,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Discrimin
 
 def scored(docs: DataFrame, model: Discriminant, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    bounded_batches(docs.sparkSession)
     udf = _scores_udf(docs.sparkSession.sparkContext.broadcast(model))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), udf(F.col("text")).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    bounded_batches(docs.sparkSession)
     return scored(docs, fit(docs, labels))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read again: computed once, and safe from lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -64,8 +66,21 @@ def unpacked(df: DataFrame, like: DataFrame, *more: str) -> DataFrame:
     return df.select(*own, *more)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Keeps Arrow batches for Python small, as one text may hold megabytes; a smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, rows)
+def sliced(batches: Iterator, rows: int = 128) -> Iterator:
+    """Arrow batches (arrays, or tuples of them) in slices of few rows, so that few texts are Python objects at once.
+
+    Spark bounds the batches themselves by spark.sql.execution.arrow.maxBytesPerBatch (64 MB unless set); no setting
+    of the caller's session is changed.
+    """
+    for batch in batches:
+        parts = batch if isinstance(batch, tuple) else (batch,)
+        for i in range(0, len(parts[0]), rows):
+            some = tuple(p.slice(i, rows) for p in parts)
+            yield some if isinstance(batch, tuple) else some[0]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of `stored` that nothing reads any more: what came of them has been written too."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.shared import bounded_batches
+from dockyard.llm.shared import sliced
 
 CHUNK = 16_384
 OVERLAP = 1_024
@@ -192,7 +192,7 @@ def counter(path: str, chunk: int, overlap: int, step: int = 64):
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         key = (path, chunk, overlap)
         model = _LOADED.get(key) or _LOADED.setdefault(key, Tokenizer(*key))
-        for texts in batches:
+        for texts in sliced(batches):
             out = []
             for i in range(0, len(texts), step):
                 some = [t or "" for t in texts[i : i + step].to_pylist()]
@@ -207,6 +207,5 @@ def digest(
     docs: DataFrame, path: str, limit: int = LIMIT, chunk: int = CHUNK, overlap: int = OVERLAP
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document. `path` must be readable on every executor."""
-    bounded_batches(docs.sparkSession)
     counted = docs.select("doc_id", counter(path, chunk, overlap)(F.col("text")).alias("c"))
     return counted.select("doc_id", "c.n_bytes", "c.n_tokens", (F.col("c.n_tokens") > limit).alias("over_limit"))

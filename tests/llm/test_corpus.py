@@ -161,14 +161,18 @@ def test_decontamination(make, spark):
         hits = []
         for item_id, item in items:
             item = decontaminate.normal(item)
-            if item_id is not None and len(item) >= 40:
-                d = distance(item, decontaminate.normal(text))
+            if item and (len(item) >= 40 or f" {item} " in f" {decontaminate.normal(text)} "):
+                d = distance(item, decontaminate.normal(text)) if len(item) >= 40 else 0
                 if d <= decontaminate.budget(len(item), 0.05):
                     hits.append((item_id, d))
-        want[i] = sorted(hits)
+        want[i] = sorted(hits, key=lambda h: (h[0] is not None, h))
     docs = make(*rows)
     for size in (4_000_000, 600):  # one group, several groups
-        got = decontaminate.contaminations(docs, bench, group_chars=size).select("row.doc_id", "hits").collect()
+        found = decontaminate.contaminations(docs, bench, group_chars=size)
+        # However many groups there are, at most one automaton is alive in a task.
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") <= 1
+        got = found.select("row.doc_id", "hits").collect()
         assert {r.doc_id: [tuple(h) for h in r.hits] for r in got} == want
     assert any(d for h in want.values() for _, d in h) and not all(want.values())
     clean = decontaminate.clean(docs, bench)
@@ -177,6 +181,22 @@ def test_decontamination(make, spark):
     assert decontaminate.clean(docs, bench.where("false")).count() == len(rows)
 
 
+def test_decontamination_in_many_groups(make, spark):
+    """Rows that share a doc_id, repeated rows and rows without doc_id, in one pass and in many."""
+    items = [(i, f"item number {i} " + "abcdefghij klmnop " * 3 + str(i) * 20) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, f"before {items[3][1]} after {items[7][1]}"), (1, "clean text"), (1, items[5][1]), (2, items[5][1]), (2, items[5][1])]
+    rows += [(None, items[0][1]), (None, "clean"), (3, None), (4, "")]
+    docs = make(*rows)
+    key = lambda df: sorted((str(r.doc_id), r.n_items, r.item_ids, r.contaminated) for r in df.collect())
+    one, many = (
+        decontaminate.contaminations(docs, bench, group_chars=n).select("row.doc_id", "row.text", "hits") for n in (10**6, 60)
+    )
+    as_set = lambda df: sorted((str(r.doc_id), str(r.text), tuple(map(tuple, r.hits))) for r in df.collect())
+    assert as_set(one) == as_set(many) and one.count() == len(rows)
+    assert [x[1:] for x in key(decontaminate.digest(docs, bench)) if x[0] == "1"] == [(0, "", False), (1, "5", True), (2, "3,7", True)]
+
+
 def test_short_items_are_found_exactly(make, spark, tmp_dir):
     long = "a question that is long enough to be looked for with edits"
     items = [(1, "Who  wrote Hamlet?"), (2, "abba"), (3, "abab"), (4, "C++"), (5, long), (6, None), (7, " "), (8, "été")]

@@ -36,6 +36,48 @@ def test_posteriors_equal_enumeration():
         assert np.isclose(starts.sum(), fresh.sum())
 
 
+def test_portions_are_one_chain():
+    """A long text in portions equals the same text as one chain."""
+    rng = np.random.default_rng(3)
+    field = language_crf.train([("der die das und zeit " * 5, "de"), ("the of and time with " * 5, "en"), ("le la été où " * 5, "fr")] * 4)
+    words = ["der", "the", "été", "of", "und", "la", "x", "naïve", "12", "—", "zeit"]
+    text = " ".join(words[i] for i in rng.integers(0, len(words), 5000))
+    for raw in (language_crf.raw_of(text), language_crf.raw_of(text) + b" 1234" * 900, b"a" * 9000 + b" der die das", b"und " * 64):
+        w = language_crf.words_of(raw)
+        e, fresh = field.emissions(w), np.zeros(len(w.at), bool)
+        want = language_crf.posteriors(e, fresh, field.trans, field.begin)[0].sum(axis=0)
+        for size, block in ((700, 128), (5_000, 16), (10**6, 128), (64, 4)):
+            assert np.allclose(field.long_sums(raw, size, block), want, rtol=1e-6)
+    long = text * 110  # over two megabytes
+    assert len(language_crf.raw_of(long)) > 2_000_000
+    w = language_crf.words_of(language_crf.raw_of(long))
+    whole = language_crf.posteriors(field.emissions(w), np.zeros(len(w.at), bool), field.trans, field.begin)[0].sum(axis=0)
+    lang, score = field.predict([long])[0]
+    assert lang == field.labels[int(whole.argmax())] and abs(score - whole.max() / whole.sum()) < 1e-6
+
+
+def test_signs_are_no_letters(make):
+    rows = [(i, "der die das und " * 9, None, "de") for i in range(12)] + [(i, "the of and with " * 9, None, "en") for i in range(12, 24)]
+    signs = ["²", "² ½ 12", "— “ ” …", "\u00a0", "👍🏽", "١٢٣", "٪", "_"]
+    got = language_crf.digest(make(*rows, *[(100 + i, t, None, "de") for i, t in enumerate(signs)])).collect()
+    assert {(r.lang_pred, r.score) for r in got if r.doc_id >= 100} == {("und", 0.0)}
+    words = language_crf.words_of(language_crf.raw_of("naïve—“été”\u00a0漢字²x") + b"\n")
+    assert len(words.at) == 4  # naïve, été, 漢字, x: a sign ends a word
+
+
+def test_fit_is_bounded(make, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_crf, "train", lambda rows: seen.append(rows))
+    one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = [(one, f"text number {'abc'[i % 3] * (i + 1)}", None, "en") for i in range(60)] + [(one, "the same text", None, "en")] * 50
+    rows += [(one, "x" * 30_000, None, "en")] * 9 + [(i, "le la", None, f"l{i}") for i in range(200, 300)]
+    language_crf.fit(make(*rows), max_fit=3)
+    got = seen.pop()
+    assert sum(lang == "en" for _, lang in got) == 3 and max(len(t) for t, _ in got) <= 20_000 and len(set(got)) == len(got)
+    language_crf.fit(make(*rows), max_fit=40, max_rows=20)
+    assert len(seen[0]) <= 20 and sum(lang == "en" for _, lang in seen[0]) == 1
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     got = QUERIES["op9_language_crf"](spark, DIR).join(docs.select("doc_id", "lang"), "doc_id").collect()

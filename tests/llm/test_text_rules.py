@@ -100,6 +100,17 @@ def test_line_dedup(make):
     assert got == dedup(rows)
 
 
+def test_line_dedup_of_one_doc_id_with_many_texts(make):
+    """A doc_id of very many texts: its drops are rows by text, none gathers them all."""
+    shared = [c * 45 for c in "abcdef"]
+    rows = [(7, f"{shared[i % 6]}\nown line {i}\n{shared[(i + 1) % 6]}") for i in range(300)]
+    rows += [(i, "\n".join(shared)) for i in range(20, 30)]
+    docs = make(*rows)
+    assert sorted((tuple(r) for r in line_dedup.digest(docs).collect()), key=str) == dedup(rows)
+    drops = line_dedup.dropped_lines(docs).where("doc_id = 7").collect()
+    assert len(drops) == 300 and max(len(r.drop) for r in drops) <= 2
+
+
 def test_line_dedup_keeps_columns(make):
     docs = make(*[(i, "x" * 50 + f"\nown {i}") for i in range(6)])
     out = line_dedup.deduped(docs)
