@@ -300,3 +300,50 @@ ORACLE_SQL["staged_messages"] = f"SELECT * EXCLUDE (run) FROM ({ORACLE_SQL['stag
 ORACLE_SQL["history_first_stage_wins"] = _w(_derived()) + """
 SELECT concat('BikePoints_', event_id) AS bike_point_id, extraction_datetime, NbBikes AS nb_bikes, NbDocks AS nb_docks
 FROM d"""
+
+_NEWEST = """row_number() OVER (PARTITION BY day, id ORDER BY extraction_datetime DESC, ts DESC, event_id % 4 DESC, event_id DESC) = 1"""
+_DAYS = "\ndd AS (SELECT *, date_trunc('day', ts) AS day, NbDocks - (NbBikes + NbEmptyDocks) AS NbBrokenDocks FROM d)"
+
+
+def _totals(prefix: str = "") -> str:
+    return ",\n       ".join(
+        f"CAST(sum({prefix}{src}) AS BIGINT) AS nb_{name}, round(100 * sum({prefix}{src}) / sum({prefix}NbDocks), 2) AS percentage_{name}"
+        for src, name in (("NbBikes", "available_bikes"), ("NbEBikes", "available_ebikes"),
+                          ("NbEmptyDocks", "in_use_bikes"), ("NbBrokenDocks", "broken_docks")))
+
+
+ORACLE_SQL["fleet_state_by_poll"] = _w(_derived(), _DAYS) + f""",
+r AS (SELECT * FROM dd QUALIFY {_NEWEST}),
+polls AS (SELECT day AS poll, min(extraction_datetime) AS low, max(extraction_datetime) AS high FROM r GROUP BY day),
+carried AS (
+  SELECT poll, low, high, r.* FROM polls JOIN r ON r.day <= poll
+  QUALIFY row_number() OVER (PARTITION BY poll, id ORDER BY day DESC) = 1)
+SELECT poll, low AS min_extraction_datetime, high AS max_extraction_datetime,
+       {_totals()}, count(*) AS nb_points
+FROM carried GROUP BY poll, low, high"""
+
+# A message counts if it is later than the newest instant of the deliveries before it, less four days; a day is
+# closed once the newest instant of all deliveries, less four days, has reached its end.
+ORACLE_SQL["late_windows"] = _w(_derived(), _DAYS) + f""",
+a AS (
+  SELECT *, CAST(day AS DATE) - DATE '2024-01-01' AS n,
+         (CAST(day AS DATE) - DATE '2024-01-01') // 8
+           + CASE WHEN event_id % 29 = 0 THEN 2 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS arrival FROM dd),
+m AS (SELECT arrival, max(extraction_datetime) AS newest FROM a GROUP BY arrival),
+seen AS (SELECT arrival, max(newest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM m),
+admitted AS (
+  SELECT a.* FROM a JOIN seen USING (arrival)
+  WHERE newest IS NULL OR extraction_datetime > newest - INTERVAL 4 DAY),
+r AS (SELECT * FROM admitted QUALIFY {_NEWEST})
+SELECT day AS window_start, min(extraction_datetime) AS min_extraction_datetime, max(extraction_datetime) AS max_extraction_datetime,
+       {_totals()}
+FROM r WHERE day + INTERVAL 1 DAY <= (SELECT max(newest) - INTERVAL 4 DAY FROM m) GROUP BY day"""
+
+ORACLE_SQL["window_turnover"] = _w(_derived(), _DAYS) + f""",
+r AS (SELECT * FROM dd QUALIFY {_NEWEST}),
+closed AS (SELECT * FROM r WHERE day + INTERVAL 1 DAY <= (SELECT max(extraction_datetime) - INTERVAL 4 DAY FROM d))
+SELECT after.day AS window_start, count(*) AS nb_points,
+       CAST(sum(greatest(after.NbBikes - before.NbBikes, 0)) AS BIGINT) AS nb_arrived,
+       CAST(sum(greatest(before.NbBikes - after.NbBikes, 0)) AS BIGINT) AS nb_left
+FROM closed AS before JOIN closed AS after ON after.id = before.id AND after.day = before.day + INTERVAL 1 DAY
+GROUP BY after.day"""

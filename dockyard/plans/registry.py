@@ -48,6 +48,8 @@ from dockyard.sources.events import (
 )
 from dockyard.sources.messages import read_messages
 from dockyard.sources.tables import read_history, read_metrics
+from dockyard.streaming.fleet_state import fleet_history, run_fleet_stream
+from dockyard.streaming.windows import run_moves_stream, run_windows_stream, turnover, window_metrics
 from dockyard.streaming.metrics_stream import SPEED_FIELDS, poll_metrics, run_metrics_stream, run_polls_stream
 
 # Fixed parameters of the checked queries.
@@ -243,6 +245,63 @@ def q_metrics_after_restart(spark, sf):
         "written_at", "run_id", "batch_id")
 
 
+def q_fleet_state_by_poll(spark, sf):
+    """Fleet totals with carried states: two thirds of all messages in four micro-batches, then, after a restart, the
+    rest, which falls into polls (days) that are there already."""
+    root = scratch_dir(spark, "fleet_state")
+    for run, part in enumerate(("event_id % 3 != 0", "event_id % 3 = 0")):
+        wire = wire_messages(_rows(spark, sf).where(part))
+        wire.repartition(4, F.xxhash64("offset")).write.mode("append").parquet(f"{root}/landing")
+        stream = read_messages(spark, "parquet", {"path": f"{root}/landing"}, streaming=True,
+                               max_files_per_trigger=None if run else 1)
+        run_fleet_stream(stream, "1 day", f"{root}/state", f"{root}/checkpoint", {"availableNow": True},
+                         fold_every=3).awaitTermination()
+    return fleet_history(spark, f"{root}/state")
+
+
+# Late messages: one in 17 arrives a group of days later, one in 29 two groups later, one in 13 twice.
+GROUP_DAYS, LATE_AFTER = 8, "4 days"
+REDELIVERED = ("id", "extraction_datetime", "offset")
+
+
+def _arrivals(rows: DataFrame) -> DataFrame:
+    """Derived rows with `arrival`, the number of the delivery that a message comes with; repeated ones come twice."""
+    group = F.floor(F.datediff("ts", F.lit("2024-01-01")) / GROUP_DAYS)
+    late = F.when(F.col("event_id") % 29 == 0, 2).when(F.col("event_id") % 17 == 0, 1).otherwise(0)
+    times = F.when(F.col("event_id") % 13 == 0, 2).otherwise(1)
+    return rows.withColumn("arrival", group + late).withColumn("n", F.explode(F.sequence(F.lit(1), times))).drop("n")
+
+
+def _deliver(spark, rows: DataFrame, root: str, run: Callable[[DataFrame], object]) -> None:
+    """The deliveries in turn: each lands on the topic and is taken in by a run of the stream, which then stops."""
+    _arrivals(rows).write.partitionBy("arrival").parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
+    for (n,) in sorted(rows.select("arrival").distinct().collect()):
+        wire_messages(rows.where(F.col("arrival") == n)).write.mode("append").parquet(f"{root}/landing")
+        run(read_messages(spark, "parquet", {"path": f"{root}/landing"}, streaming=True)).awaitTermination()
+
+
+def q_late_windows(spark, sf):
+    """Daily windows in append mode over late and repeated messages; the stream stops and restarts between deliveries."""
+    root = scratch_dir(spark, "late_windows")
+    _deliver(spark, _rows(spark, sf), root, lambda stream: run_windows_stream(
+        stream, "1 day", LATE_AFTER, f"{root}/sink", f"{root}/checkpoint", {"availableNow": True}, REDELIVERED))
+    return window_metrics(spark, f"{root}/sink")
+
+
+def q_window_turnover(spark, sf):
+    """Dedup, windowed newest state and a stream-stream join of consecutive days, in two runs of the stream."""
+    root = scratch_dir(spark, "window_turnover")
+    rows = _rows(spark, sf)
+    for part in (F.col("ts") < F.to_timestamp(F.lit(STAGING_FROM)), F.col("ts") >= F.to_timestamp(F.lit(STAGING_FROM))):
+        twice = rows.where(part).unionByName(rows.where(part & (F.col("event_id") % 13 == 0)))
+        wire_messages(twice).write.mode("append").parquet(f"{root}/landing")
+        stream = read_messages(spark, "parquet", {"path": f"{root}/landing"}, streaming=True)
+        run_moves_stream(stream, "1 day", LATE_AFTER, f"{root}/sink", f"{root}/checkpoint", {"availableNow": True},
+                         REDELIVERED).awaitTermination()
+    return turnover(spark, f"{root}/sink")
+
+
 def q_view_in_use(spark, sf):
     return views.in_use_by_day(_history(spark, sf))
 
@@ -438,6 +497,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fleet_metrics": q_fleet_metrics,
     "metrics_per_batch": q_metrics_per_batch,
     "metrics_stream": q_metrics_stream,
+    "fleet_state_by_poll": q_fleet_state_by_poll,
+    "late_windows": q_late_windows,
+    "window_turnover": q_window_turnover,
     "view_in_use": q_view_in_use,
     "view_non_availability": q_view_non_availability,
     "view_non_availability_only_empty": q_view_non_availability_only_empty,
