@@ -69,6 +69,10 @@ class Config:
     def views_path(self) -> str:
         return f"{self.warehouse}/views"
 
+    @property
+    def zones_path(self) -> str:
+        return f"{self.warehouse}/zones"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.warehouse}/_checkpoints/{name}"
 

@@ -96,6 +96,28 @@ def non_availability_from_summary(daily: DataFrame, n: int = 10, only_empty: boo
     )
 
 
+def non_availability_refreshed(view: DataFrame, totals: DataFrame, fresh: DataFrame, touched: DataFrame,
+                               daily: DataFrame, n: int = 10) -> DataFrame:
+    """The non-availability view after some dates were touched, from the view before.
+
+    `totals` has every point's rows without a bike over all dates, `fresh` the per-point rows of the touched dates,
+    `daily` those of all dates. Points that stay among the top `n` keep their rows of other dates and get those of the
+    touched ones; only points new among them are looked up in `daily`, with a filter that reaches the scan. The ids
+    brought to the driver are `n` at most on either side.
+    """
+    best = totals.where(F.col("empty_rows") > 0).orderBy(F.desc("empty_rows"), F.asc("bike_point_id")).limit(n)
+    top = {r.bike_point_id for r in best.select("bike_point_id").collect()}
+    before = {r.bike_point_id for r in view.select("bike_point_id").distinct().collect()}
+    of = lambda df, ids: df.where(F.col("bike_point_id").isin(sorted(ids)) if ids else F.lit(False))
+    label = day_label("day_of_week_number", "day_of_week").alias("num_day_of_week")
+    rows = of(fresh, top & before).select(label, "extraction_date", "bike_point_id")
+    kept = of(view, top & before).join(touched.select("extraction_date").distinct(), "extraction_date", "left_anti")
+    out = rows.unionByName(kept.select(*rows.columns))
+    if top - before:
+        out = out.unionByName(of(daily, top - before).select(label, "extraction_date", "bike_point_id"))
+    return out.distinct()
+
+
 def avg_in_use_from_summary(hourly: DataFrame) -> DataFrame:
     """Bar chart (average bikes in use per weekday) from the hourly summary.
 

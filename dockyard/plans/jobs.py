@@ -23,6 +23,7 @@ from dockyard.sinks.tables import (
     refresh_views,
     write_staging,
 )
+from dockyard.sinks.zones import note_zones
 from dockyard.sources.messages import read_messages
 from dockyard.sources.snapshots import read_snapshots
 from dockyard.sources.tables import read_history
@@ -77,7 +78,7 @@ def publish(flat: DataFrame, cfg: Config) -> None:
 
 
 def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bool = True) -> None:
-    """One load: messages -> staging (replaced) -> insert-ignore into history -> view refresh.
+    """One load: messages -> staging (replaced) -> insert-ignore into history -> zone map -> view refresh.
 
     Staging is written before the load, so the load reads a stored table and
     never goes back to the topic. Among messages with one key the first to
@@ -92,6 +93,7 @@ def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bo
                    num_partitions=cfg.jdbc_connections)
     note_load(staging, cfg.views_path)
     insert_ignore(spark, staging, cfg.history_path, order_by=ARRIVAL)
+    note_zones(spark, cfg.history_path, cfg.zones_path, staging)
     if refresh:
         refresh_views(spark, cfg.history_path, cfg.views_path)
 

@@ -264,6 +264,20 @@ h AS (
 
 
 ORACLE_SQL["history_after_loads"] = _w(_first_arrived()) + f"\nSELECT {HISTORY_SELECT} FROM h"
+ORACLE_SQL["history_lookup"] = ORACLE_SQL["history_after_loads"] + """
+WHERE bike_point_id IN ('BikePoints_17', 'BikePoints_42') AND day_of_week_number IN (2, 7)"""
+ORACLE_SQL["insert_ignore_bucketed"] = _w(_history("hour")) + f""",
+old AS (
+  SELECT * FROM h WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime ORDER BY ts, event_id % 4, event_id) = 1),
+stg AS (
+  SELECT * FROM h WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY bike_point_id, extraction_datetime ORDER BY ts, event_id % 4, event_id) = 1)
+SELECT {HISTORY_SELECT} FROM old
+UNION ALL
+SELECT {HISTORY_SELECT} FROM stg s
+WHERE NOT EXISTS (SELECT 1 FROM old o
+                  WHERE o.bike_point_id = s.bike_point_id AND o.extraction_datetime = s.extraction_datetime)"""
 ORACLE_SQL["stored_view_in_use"] = _w(_first_arrived()) + f"""
 SELECT {LABEL} AS num_day_of_week, day_of_week, nb_empty_docks FROM h"""
 ORACLE_SQL["stored_view_broken_docks"] = _w(_first_arrived()) + """

@@ -35,10 +35,12 @@ from dockyard.operators.summaries import (
 )
 from dockyard.plans.jobs import batch_job, setup_job, stage_job
 from dockyard.plans.serving import register_tables
-from dockyard.schema import ARRIVAL, WIRE
+from dockyard.schema import ARRIVAL, HISTORY, WIRE
+from dockyard.sinks.bucketed import create_bucketed_history, insert_ignore_bucketed
 from dockyard.sinks.files import exists
 from dockyard.sinks.metrics import write_metrics
 from dockyard.sinks.tables import read_view
+from dockyard.sinks.zones import lookup
 from dockyard.sources.events import (
     MESSAGE_COLUMNS,
     docking_rows,
@@ -185,6 +187,29 @@ def q_insert_ignore(spark, sf):
         added.select(*cols, F.lit("new").alias("origin")))
 
 
+def q_insert_ignore_bucketed(spark, sf):
+    """Insert-ignore into a bucketed catalog table, in two loads: only staging is shuffled (tests/test_history.py)."""
+    root = scratch_dir(spark, "insert_ignore_bucketed")
+    table = f"history_{uuid.uuid4().hex[:12]}"
+    create_bucketed_history(spark, table, f"{root}/history", 4)
+    rows = _history(spark, sf, keep=ARRIVAL, unit="hour")
+    for name, part in (("old", F.col("timestamp") < F.to_timestamp(F.lit(HISTORY_BEFORE))),
+                       ("new", F.col("timestamp") >= F.to_timestamp(F.lit(STAGING_FROM)))):
+        rows.where(part).write.parquet(f"{root}/{name}")
+        insert_ignore_bucketed(spark, spark.read.parquet(f"{root}/{name}"), table, ARRIVAL)
+    return oracle_types(spark.table(table).select(*HISTORY.fieldNames()))
+
+
+# Lookup: two points, Mondays and Saturdays.
+LOOKUP_POINTS, LOOKUP_WEEKDAYS = ("BikePoints_17", "BikePoints_42"), (2, 7)
+
+
+def q_history_lookup(spark, sf):
+    """History rows of two points on two weekdays, from the files that the zone map leaves."""
+    cfg = _loaded(spark, sf)
+    return oracle_types(lookup(spark, cfg.history_path, cfg.zones_path, LOOKUP_POINTS, LOOKUP_WEEKDAYS))
+
+
 def q_latest_per_point(spark, sf):
     dec = _decoded(spark, sf).withColumn("NbBrokenDocks", F.col("NbDocks") - (F.col("NbBikes") + F.col("NbEmptyDocks")))
     return latest_per_key(dec, "id", tiebreak=ARRIVAL)
@@ -493,6 +518,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_buckets": q_hour_buckets,
     "history_rows": q_history_rows,
     "insert_ignore": q_insert_ignore,
+    "insert_ignore_bucketed": q_insert_ignore_bucketed,
+    "history_lookup": q_history_lookup,
     "latest_per_point": q_latest_per_point,
     "fleet_metrics": q_fleet_metrics,
     "metrics_per_batch": q_metrics_per_batch,

@@ -7,8 +7,13 @@
   also cuts the lineage back to the topic).
 * Summaries: partitioned by date like history; a refresh replaces only the
   dates that loads touched since the last one (dynamic partition overwrite).
-  A load notes its dates before it adds rows, and a refresh notes which loads
-  it covered, so a skipped or failed refresh is made up for by the next one.
+  A load notes its dates before it adds rows; a refresh fixes the notes it will
+  cover, and removes them when it is done. A skipped or failed refresh is made
+  up for by the next one, and no log grows with the number of loads.
+* Point totals (rows without a bike over all dates): kept by the difference of
+  the touched dates' summary rows, new less stored. Which points are the top
+  ten follows from them, so the non-availability view reads the touched dates,
+  and all dates only of a point that was not among the ten before.
 * Per-row views: queries over history, nothing is copied.
 * Ranked views (peak hours, non-availability): small; each refresh writes a
   new version directory, and readers take the newest complete one. The last
@@ -27,7 +32,7 @@ from dockyard.operators.history import new_rows, on_dates_of
 from dockyard.operators.summaries import (
     daily_points_summary,
     hourly_summary,
-    non_availability_from_summary,
+    non_availability_refreshed,
     peak_hours_from_summary,
 )
 from dockyard.operators.views import broken_docks_history, in_use_by_day
@@ -39,6 +44,10 @@ from dockyard.sources.tables import read_history, scan
 # still lands in files of bounded size.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# A Bloom filter on the point in every row group, as large as its number of points calls for (1 MB at most):
+# a filter on one point skips row groups whose least and greatest point do not rule it out.
+POINT_BLOOM = {"parquet.bloom.filter.enabled#bike_point_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 
 def history_ddl(name: str = "bike_points", location: str | None = None) -> str:
     """CREATE TABLE IF NOT EXISTS for the history table (types of HISTORY, partitioned by date)."""
@@ -73,6 +82,7 @@ def append_history(df: DataFrame, path: str) -> None:
         .sortWithinPartitions("extraction_date", "bike_point_id", "extraction_datetime")
         .write.mode("append")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .options(**POINT_BLOOM)
         .partitionBy("extraction_date")
         .parquet(path)
     )
@@ -102,6 +112,7 @@ RANKED_VIEWS = {
     "mvw_peak_hours_by_day": "day_of_week string, num_day_of_week string, hour_interval string, "
                              "avg_nb_empty_docks decimal(4,2)",
     "mvw_non_availability_by_day": "num_day_of_week string, extraction_date date, bike_point_id string",
+    "point_totals": "bike_point_id string, empty_rows bigint",
 }
 ROW_VIEWS = {"mvw_in_use_bikes_by_day": in_use_by_day, "mvw_broken_docks_history": broken_docks_history}
 NOTES = "load_id string, extraction_date date"
@@ -109,24 +120,54 @@ NOTES = "load_id string, extraction_date date"
 
 def note_load(staging: DataFrame, views_path: str) -> None:
     """Note the dates that a load is about to touch, for the next refresh."""
-    dates = staging.select(F.lit(uuid.uuid4().hex).alias("load_id"), "extraction_date").distinct()
-    dates.coalesce(1).write.mode("append").parquet(f"{views_path}/_loads")
+    load_id = uuid.uuid4().hex
+    dates = staging.select(F.lit(load_id).alias("load_id"), "extraction_date").distinct()
+    dates.coalesce(1).write.parquet(f"{views_path}/_loads/{load_id}")
+
+
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under `path` that were written to the end."""
+    return [n for n in children(spark, path) if exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def _open_refresh(spark: SparkSession, views_path: str) -> tuple[str, DataFrame]:
+    """The refresh's name and the notes that it covers: those of one that was not finished, or all notes so far.
+
+    They are fixed first: a load that notes its dates meanwhile is left for the next refresh.
+    """
+    opened = _complete(spark, f"{views_path}/_open")
+    name = opened[0] if opened else f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    path = f"{views_path}/_open/{name}"
+    if not opened:
+        loads = _complete(spark, f"{views_path}/_loads")
+        notes = spark.createDataFrame([(n, None) for n in loads], NOTES)  # also loads without rows
+        if loads:
+            notes = notes.unionByName(spark.read.schema(NOTES).parquet(*[f"{views_path}/_loads/{n}" for n in loads]))
+        notes.coalesce(1).write.parquet(path)
+    return name, spark.read.schema(NOTES).parquet(path)
+
+
+def _close_refresh(spark: SparkSession, views_path: str, name: str, notes: DataFrame) -> None:
+    for (load_id,) in notes.select("load_id").distinct().collect():
+        remove(spark, f"{views_path}/_loads/{load_id}")
+    remove(spark, f"{views_path}/_pending")
+    remove(spark, f"{views_path}/_open/{name}")
 
 
 def _version(spark: SparkSession, views_path: str, name: str) -> str | None:
     """The newest complete version of a ranked view."""
     path = f"{views_path}/{name}"
-    done = [v for v in children(spark, path) if exists(spark, f"{path}/{v}/_SUCCESS")]
+    done = _complete(spark, path)
     return f"{path}/{done[-1]}" if done else None
 
 
-def materialize(df: DataFrame, views_path: str, name: str) -> str:
+def materialize(df: DataFrame, views_path: str, name: str, tag: str | None = None) -> str:
     """Write `df` as a new version of `name`; all but the last two complete versions are removed (small tables)."""
     spark = df.sparkSession
     path = f"{views_path}/{name}"
-    version = f"{path}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    version = f"{path}/v={time.time_ns():020d}-{tag or uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
-    for old in [v for v in children(spark, path) if exists(spark, f"{path}/{v}/_SUCCESS")][:-2]:
+    for old in _complete(spark, path)[:-2]:
         remove(spark, f"{path}/{old}")
     return version
 
@@ -140,10 +181,11 @@ def read_view(spark: SparkSession, history_path: str, views_path: str, name: str
     return scan(spark, _version(spark, views_path, name) or f"{views_path}/{name}/none", RANKED_VIEWS[name])
 
 
-def _write_by_date(df: DataFrame, path: str) -> None:
+def _write_by_date(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
     """Replace the dates present in `df` of a date-partitioned table."""
     (
         df.hint("rebalance", "extraction_date")  # few, full files per date (see append_history)
+        .sortWithinPartitions("extraction_date", *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -152,28 +194,44 @@ def _write_by_date(df: DataFrame, path: str) -> None:
     )
 
 
+def _refresh_totals(spark: SparkSession, history_path: str, views_path: str, name: str, fresh: DataFrame,
+                    todo: DataFrame) -> None:
+    """Add to each point's total what the touched dates have gained, once per refresh even if it is repeated."""
+    if (_version(spark, views_path, "point_totals") or "").endswith(name):
+        return
+    stored = on_dates_of(read_view(spark, history_path, views_path, "summary_daily_points"), todo)
+    n = F.col("nb_rows_without_bikes")
+    gains = fresh.select("bike_point_id", n.alias("n")).unionByName(stored.select("bike_point_id", (-n).alias("n")))
+    totals = read_view(spark, history_path, views_path, "point_totals")
+    totals = totals.withColumnRenamed("empty_rows", "n").unionByName(gains.groupBy("bike_point_id").agg(F.sum("n").alias("n")))
+    totals = totals.groupBy("bike_point_id").agg(F.sum("n").alias("empty_rows"))
+    materialize(totals, views_path, "point_totals", name)
+
+
 def refresh_views(spark: SparkSession, history_path: str, views_path: str) -> dict[str, str]:
     """Bring the summaries and the ranked views up to date with history.
 
     The summaries' dates that noted loads touched since the last refresh are
-    computed again, from those history partitions only; the ranked views are
-    then computed from the summaries, which are far smaller than history. Same
-    result as a full rebuild; safe to repeat after a failure.
+    computed again, from those history partitions only. The peak hours come
+    from the hourly summary (at most 24 rows a date), the non-availability view
+    from the point totals and the touched dates' rows. Same result as a full
+    rebuild; safe to repeat after a failure.
     """
-    loads = scan(spark, f"{views_path}/_loads", NOTES)
-    seen = scan(spark, f"{views_path}/_refreshed", "load_id string")
-    # The notes to cover are fixed first: a load that notes its dates meanwhile is left for the next refresh.
-    open_loads = f"{views_path}/_open"
-    loads.join(seen.distinct(), "load_id", "left_anti").coalesce(1).write.mode("overwrite").parquet(open_loads)
-    todo = spark.read.schema(NOTES).parquet(open_loads)
+    name, notes = _open_refresh(spark, views_path)
+    todo = notes.where("extraction_date IS NOT NULL")
     scope = on_dates_of(read_history(spark, history_path), todo)
-    out = {}
-    for name, summary in (("summary_hourly", hourly_summary), ("summary_daily_points", daily_points_summary)):
-        out[name] = f"{views_path}/{name}"
-        _write_by_date(summary(scope), out[name])
-    hourly, daily = (read_view(spark, history_path, views_path, n) for n in SUMMARIES)
-    ranked = {"mvw_peak_hours_by_day": peak_hours_from_summary(hourly),
-              "mvw_non_availability_by_day": non_availability_from_summary(daily)}
-    out.update({name: materialize(df, views_path, name) for name, df in ranked.items()})
-    todo.select("load_id").distinct().coalesce(1).write.mode("append").parquet(f"{views_path}/_refreshed")
+    out = {n: f"{views_path}/{n}" for n in SUMMARIES}
+    daily_points_summary(scope).write.mode("overwrite").parquet(f"{views_path}/_pending/daily")
+    fresh = scan(spark, f"{views_path}/_pending/daily", SUMMARIES["summary_daily_points"])
+    _refresh_totals(spark, history_path, views_path, name, fresh, todo)
+    _write_by_date(fresh, out["summary_daily_points"], ("bike_point_id",))
+    _write_by_date(hourly_summary(scope), out["summary_hourly"])
+    view = {n: read_view(spark, history_path, views_path, n) for n in (*SUMMARIES, *RANKED_VIEWS)}
+    ranked = {
+        "mvw_peak_hours_by_day": peak_hours_from_summary(view["summary_hourly"]),
+        "mvw_non_availability_by_day": non_availability_refreshed(
+            view["mvw_non_availability_by_day"], view["point_totals"], fresh, todo, view["summary_daily_points"]),
+    }
+    out.update({n: materialize(df, views_path, n) for n, df in ranked.items()})
+    _close_refresh(spark, views_path, name, notes)
     return out
