@@ -69,6 +69,10 @@ class Config:
     def views_path(self) -> str:
         return f"{self.warehouse}/views"
 
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.warehouse}/quarantine"
+
     @property
     def zones_path(self) -> str:
         return f"{self.warehouse}/zones"

@@ -3,13 +3,14 @@ the metrics store's upkeep."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockyard.config import STREAM_TRIGGER, Config
-from dockyard.operators.enrich import history_from_wire
+from dockyard.operators.enrich import enrich, history_from_wire
 from dockyard.operators.staging import encode_messages, flatten_snapshot
+from dockyard.operators.triage import observed, triage
 from dockyard.schema import ARRIVAL, WIRE
 from dockyard.sinks.files import exists
 from dockyard.sinks.jdbc import write_jdbc
@@ -77,15 +78,36 @@ def publish(flat: DataFrame, cfg: Config) -> None:
     write_messages(encode_messages(framed, keep=ARRIVAL).select(*WIRE.fieldNames()), "parquet", {"path": cfg.topic_dir})
 
 
-def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bool = True) -> None:
+def sort_out(spark: SparkSession, cfg: Config, msgs: DataFrame, batch_id: int) -> tuple[DataFrame, dict]:
+    """Triage of one load's messages: the good ones, decoded, and the numbers counted on the way.
+
+    All are decoded and stored once; the rejected ones go to the quarantine, with reason and arrival, under the load's
+    number, so that a load that is repeated replaces its own.
+    """
+    counts = Observation()
+    path = f"{cfg.warehouse}/_triage"
+    observed(triage(msgs, ARRIVAL), counts).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    bad = rows.where("reason IS NOT NULL").select("value", *ARRIVAL, "reason")
+    bad.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/load={batch_id}")
+    return rows.where("reason IS NULL").drop("reason", "value"), counts.get
+
+
+def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bool = True,
+                  quarantine: int | None = None) -> dict:
     """One load: messages -> staging (replaced) -> insert-ignore into history -> zone map -> view refresh.
 
     Staging is written before the load, so the load reads a stored table and
     never goes back to the topic. Among messages with one key the first to
     arrive counts. The refresh covers the dates of this load and of earlier
-    ones that went without it.
+    ones that went without it. With `quarantine` (a number of the load) rejected
+    messages are kept (see `sort_out`) and their numbers returned.
     """
-    rows = history_from_wire(msgs, keep=ARRIVAL)
+    if quarantine is None:
+        rows, counts = history_from_wire(msgs, keep=ARRIVAL), {}
+    else:
+        good, counts = sort_out(spark, cfg, msgs, quarantine)
+        rows = enrich(good, ARRIVAL)
     write_staging(rows, cfg.staging_path)
     staging = spark.read.parquet(cfg.staging_path)
     if cfg.jdbc_url:
@@ -96,31 +118,37 @@ def load_messages(spark: SparkSession, cfg: Config, msgs: DataFrame, refresh: bo
     note_zones(spark, cfg.history_path, cfg.zones_path, staging)
     if refresh:
         refresh_views(spark, cfg.history_path, cfg.views_path)
+    return counts
 
 
-def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True, incremental: bool = False) -> None:
+def batch_job(spark: SparkSession, cfg: Config, refresh: bool = True, incremental: bool = False,
+              quarantine: bool = False) -> dict:
     """Topic -> staging -> insert-ignore into history -> refresh the four views.
 
     Default: one batch scan of everything the topic retains (the original
     daily run; already-stored keys are skipped). `incremental=True` runs the
     same load under Structured Streaming with an `availableNow` trigger and a
     checkpoint: each message is read once across runs instead of re-reading
-    the whole retention every day. Any failure stops the chain.
+    the whole retention every day. Any failure stops the chain. With
+    `quarantine`, messages that the validity filter leaves out are stored with
+    the reason; returned are the numbers of good and rejected messages (the
+    whole topic is number 0, each incremental micro-batch has its own).
     """
     fmt, opts = cfg.message_source()
     if not incremental:
-        load_messages(spark, cfg, read_messages(spark, fmt, opts), refresh)
-        return
+        return load_messages(spark, cfg, read_messages(spark, fmt, opts), refresh, 0 if quarantine else None)
     if fmt == "kafka":
         opts = {**opts, "startingOffsets": "earliest"}
     stream = read_messages(spark, fmt, opts, streaming=True)
-    q = (
-        stream.writeStream.option("checkpointLocation", cfg.checkpoint("batch"))
-        .foreachBatch(lambda batch, _id: load_messages(spark, cfg, batch, refresh))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    total: dict = {}
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        for name, n in load_messages(spark, cfg, batch, refresh, batch_id if quarantine else None).items():
+            total[name] = total.get(name, 0) + n
+
+    w = stream.writeStream.option("checkpointLocation", cfg.checkpoint("batch")).foreachBatch(load)
+    w.trigger(availableNow=True).start().awaitTermination()
+    return total
 
 
 def compact_job(spark: SparkSession, cfg: Config, as_of=None) -> list[str]:

@@ -361,3 +361,38 @@ SELECT after.day AS window_start, count(*) AS nb_points,
        CAST(sum(greatest(before.NbBikes - after.NbBikes, 0)) AS BIGINT) AS nb_left
 FROM closed AS before JOIN closed AS after ON after.id = before.id AND after.day = before.day + INTERVAL 1 DAY
 GROUP BY after.day"""
+
+ORACLE_SQL["speed_job"] = ORACLE_SQL["fleet_metrics"]
+
+# At 2024-01-26 09:00 with ten days to live: dates from 2024-01-15 on stay; those before the 26th are folded.
+ORACLE_SQL["compacted_metrics"] = _w(_metrics_log()) + f""",
+dated AS (SELECT *, CAST(written_at AS DATE) AS written_date FROM log),
+folded AS (
+  SELECT * FROM dated WHERE written_date < DATE '2024-01-26'
+  QUALIFY row_number() OVER (PARTITION BY written_date, min_extraction_datetime, max_extraction_datetime
+                             ORDER BY written_at DESC, batch_id DESC) = 1)
+SELECT {METRICS_COLS}, written_at, run_id, batch_id, CAST(written_date AS TIMESTAMP) AS written_date FROM folded
+WHERE written_date >= DATE '2024-01-15'
+UNION ALL
+SELECT {METRICS_COLS}, written_at, run_id, batch_id, CAST(written_date AS TIMESTAMP) AS written_date FROM dated
+WHERE written_date >= DATE '2024-01-26'"""
+
+ORACLE_SQL["rejected_messages"] = """
+WITH m AS (
+  SELECT CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'unreadable' WHEN event_id % 13 = 0 THEN 'no_id'
+              WHEN event_id % 17 = 0 THEN 'no_instant' WHEN event_id % 19 = 0 THEN 'bad_instant' ELSE 'good' END AS reason
+  FROM events),
+n AS (SELECT reason, count(*) AS n FROM m GROUP BY reason UNION ALL SELECT 'messages', count(*) FROM m)
+SELECT reason, n AS nb_stored, n AS nb_counted FROM n"""
+
+ORACLE_SQL["catalog_sql"] = _w(_first_arrived()) + _TOP10 + f""",
+by_date AS (
+  SELECT extraction_date, {LABEL} AS label, count(*) AS nb_rows, CAST(sum(nb_bikes) AS BIGINT) AS nb_bikes,
+         round(100 * sum(nb_bikes) / sum(nb_docks), 2) AS percentage_bikes, CAST(sum(nb_broken_docks) AS BIGINT) AS nb_broken,
+         max(nb_broken_docks) AS max_nb_broken_docks, max(hour(extraction_datetime)) AS last_hour
+  FROM h GROUP BY ALL),
+points AS (
+  SELECT extraction_date, count(DISTINCT bike_point_id) AS nb_points FROM h SEMI JOIN emptiest USING (bike_point_id) GROUP BY 1)
+SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, label, nb_rows, nb_bikes, percentage_bikes, nb_broken,
+       max_nb_broken_docks, concat('[', (last_hour // 2) * 2, ', ', ((last_hour // 2) * 2 + 2) % 24, '[') AS last_slot, nb_points
+FROM by_date LEFT JOIN points USING (extraction_date) WHERE extraction_date >= DATE '2024-01-08'"""

@@ -12,6 +12,7 @@ converts them to. The library functions themselves keep decimal/date types.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -33,12 +34,13 @@ from dockyard.operators.summaries import (
     non_availability_from_summary,
     peak_hours_from_summary,
 )
-from dockyard.plans.jobs import batch_job, setup_job, stage_job
+from dockyard.plans.catalog import ask, publish
+from dockyard.plans.jobs import batch_job, setup_job, speed_job, stage_job
 from dockyard.plans.serving import register_tables
 from dockyard.schema import ARRIVAL, HISTORY, WIRE
 from dockyard.sinks.bucketed import create_bucketed_history, insert_ignore_bucketed
 from dockyard.sinks.files import exists
-from dockyard.sinks.metrics import write_metrics
+from dockyard.sinks.metrics import compact_metrics, write_metrics
 from dockyard.sinks.tables import read_view
 from dockyard.sinks.zones import lookup
 from dockyard.sources.events import (
@@ -49,7 +51,7 @@ from dockyard.sources.events import (
     wire_messages,
 )
 from dockyard.sources.messages import read_messages
-from dockyard.sources.tables import read_history, read_metrics
+from dockyard.sources.tables import metrics_files, read_history, read_metrics
 from dockyard.streaming.fleet_state import fleet_history, run_fleet_stream
 from dockyard.streaming.windows import run_moves_stream, run_windows_stream, turnover, window_metrics
 from dockyard.streaming.metrics_stream import SPEED_FIELDS, poll_metrics, run_metrics_stream, run_polls_stream
@@ -63,6 +65,8 @@ CURRENT_AS_OF = "2024-01-30 12:00:00"  # chart_current_state / metrics_ttl clock
 TTL_AS_OF = "2024-01-25 00:30:00"
 TOPIC_AS_OF = "2024-01-20 00:00:00"
 UPSERT_AS_OF = "2024-01-31 00:00:00"
+COMPACT_AS_OF = "2024-01-26 09:00:00"
+COMPACT_TTL_SECONDS = 10 * 86_400
 UPSERT_TTL_SECONDS = 40 * 86_400  # keeps every row alive, so only last-write-wins acts
 
 
@@ -327,6 +331,70 @@ def q_window_turnover(spark, sf):
     return turnover(spark, f"{root}/sink")
 
 
+def q_speed_job(spark, sf):
+    """The speed job as users run it: its 3 s trigger over a file topic, stopped when it has seen everything, then
+    started again, when it finds nothing new and adds no row."""
+    root = scratch_dir(spark, "speed_job")
+    cfg = Config(warehouse=f"{root}/warehouse", topic_dir=f"{root}/topic")
+    wire_messages(_rows(spark, sf)).write.parquet(cfg.topic_dir)
+    for _ in range(2):
+        q = speed_job(spark, cfg, wait=False)
+        q.processAllAvailable()
+        q.stop()
+    return read_metrics(spark, cfg.metrics_path).drop("written_at", "run_id", "batch_id")
+
+
+def q_compacted_metrics(spark, sf):
+    """A metrics store of one write date per poll (day), compacted at a fixed instant: expired dates are gone, the
+    others are one file each, and rows written twice are folded."""
+    root = scratch_dir(spark, "compacted_metrics")
+    log = _metrics_log(spark, sf).select("*", F.to_date("written_at").alias("written_date"))
+    log.coalesce(4).write.partitionBy("written_date").parquet(f"{root}/log")
+    compact_metrics(spark, root, COMPACT_AS_OF, COMPACT_TTL_SECONDS)
+    return metrics_files(spark, root).withColumn("written_date", F.col("written_date").cast("timestamp"))
+
+
+def q_rejected_messages(spark, sf):
+    """Messages by what became of them in the batch job: loaded, or in the quarantine with a reason."""
+    root = scratch_dir(spark, "rejected")
+    cfg = Config(warehouse=f"{root}/warehouse", topic_dir=f"{root}/topic")
+    rows = _rows(spark, sf)
+    wire = wire_messages(rows)
+    text, of = F.col("value").cast("string"), lambda n: F.col("offset") % n == 0
+    changed = F.when(of(7), F.expr("substring(text, 1, length(text) - 9)")).when(of(11), F.lit("[1, 2]")).when(
+        of(13), F.regexp_replace("text", '"id":"[^"]*",', "")).when(
+        of(17), F.regexp_replace("text", ',"extraction_datetime":"[^"]*"', "")).when(
+        of(19), F.regexp_replace("text", '"extraction_datetime":"[^"]*"', '"extraction_datetime":"soon"')).otherwise(F.col("text"))
+    wire = wire.withColumn("text", text).withColumn("value", F.encode(changed, "UTF-8")).drop("text")
+    wire.write.parquet(cfg.topic_dir)
+    counts = batch_job(spark, cfg, refresh=False, quarantine=True)
+    kept = spark.read.parquet(cfg.quarantine_path).groupBy("reason").agg(F.count(F.lit(1)).alias("nb_stored"))
+    loaded = spark.read.parquet(cfg.staging_path).agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("nb_stored"))
+    seen = spark.createDataFrame([(k, v) for k, v in counts.items()], "reason string, nb_counted bigint")
+    every = spark.read.parquet(cfg.topic_dir).agg(F.lit("messages").alias("reason"), F.count(F.lit(1)).alias("nb_stored"))
+    return kept.unionByName(loaded).unionByName(every).join(seen, "reason")
+
+
+def q_catalog_sql(spark, sf):
+    """Plain SQL in a session that never registered anything: permanent views, SQL functions, a bound parameter."""
+    cfg = _loaded(spark, sf)
+    database = f"served_{uuid.uuid4().hex[:12]}"
+    publish(spark, cfg, database)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return ask(other, f"""
+        SELECT CAST(b.extraction_date AS TIMESTAMP) AS extraction_date, {database}.day_label(b.day_of_week_number, b.day_of_week) AS label,
+               b.nb_rows, b.nb_bikes, {database}.percent_of(b.nb_bikes, b.nb_docks) AS percentage_bikes, b.nb_broken,
+               c.max_nb_broken_docks, {database}.hour_bucket(b.last_hour) AS last_slot, v.nb_points
+        FROM (SELECT extraction_date, day_of_week_number, day_of_week, count(*) AS nb_rows, sum(nb_bikes) AS nb_bikes,
+                     sum(nb_docks) AS nb_docks, max(CAST(hour AS INT)) AS last_hour,
+                     sum({database}.broken_docks(nb_docks, nb_bikes, nb_empty_docks)) AS nb_broken
+              FROM {database}.bike_points WHERE extraction_date >= :first GROUP BY ALL) b
+        JOIN {database}.chart_broken_docks_by_date c USING (extraction_date)
+        LEFT JOIN (SELECT extraction_date, count(*) AS nb_points FROM {database}.mvw_non_availability_by_day
+                   GROUP BY extraction_date) v USING (extraction_date)""", first=dt.date(2024, 1, 8))
+
+
 def q_view_in_use(spark, sf):
     return views.in_use_by_day(_history(spark, sf))
 
@@ -527,6 +595,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fleet_state_by_poll": q_fleet_state_by_poll,
     "late_windows": q_late_windows,
     "window_turnover": q_window_turnover,
+    "speed_job": q_speed_job,
+    "compacted_metrics": q_compacted_metrics,
+    "rejected_messages": q_rejected_messages,
+    "catalog_sql": q_catalog_sql,
     "view_in_use": q_view_in_use,
     "view_non_availability": q_view_non_availability,
     "view_non_availability_only_empty": q_view_non_availability_only_empty,
