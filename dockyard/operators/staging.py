@@ -42,8 +42,8 @@ def wall_clock(ts: Column, tz: str | None) -> Column:
     return F.substring(local.cast("string"), 1, len("yyyy-MM-dd HH:mm:ss"))
 
 
-def flatten_snapshot(raw: DataFrame, tz: str | None = None) -> DataFrame:
-    """One flat message row per snapshot element (no UDF, one projection).
+def flatten_snapshot(raw: DataFrame, tz: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One flat message row per snapshot element (no UDF, one projection); `keep` columns come after its own.
 
     Bad integer text gives a null field and an element without attributes a
     null `extraction_datetime`; the row is kept either way (it is dropped later
@@ -58,7 +58,7 @@ def flatten_snapshot(raw: DataFrame, tz: str | None = None) -> DataFrame:
     cols += [attribute(k).alias(k) for k in STRING_ATTRIBUTES]
     cols += [attribute(k).try_cast("int").alias(k) for k in INT_ATTRIBUTES]
     cols.append(wall_clock(newest_modified(), tz).alias("extraction_datetime"))
-    return raw.select(*cols)
+    return raw.select(*cols, *keep)
 
 
 def encode_messages(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -396,3 +396,10 @@ points AS (
 SELECT CAST(extraction_date AS TIMESTAMP) AS extraction_date, label, nb_rows, nb_bikes, percentage_bikes, nb_broken,
        max_nb_broken_docks, concat('[', (last_hour // 2) * 2, ', ', ((last_hour // 2) * 2 + 2) % 24, '[') AS last_slot, nb_points
 FROM by_date LEFT JOIN points USING (extraction_date) WHERE extraction_date >= DATE '2024-01-08'"""
+
+ORACLE_SQL["topic_after_retention"] = ORACLE_SQL["topic_retention"]
+ORACLE_SQL["unknown_attributes"] = _w(_derived()) + """
+SELECT id, count(*) AS nb_terminals, CAST(min(event_id % 100000) AS INTEGER) AS least_terminal,
+       CAST(max(event_id % 100000) AS INTEGER) AS greatest_terminal, CAST(0 AS BIGINT) AS nb_absent,
+       max(extraction_datetime) AS newest
+FROM d GROUP BY id"""

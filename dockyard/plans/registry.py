@@ -24,6 +24,7 @@ from dockyard.config import Config, scratch_dir
 from dockyard.operators import charts, views
 from dockyard.operators.decode import decode_messages, decode_valid
 from dockyard.operators.enrich import history_from_wire
+from dockyard.operators.extras import decode_extras, flatten_with_extras
 from dockyard.operators.history import first_per_key, new_rows
 from dockyard.operators.metrics import latest_per_key, fleet_metrics
 from dockyard.operators.retention import current_metrics, topic_retention, within_retention
@@ -42,6 +43,7 @@ from dockyard.sinks.bucketed import create_bucketed_history, insert_ignore_bucke
 from dockyard.sinks.files import exists
 from dockyard.sinks.metrics import compact_metrics, write_metrics
 from dockyard.sinks.tables import read_view
+from dockyard.sinks.topic import expire_segments, read_segments, write_segments
 from dockyard.sinks.zones import lookup
 from dockyard.sources.events import (
     MESSAGE_COLUMNS,
@@ -137,6 +139,17 @@ def q_flatten_snapshot(spark, sf):
     return oracle_types(decode_messages(encode_messages(flat)))
 
 
+def q_unknown_attributes(spark, sf):
+    """An attribute that is not among the six fixed ones: snapshot -> message -> read by key and type, per point."""
+    flat = flatten_with_extras(snapshot_rows(_rows(spark, sf)), tz="UTC")
+    wanted = {"terminal": ("TerminalName", "int"), "absent": ("NoSuchAttribute", "string")}
+    rows = decode_extras(encode_messages(flat), wanted)
+    return rows.groupBy("id").agg(
+        F.count("terminal").alias("nb_terminals"), F.min("terminal").alias("least_terminal"),
+        F.max("terminal").alias("greatest_terminal"), F.count("absent").alias("nb_absent"),
+        F.max("extraction_datetime").alias("newest"))
+
+
 def q_valid_rows(spark, sf):
     rows = _rows(spark, sf)
     good = wire_messages(rows).select("value")
@@ -560,6 +573,15 @@ def q_topic_retention(spark, sf):
     return decode_messages(live, keep=("offset", "timestamp")).select("id", "extraction_datetime", "offset", "timestamp")
 
 
+def q_topic_after_retention(spark, sf):
+    """The topic in hourly segments: expired ones are removed, then what is still held is read and decoded."""
+    path = f"{scratch_dir(spark, 'segments')}/topic"
+    write_segments(wire_messages(_rows(spark, sf)), path)
+    expire_segments(spark, path, TOPIC_AS_OF)
+    held = read_segments(spark, path, TOPIC_AS_OF)
+    return decode_messages(held, keep=("offset", "timestamp")).select("id", "extraction_datetime", "offset", "timestamp")
+
+
 def q_unified_sql(spark, sf):
     """SQL over the served namespace: the stored history and the metrics store, each by date, joined."""
     register_tables(spark, _loaded(spark, sf))
@@ -580,6 +602,7 @@ def q_unified_sql(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_messages": q_decode_messages,
     "flatten_snapshot": q_flatten_snapshot,
+    "unknown_attributes": q_unknown_attributes,
     "valid_rows": q_valid_rows,
     "broken_docks": q_broken_docks,
     "calendar_fields": q_calendar_fields,
@@ -616,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_upsert": q_metrics_upsert,
     "metrics_ttl": q_metrics_ttl,
     "topic_retention": q_topic_retention,
+    "topic_after_retention": q_topic_after_retention,
     "unified_sql": q_unified_sql,
     "metrics_after_restart": q_metrics_after_restart,
     "staged_messages": q_staged_messages,
