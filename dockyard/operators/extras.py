@@ -41,10 +41,16 @@ def decode_extras(wire: DataFrame, wanted: Mapping[str, tuple[str, str]], keep:
     One parse per message, whatever the number of attributes.
     """
     parsed = wire.select(F.try_parse_json(F.col("value").cast("string")).alias("v"), *keep)
-    path = lambda key: "$." + EXTRA + "['" + key.replace("'", "\\'") + "']"
     return parsed.select(
         F.try_variant_get("v", "$.id", "string").alias("id"),
         F.try_to_timestamp(F.try_variant_get("v", "$.extraction_datetime", "string"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("extraction_datetime"),
         *keep,
-        *[F.try_variant_get("v", path(key), kind).alias(name) for name, (key, kind) in wanted.items()],
+        *[F.try_variant_get("v", _path(key), kind).alias(name) for name, (key, kind) in wanted.items()],
     )
+
+
+def _path(key: str) -> str:
+    quote = next((q for q in "\"'" if q not in key), None)
+    if quote is None:
+        raise ValueError(f"a path can't name {key!r}: it has both kinds of quotes")
+    return f"$.{EXTRA}[{quote}{key}{quote}]"
