@@ -42,7 +42,7 @@ from dockyard.llm.automata import (
 from dockyard.llm.shared import stored
 
 MAX_WORDS, MIN_COUNT, COVER, TOP = 3, 10, 50, 2_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 RANGE_ARCS = 1_000_000
 #: Parts that one transducer is cut into at most; more ranges take more rounds.
 FANOUT = 256
@@ -178,7 +178,7 @@ def _united(batches: Iterator[pa.RecordBatch], most_arcs: int) -> Trie:
     for batch in batches:
         for raw in batch["automaton"]:
             held.append(Transducer.loads(raw.as_py()).trie())
-            if len(held) > 1 and sum(map(len, held[1:])) > max(most_arcs // 2, len(held[0])):
+            if len(held) > 1 and sum(map(len, held[1:])) > max(most_arcs // 4, len(held[0])):
                 held = [union(held)]
     return union(held)
 
