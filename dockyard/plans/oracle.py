@@ -265,7 +265,7 @@ h AS (
 
 ORACLE_SQL["history_after_loads"] = _w(_first_arrived()) + f"\nSELECT {HISTORY_SELECT} FROM h"
 ORACLE_SQL["history_lookup"] = ORACLE_SQL["history_after_loads"] + """
-WHERE bike_point_id IN ('BikePoints_17', 'BikePoints_42') AND day_of_week_number IN (2, 7)"""
+WHERE bike_point_id IN ('BikePoints_7', 'BikePoints_42') AND day_of_week_number IN (2, 7)"""
 ORACLE_SQL["insert_ignore_bucketed"] = _w(_history("hour")) + f""",
 old AS (
   SELECT * FROM h WHERE ts < TIMESTAMP '2024-01-20 00:00:00'

@@ -218,7 +218,7 @@ def q_insert_ignore_bucketed(spark, sf):
 
 
 # Lookup: two points, Mondays and Saturdays.
-LOOKUP_POINTS, LOOKUP_WEEKDAYS = ("BikePoints_17", "BikePoints_42"), (2, 7)
+LOOKUP_POINTS, LOOKUP_WEEKDAYS = ("BikePoints_7", "BikePoints_42"), (2, 7)
 
 
 def q_history_lookup(spark, sf):
