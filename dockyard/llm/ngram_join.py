@@ -9,11 +9,15 @@ Two texts are linked if the Jaccard similarity of their sets of 5-word n-grams i
    that find a pair at the threshold with the target recall. Shuffled on the band hash, every bucket links its
    members to its least one: a star, not all pairs. The stars' connected components are candidate groups, and any
    two representatives that share a bucket are in one group.
-3. Each group is verified on full n-gram sets. Its members are dealt by hash into blocks of bounded size, and each
+3. A group that fills more than one block falls apart first, without losing a link: with n-grams ordered by how many
+   of the group hold them, two linked sets share one among the rarest |set| - threshold * |set| + 1 of each. Stars on
+   these n-grams and their components are the groups that remain. Texts that share much (a template, a licence) but
+   less than the threshold have rare n-grams of their own in front, share none of them, and are compared with nobody.
+4. Each group is verified on full n-gram sets. Its members are dealt by hash into blocks of bounded size, and each
    pair of blocks is one task's work: a matrix product over shared n-grams gives all intersections at once. Out come
    each member's number of links and a spanning forest of the links, at most one row per member and pair of blocks.
    Pairs are never rows.
-4. Components of the forests, and of the different texts of one doc_id, are the classes.
+5. Components of the forests, and of the different texts of one doc_id, are the classes.
 
 Every join is a sort-merge join at every size: what a small table would broadcast grows with the corpus.
 
@@ -211,14 +215,44 @@ def _candidate_groups(reps: DataFrame) -> DataFrame:
     return components(stars, "ngram-candidates").select(F.col("node").alias("rep"), F.col("root").alias("grp"))
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """One row per member and pair of blocks i <= j that its block is in: grp, i, j, side, rep, set_hash, copies."""
+def _parts(members: DataFrame) -> DataFrame:
+    """`members` with `parts`, the number of blocks of their group."""
     size = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("g"))
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("g") / BLOCK_GRAMS)).cast("int")
     size = stored(size.select(F.col("grp").alias("of"), parts.alias("parts")), "ngram-groups")
-    dealt = members.join(size.hint("merge"), F.col("grp") == F.col("of")).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    return stored(members.join(size.hint("merge"), F.col("grp") == F.col("of")).drop("of"), "ngram-dealt")
+
+
+def _split(wide: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The members of groups with more than one block, in smaller groups; those that can have no link are left out.
+
+    Of a set's n-grams, those that nobody else in the group holds come first in the order, so the prefix has
+    size(shared) - threshold * grams + 1 of the shared ones.
+    """
+    held = stored(wide.select("grp", "rep", "grams").join(sets.select("rep", "sets").hint("merge"), "rep"), "ngram-wide")
+    rows = held.select("grp", "rep", "grams", F.explode("sets").alias("gram"))
+    often = rows.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = stored(often.select(F.col("grp").alias("of"), F.col("gram").alias("common"), "n"), "ngram-often")
+    ranked = (
+        rows.join(often.hint("merge"), (F.col("grp") == F.col("of")) & (F.col("gram") == F.col("common")))
+        .groupBy("grp", "rep", "grams")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("shared"))
+        .withColumn("take", F.size("shared") - F.ceil(F.col("grams") * threshold - 1e-9) + 1)
+        .where("take > 0")
     )
+    rarest = F.slice(F.col("shared.gram"), F.lit(1), F.col("take").cast("int"))
+    prefixes = stored(ranked.select("grp", "rep", F.explode(rarest).alias("gram")), "ngram-prefixes")
+    least = prefixes.groupBy("grp", "gram").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = stored(least.select(F.col("grp").alias("of"), F.col("gram").alias("common"), "least"), "ngram-rarest")
+    stars = prefixes.join(least.hint("merge"), (F.col("grp") == F.col("of")) & (F.col("gram") == F.col("common")))
+    stars = stars.where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    fine = components(stars, "ngram-splits").select(F.col("node").alias("rep"), F.col("root").alias("grp"))
+    return stored(wide.drop("grp", "parts").join(fine.hint("merge"), "rep"), "ngram-fine")
+
+
+def _blocks(dealt: DataFrame) -> DataFrame:
+    """One row per member and pair of blocks i <= j that its block is in: grp, i, j, side, rep, set_hash, copies."""
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     pairs = F.when(
         F.col("parts") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
     ).otherwise(
@@ -280,7 +314,11 @@ def classes(
     sets = sets.select(F.col("doc_id").alias("doc"), "s.set_hash", "s.sets").dropDuplicates(["doc", "set_hash"])
     sets = sets.join(members.select("doc", "set_hash", "rep").hint("merge"), ["doc", "set_hash"])
     sets = stored(sets.select("rep", "set_hash", "sets"), "ngram-sets")
-    work = _blocks(members).join(sets.hint("merge"), ["rep", "set_hash"])
+    dealt = _parts(members)
+    wide = dealt.where("parts > 1")
+    if not wide.isEmpty():
+        dealt = dealt.where("parts = 1").unionByName(_parts(_split(wide, sets, threshold)))
+    work = _blocks(dealt).join(sets.hint("merge"), ["rep", "set_hash"])
     checked = work.groupBy("grp", "i", "j").applyInPandas(verifier(threshold), "rep bigint, links bigint, to bigint")
     checked = stored(checked, "ngram-checked")
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -104,6 +104,43 @@ def test_ngram_join_keeps_one_of_each_class(make):
     assert ngram_join.deduped(docs.where("doc_id = 800")).count() == 1
 
 
+def templates(rng, n, shared=120, own=80):
+    """Texts with a common template: any two have a similarity of about 0.41."""
+    base = " ".join(f"t{i}" for i in range(shared))
+    return [(i, base + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(own))) for i in range(n)]
+
+
+def test_ngram_join_of_templates_is_linear(make, monkeypatch):
+    """Texts that share a template and no link are compared with nobody; near copies among them keep all links."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 16)
+    compared, blocks = [], ngram_join._blocks
+
+    def counted(dealt):
+        out = blocks(dealt)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_blocks", counted)
+    rng = random.Random(11)
+    sizes = (150, 300)
+    for n in sizes:
+        rows = templates(rng, n)
+        rows += [(n + i, text.replace("t60 ", f"v{i} ")) for i, text in rows[:20]]  # a template with a slot: links of 0.95
+        rng.shuffle(rows)
+        got = ngram_join.digest(make(*rows)).collect()
+        assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == near(rows)
+    assert compared == [40, 40]  # the 20 pairs alone, whatever the number of templates
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_ngram_join_finds_all_links_of_the_given_documents(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in queries.QUERIES["op5_ngram_join"](spark, f"/root/testdata/{sf}").collect())
+    want = near([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert sum(n for _, _, n in want) > 0
+    assert got == want
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 > 1 - (1 - 0.8**rows) ** (bands - 1)
