@@ -1,6 +1,6 @@
 r"""DuckDB SQL of the training-data queries that SQL can express.
 
-The others (edit distances, token vocabularies, places of pattern matches, similarity classes, fitted models) are
+The others (edit distances, token vocabularies, places of pattern matches, fitted models) are
 held against brute force or held-out labels in tests/llm.
 """
 
@@ -148,8 +148,50 @@ FROM d
 """
 
 
+#: All pairs of different n-gram sets that share an n-gram, exactly; classes by the pairs' closure.
+NGRAM_JOIN = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(
+    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS grams
+  FROM t WHERE len(w) > 0
+), e AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(grams, chr(10))) AS k, grams FROM s
+), r AS (
+  SELECT k, any_value(len(grams)) AS size, count(*) AS copies, min(doc_id) AS doc FROM e GROUP BY k
+), g AS (
+  SELECT k, unnest(any_value(grams)) AS gram FROM e GROUP BY k
+), shared AS (
+  SELECT k, gram FROM g QUALIFY count(*) OVER (PARTITION BY gram) > 1
+), p AS (
+  SELECT a.k AS x, b.k AS y, count(*) AS common FROM shared AS a JOIN shared AS b ON a.gram = b.gram AND a.k < b.k GROUP BY ALL
+), near AS (
+  SELECT x, y FROM p JOIN r AS a ON a.k = x JOIN r AS b ON b.k = y WHERE common >= 0.8 * (a.size + b.size - common) - 1e-9
+), link AS (
+  SELECT x, y FROM near UNION ALL SELECT y, x FROM near
+), n AS (
+  SELECT x AS k, sum(copies) AS links FROM link JOIN r ON r.k = y GROUP BY x
+), joined AS (
+  SELECT x, y FROM link UNION SELECT a.k, b.k FROM e AS a JOIN e AS b USING (doc_id) WHERE a.k <> b.k
+), reach AS (
+  SELECT k, k AS other FROM r UNION SELECT reach.k, y FROM reach JOIN joined ON x = other
+), class AS (
+  SELECT reach.k, min(doc) AS class_doc FROM reach JOIN r ON r.k = other GROUP BY reach.k
+), f AS (
+  SELECT doc_id, min(class_doc) AS class_id, sum(coalesce(links, 0) + copies - 1)::BIGINT AS n_links,
+    (sum(copies - 1) + 1)::BIGINT AS n_copies
+  FROM e JOIN r USING (k) JOIN class USING (k) LEFT JOIN n USING (k) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links,
+  coalesce(n_copies, 1)::BIGINT AS n_copies
+FROM documents AS d LEFT JOIN f USING (doc_id)
+"""
+
+
 ORACLE_SQL = {
     "op4_mixing": MIXING,
+    "op5_ngram_join": NGRAM_JOIN,
     "op8_line_dedup": LINE_DEDUP,
     "op10_quality_rules": _quality_rules(),
     "op11_phrase_mining": PHRASES,
