@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import collections
 import itertools
+import math
+import re
 import zlib
 
 import numpy as np
@@ -125,6 +128,61 @@ def test_discriminant_is_the_density_ratio():
     assert np.allclose(model.score(x), 1 / (1 + np.exp(log[0] - log[1])))
 
 
+def plain_statistics(text):
+    """Each statistic by its definition, over single characters and words."""
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * 17
+    words = re.findall(rb"[^ \t-\r]+", raw)
+    lines = [x for x in raw.split(b"\n") if re.search(rb"[^ \t-\r]", x)]
+    share = lambda test: sum(1 for b in raw if test(b)) / len(raw)
+    among = lambda chars: share(lambda b: b in chars)
+    of_words = lambda n: n / max(1, len(words))
+    pairs = {(words[i], words[i + 1]) for i in range(len(words) - 1)}
+    shares = [n / len(raw) for n in collections.Counter(raw).values()]
+    return [
+        math.log(1 + len(raw)), math.log(1 + len(words)), math.log(1 + len(lines)),
+        math.sqrt(of_words(sum(len(w) for w in words))), math.log(1 + max([len(w) for w in words], default=0)),
+        math.sqrt(of_words(sum(len(w) <= 3 for w in words))), math.sqrt(among(b"#*$%&|<>")),
+        math.sqrt(among(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")), math.sqrt(among(b"0123456789")), math.sqrt(among(b"!")),
+        math.sqrt(among(b",.:;")), math.sqrt(among(b" ")), math.sqrt(share(lambda b: b > 127)),
+        -sum(p * math.log2(p) for p in shares), math.sqrt(of_words(len(set(words)))),
+        math.sqrt(len(pairs) / max(1, len(words) - 1)), math.sqrt(len(set(lines)) / max(1, len(lines))),
+    ]
+
+
+def test_quality_equals_a_plain_discriminant(spark):
+    """The whole query against densities by determinants and linear solves, over statistics counted one by one."""
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    marks = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality").collect()]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in docs}
+    x = {i: np.array(plain_statistics(t)) for i, t in docs.items()}
+    fit = [(x[i], q) for i, q in marks if i in docs and q is not None and not held[i]]
+    every = np.array([v for v, _ in fit])
+    center, scale = every.mean(axis=0), np.sqrt(((every - every.mean(axis=0)) ** 2).mean(axis=0)) + 1e-9
+    groups = [(np.array([v for v, q in fit if q == k]) - center) / scale for k in (0, 1)]
+    own = [(g - g.mean(axis=0)).T @ (g - g.mean(axis=0)) / len(g) for g in groups]
+    common = (own[0] * len(groups[0]) + own[1] * len(groups[1])) / len(fit)
+    cov = []
+    for c in own:
+        c = (1 - quality_model.POOLED) * c + quality_model.POOLED * common
+        cov.append(c * (1 - quality_model.DIAGONAL) + np.diag(np.diag(c)) * quality_model.DIAGONAL + 1e-6 * np.eye(17))
+
+    def density(z, k):
+        away = z - groups[k].mean(axis=0)
+        return math.log(len(groups[k]) / len(fit)) - (np.linalg.slogdet(cov[k])[1] + away @ np.linalg.solve(cov[k], away)) / 2
+
+    got = QUERIES["op6_quality_model"](spark, folder).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        z = (x[r.doc_id] - center) / scale
+        want = 1 / (1 + math.exp(min(500.0, max(-500.0, density(z, 0) - density(z, 1)))))
+        assert r.held_out == held[r.doc_id]
+        assert abs(r.score - want) < 1e-6, r.doc_id
+        assert r.predicted == int(r.score >= 0.3)
+
+
 def test_quality_held_out(spark):
     labels = spark.read.parquet(f"{DIR}/labels.parquet")
     got = QUERIES["op6_quality_model"](spark, DIR)
