@@ -132,6 +132,22 @@ def test_ngram_join_of_templates_is_linear(make, monkeypatch):
     assert compared == [40, 40]  # the 20 pairs alone, whatever the number of templates
 
 
+def test_ngram_join_of_mixed_passages_loses_no_link(make, monkeypatch):
+    """Texts out of few passages, so that rare n-grams overlap in all ways: splitting groups changes no result."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 8)
+    rng = random.Random(13)
+    passages = [" ".join(f"p{i}w{k}" for k in range(rng.randrange(5, 40))) for i in range(14)]
+    rows = []
+    for i in range(160):
+        picked = sorted(rng.sample(range(14), rng.choice([7, 11, 12, 13])))
+        if i % 5 == 0:
+            rng.shuffle(picked)
+        rows.append((i, " ".join(passages[x] for x in picked)))
+    want = near(rows)
+    assert 0 < sum(n > 0 for _, _, n in want) < len(rows)
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.digest(make(*rows)).collect()) == want
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_ngram_join_finds_all_links_of_the_given_documents(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
