@@ -250,17 +250,27 @@ def _land(rows: DataFrame, path: str, files_per_day: int = 4) -> None:
 
 #: Elements of a landed snapshot file, on average: a file is one JSON string, built and parsed by one task.
 SNAPSHOT_ELEMENTS = 5_000
+#: Landed files that one task builds, on average: each is a hundred times its size in the shuffle before.
+SNAPSHOT_FILES_PER_TASK = 8
 
 
-def _land_snapshots(elements: DataFrame, path: str, most: int = SNAPSHOT_ELEMENTS) -> None:
-    """`elements` (with event_id and poll) as JSON arrays: each poll in as many files as its elements call for."""
-    files = elements.groupBy("poll").agg(F.ceil(F.count(F.lit(1)) / most).alias("files"))
+def _land_snapshots(rows: DataFrame, path: str, most: int = SNAPSHOT_ELEMENTS,
+                    form: Callable[[DataFrame, tuple[str, ...]], DataFrame] | None = None) -> None:
+    """`rows` (with event_id and poll) as JSON arrays, compressed: each poll in as many files as its elements call for.
+
+    `form` makes elements of rows (and keeps the columns named to it). It comes after the rows are dealt to files, so that
+    the flat rows are moved and not the elements, which say every name over again.
+    """
+    files = rows.groupBy("poll").agg(F.ceil(F.count(F.lit(1)) / most).alias("files"))
+    tasks = -(-(files.agg(F.sum("files")).first()[0] or 0) // SNAPSHOT_FILES_PER_TASK)
     part = F.pmod(F.xxhash64("event_id"), F.col("files")).alias("part")
-    fields = [c for c in elements.columns if c not in ("event_id", "poll")]
-    dealt = elements.join(files, "poll").select("poll", part, F.struct(*fields).alias("element"))
-    arrays = dealt.groupBy("poll", "part").agg(F.to_json(F.collect_list("element")).alias("value"))
+    dealt = rows.join(F.broadcast(files), "poll").select(*rows.columns, part)  # polls are few: a row for each
+    dealt = dealt.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism), "poll", "part")
+    elements = form(dealt, ("poll", "part")) if form else dealt
+    fields = [c for c in elements.columns if c not in ("event_id", "poll", "part")]
+    arrays = elements.groupBy("poll", "part").agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
     # A folder for each array: a file with two of them would be read as the first.
-    arrays.write.mode("append").partitionBy("poll", "part").text(path)
+    arrays.write.mode("append").partitionBy("poll", "part").option("compression", "gzip").text(path)
 
 
 def q_metrics_stream(spark, sf):
@@ -482,7 +492,7 @@ def _staged(spark: SparkSession, sf: str) -> Config:
     for run in (0, 1):
         counts = rows.withColumn("NbBikes", F.col("NbBikes") + run)
         poll = F.concat_ws("-", F.lit(run), F.floor(F.unix_seconds("ts") / 86_400)).alias("poll")
-        _land_snapshots(snapshot_rows(counts).join(rows.select("event_id", poll), "event_id"), cfg.landing_dir)
+        _land_snapshots(counts.join(rows.select("event_id", poll), "event_id"), cfg.landing_dir, form=snapshot_rows)
         stage_job(spark, cfg)
     batch_job(spark, cfg)
     return cfg

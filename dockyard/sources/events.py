@@ -86,8 +86,8 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def snapshot_rows(rows: DataFrame) -> DataFrame:
-    """Derived rows in the nested snapshot form (attribute array), for the staging path.
+def snapshot_rows(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Derived rows in the nested snapshot form (attribute array), for the staging path; `keep` columns come last.
 
     Each element carries an unknown attribute (`TerminalName`), a stale
     `NbBikes` that a later one overrides, and attributes stamped up to the
@@ -122,4 +122,5 @@ def snapshot_rows(rows: DataFrame) -> DataFrame:
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
         props.alias("additionalProperties"),
+        *keep,
     )
