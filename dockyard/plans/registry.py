@@ -489,10 +489,12 @@ def _staged(spark: SparkSession, sf: str) -> Config:
     root = scratch_dir(spark, "stage")
     cfg = Config(warehouse=f"{root}/warehouse", landing_dir=f"{root}/landing", topic_dir=f"{root}/topic")
     rows = _rows(spark, sf).withColumn("id", F.concat(F.lit("BikePoints_"), F.col("event_id").cast("string")))
+    day = F.floor(F.unix_seconds("ts") / 86_400).alias("day")
+    rows.join(rows.select("event_id", day), "event_id").write.parquet(f"{root}/rows")  # once, for both runs
+    rows = spark.read.parquet(f"{root}/rows")
     for run in (0, 1):
-        counts = rows.withColumn("NbBikes", F.col("NbBikes") + run)
-        poll = F.concat_ws("-", F.lit(run), F.floor(F.unix_seconds("ts") / 86_400)).alias("poll")
-        _land_snapshots(counts.join(rows.select("event_id", poll), "event_id"), cfg.landing_dir, form=snapshot_rows)
+        polls = rows.withColumn("NbBikes", F.col("NbBikes") + run).withColumn("poll", F.concat_ws("-", F.lit(run), "day"))
+        _land_snapshots(polls.drop("day"), cfg.landing_dir, form=snapshot_rows)
         stage_job(spark, cfg)
     batch_job(spark, cfg)
     return cfg
